@@ -19,28 +19,42 @@ _TYPE_OF_PRIORITY = {
 }
 
 
+# Declared, so that planning a query does not first open files to infer them.
+_SCHEMAS = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
 
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.readStream.schema(_SCHEMAS["events"]).parquet(f"{sf_dir}/events.parquet*")
 
-def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def raw_transactions(spark: SparkSession, sf_dir: str, timed: bool = False) -> DataFrame:
     """One transaction per order, with planted faults for the cleaner.
 
+    ``timed`` adds the order date as ``sent_at``.
+
     Both sides grow with the data, so the join carries no hint: Spark
     broadcasts customers only below its size threshold, and otherwise adaptive
     execution splits the partition of a customer with very many orders.
     """
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     k, price, balance = F.col("o_orderkey"), F.col("o_totalprice"), F.col("c_acctbal")
 
     base = F.lit(None).cast("string")
     for priority, name in _TYPE_OF_PRIORITY.items():
         base = F.when(F.col("o_orderpriority") == priority, name).otherwise(base)
-    joined = joined.withColumn("base", base).withColumn(
-        "old_orig", F.when(k % 5 == 0, price).otherwise(price + balance + 1000)
-    )
+    before = F.when(k % 5 == 0, price).otherwise(price + balance + 1000)
+    joined = joined.withColumns({"base": base, "old_orig": before})
+    when = [F.col("o_orderdate").cast("timestamp").alias("sent_at")] if timed else []
     outgoing = F.col("base").isin("TRANSFER", "CASH_OUT")
     padded = F.concat(F.lit("  "), F.lower(F.translate("base", "_", " ")), F.lit(" "))
     fraud = ((price > 200000) & (k % 5 == 0) & outgoing) | (k % 101 == 0)
@@ -63,6 +77,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.abs(balance) + price).alias("newbalanceDest"),
         F.when(fraud, 1).otherwise(0).alias("isFraud"),
         F.when(k % 3 == 0, None).when(price > 400000, 1).otherwise(0).alias("isFlaggedFraud"),
+        *when,
     )
 
 

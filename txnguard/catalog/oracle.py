@@ -418,5 +418,18 @@ found AS (
         FROM (SELECT date_trunc('hour', ts) AS window_start, event_type, value FROM events)
         WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)
         GROUP BY window_start, event_type""",
+    "stream_window_counters": _with(
+        _FEATURES,
+        """SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, type,
+                  count(*) AS total_transactions,
+                  count(*) FILTER (is_alert = 1) AS total_fraud,
+                  count(*) FILTER (is_ml_alert = 1) AS total_ml_alerts,
+                  count(*) FILTER (is_rule_alert = 1) AS total_rule_alerts
+           FROM (SELECT date_trunc('day', o_orderdate) AS window_start, scored.*
+                 FROM scored JOIN orders ON o_orderkey = txn_id)
+           WHERE window_start + INTERVAL 1 DAY
+                 <= (SELECT max(o_orderdate) - INTERVAL 10 MINUTE FROM clean JOIN orders ON o_orderkey = txn_id)
+           GROUP BY window_start, type""",
+    ),
     "stream_dedup": "SELECT event_id, user_id, event_type, value FROM events",
 }

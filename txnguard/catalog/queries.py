@@ -11,9 +11,9 @@ from pyspark.sql import types as T
 
 from txnguard.catalog.adapter import (
     LISTED,
+    event_stream,
     joined_list,
     key_scorer,
-    listed_customers,
     raw_transactions,
     table,
 )
@@ -433,9 +433,9 @@ def saved_model_eval(spark, sf):
 def model_scored_kpis(spark, sf):
     """KPIs of a batch scored by a fitted model instead of the stand-in."""
     raw = raw_transactions(spark, sf)
-    ready = sampling.add_class_weights(features.add_label(features.add_features(_clean(spark, sf))))
+    ready = sampling.add_class_weights(training.labelled_features(raw))
     estimator = training.candidate_estimators(_SMALL)["rf"]
-    model = training.Pipeline(stages=[*training.feature_stages(), estimator]).fit(ready)
+    model = training.fit_detached([*training.feature_stages(), estimator], ready)
     return serving.kpis(score_transactions(raw, model_scorer(model), LISTED))
 
 
@@ -505,25 +505,35 @@ def stream_fraud_share(spark, sf):
     return counters.latest_snapshot(spark, f"{root}/share")
 
 
-def _event_stream(spark, sf):
-    fields = table(spark, sf, "events").schema
-    return spark.readStream.schema(fields).parquet(f"{sf}/events.parquet*")
-
-
 @query
 def stream_window_kpis(spark, sf):
     root = scratch_path(spark, "stream-windows")
     measures = {"event_count": F.count("*"), "total_value": F.round(F.sum("value"), 2)}
-    windows = counters.windowed(_event_stream(spark, sf), "ts", ["event_type"], measures)
+    windows = counters.windowed(event_stream(spark, sf), "ts", ["event_type"], measures)
     start_append(windows, f"{root}/windows", f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/windows")
 
 
+@query
+def stream_window_counters(spark, sf):
+    """KPI counters per day and type, by the time the transactions carry."""
+    root = scratch_path(spark, "stream-days")
+    sent = raw_transactions(spark, sf, timed=True)
+    events.write_replay(sent, f"{root}/events", "txn_id", "sent_at")
+    fields = events.event_schema(("txn_id", T.LongType()), ("sent_at", T.TimestampType()))
+    # One micro-batch: files are in no time order, so a second one would be late.
+    raw = events.read_event_stream(spark, "text", f"{root}/events")
+    stream = events.transaction_stream(raw, fields, event_time="sent_at")
+    daily = counters.windowed_counters(score_transactions(stream, key_scorer(), LISTED), width="1 day")
+    start_append(daily, f"{root}/days", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/days")
+
+
 @query
 def stream_dedup(spark, sf):
     """Every event sent twice, kept once."""
     root = scratch_path(spark, "stream-dedup")
-    twice = _event_stream(spark, sf).unionByName(_event_stream(spark, sf))
+    twice = event_stream(spark, sf).unionByName(event_stream(spark, sf))
     once = dedup.drop_repeats(twice, ["event_id"], "ts")
     start_append(once, f"{root}/once", f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/once").select("event_id", "user_id", "event_type", "value")

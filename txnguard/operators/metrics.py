@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from txnguard.operators.running import ROWS_PER_BUCKET, running_totals
@@ -27,7 +27,7 @@ def _share(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
 
 
-def _weighted(confusion: DataFrame) -> DataFrame:
+def _weighted_columns() -> list[Column]:
     """Accuracy and class-weighted precision, recall and F1 of a confusion row."""
     tn, fp, fn, tp = (F.col(cell) for cell in _CELLS)
     negative, positive = tn + fp, fn + tp
@@ -39,16 +39,16 @@ def _weighted(confusion: DataFrame) -> DataFrame:
     def blend(zero: Column, one: Column) -> Column:
         return _share(zero * negative + one * positive, total)
 
-    return confusion.select(
+    return [
         _share(tn + tp, total).alias("accuracy"),
         blend(p0, p1).alias("precision"),
         blend(r0, r1).alias("recall"),
         blend(f0, f1).alias("f1"),
-    )
+    ]
 
 
 def classification_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    return _weighted(confusion_matrix(df, label, prediction))
+    return confusion_matrix(df, label, prediction).select(*_weighted_columns())
 
 
 def score_histogram(
@@ -81,12 +81,20 @@ def score_histogram(
     )
 
 
-def auc_of(histogram: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def histogram_totals(histogram: DataFrame) -> Row:
+    """Number of distinct scores and class totals, one small job."""
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("pos", "neg", "tp", "fp")]
+    return histogram.agg(F.count("*").alias("scores"), *sums).first()
+
+
+def auc_of(
+    histogram: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET, rows: int | None = None
+) -> DataFrame:
     """Area under the ROC curve: share of (fraud, other) pairs ranked right.
 
     Ties count one half. Null when one class is absent.
     """
-    ranked = running_totals(histogram, "score", ["neg"], rows_per_bucket=rows_per_bucket)
+    ranked = running_totals(histogram, "score", ["neg"], rows_per_bucket=rows_per_bucket, rows=rows)
     lower = F.col("run_neg") - F.col("neg") + F.col("neg") / 2.0
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     return ranked.agg(F.try_divide(F.sum(F.col("pos") * lower), pairs).alias("auc"))
@@ -105,6 +113,7 @@ def roc_of(
     histogram: DataFrame,
     max_points: int = 200,
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    totals: Row | None = None,
 ) -> DataFrame:
     """ROC points (point, fpr, tpr) from (0,0) to (1,1) over all rows.
 
@@ -114,10 +123,10 @@ def roc_of(
     """
     spark = histogram.sparkSession
     schema = "point BIGINT, fpr DOUBLE, tpr DOUBLE"
-    distinct, positives, negatives = histogram.agg(F.count("*"), F.sum("pos"), F.sum("neg")).first()
-    if not positives or not negatives:
+    totals = totals or histogram_totals(histogram)
+    if not totals.pos or not totals.neg:
         return spark.createDataFrame([(0, 0.0, 0.0), (1, 1.0, 1.0)], schema)
-    points = distinct + 1
+    points = totals.scores + 1
     step = 1 if points <= max_points else max(1, points // (max_points - 1))
     ranked = running_totals(
         histogram.withColumn("one", F.lit(1)),
@@ -125,12 +134,13 @@ def roc_of(
         ["one", "pos", "neg"],
         descending=True,
         rows_per_bucket=rows_per_bucket,
+        rows=totals.scores,
     )
     curve = ranked.select(
         F.col("run_one").cast("bigint").alias("point"),
-        (F.col("run_neg") / F.lit(float(negatives))).alias("fpr"),
-        (F.col("run_pos") / F.lit(float(positives))).alias("tpr"),
-    ).filter((F.col("point") % step == 0) | (F.col("point") == distinct))
+        (F.col("run_neg") / F.lit(float(totals.neg))).alias("fpr"),
+        (F.col("run_pos") / F.lit(float(totals.pos))).alias("tpr"),
+    ).filter((F.col("point") % step == 0) | (F.col("point") == totals.scores))
     return spark.createDataFrame([(0, 0.0, 0.0)], schema).unionByName(curve)
 
 
@@ -150,19 +160,20 @@ def evaluate(df: DataFrame, score: str | Column, label: str = "label") -> dict:
     The predictions are read once, into the score histogram.
     """
     histogram = score_histogram(df, score, label, "prediction")
-    confusion = histogram.agg(
-        (F.sum("neg") - F.sum("fp")).alias("tn"),
-        F.sum("fp").alias("fp"),
-        (F.sum("pos") - F.sum("tp")).alias("fn"),
-        F.sum("tp").alias("tp"),
-    )
-    cells = {name: count or 0 for name, count in confusion.first().asDict().items()}
-    metrics = _weighted(confusion).first().asDict()
-    metrics["auc"] = auc_of(histogram).first().auc
+    totals = histogram_totals(histogram)
+    cells = {
+        "tn": totals.neg - totals.fp,
+        "fp": totals.fp,
+        "fn": totals.pos - totals.tp,
+        "tp": totals.tp,
+    }
+    literals = [F.lit(count).alias(cell) for cell, count in cells.items()]
+    area = auc_of(histogram, rows=totals.scores).select(*literals, "auc")
+    found = area.select("auc", *_weighted_columns()).first()
     return {
-        "metrics": {name: metrics[name] for name in EVALUATION_METRICS},
+        "metrics": {name: found[name] for name in EVALUATION_METRICS},
         "confusion_matrix": cells,
-        "roc_curve": roc_of(histogram),
+        "roc_curve": roc_of(histogram, totals=totals),
     }
 
 

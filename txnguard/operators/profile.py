@@ -97,15 +97,20 @@ def class_distribution(df: DataFrame, label: str = "label") -> DataFrame:
     )
 
 
-def dataset_summary(df: DataFrame) -> DataFrame:
-    """Raw, clean and dropped rows and the fraud rate of the clean rows, one pass."""
+def summary_columns() -> list:
+    """Raw, clean and dropped rows and the clean rows' fraud rate, of standardized rows."""
     valid = is_valid()
-    return standardize(df).agg(
+    return [
         F.count("*").alias("raw_rows"),
         F.count_if(valid).alias("clean_rows"),
         F.count_if(~valid).alias("dropped_rows"),
         F.round(F.avg(F.when(valid, F.col("isFraud"))) * 100, 6).alias("fraud_rate_percent"),
-    )
+    ]
+
+
+def dataset_summary(df: DataFrame) -> DataFrame:
+    """The summary of a raw table, in one pass."""
+    return standardize(df).agg(*summary_columns())
 
 
 def type_ranks(df: DataFrame) -> DataFrame:

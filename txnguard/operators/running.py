@@ -20,6 +20,7 @@ def running_totals(
     measures: Sequence[str],
     descending: bool = False,
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add ``run_<m>``, the inclusive prefix sum of each measure.
 
@@ -31,10 +32,10 @@ def running_totals(
     boundaries cut the order into buckets of nearly equal row counts; windows
     run per bucket, and each bucket starts from the totals of those before it.
     Every choice of boundaries gives the same sums, so approximate quantiles
-    are enough.
+    are enough. ``rows`` is the row count, if it is known.
     """
     direction = F.desc if descending else F.asc
-    rows = stored.count()
+    rows = stored.count() if rows is None else rows
     if rows <= rows_per_bucket:
         whole = Window.orderBy(direction(order_by)).rowsBetween(Window.unboundedPreceding, 0)
         return stored.withColumns({f"run_{m}": F.sum(m).over(whole) for m in measures})

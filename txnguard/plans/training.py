@@ -9,16 +9,23 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from txnguard.functions.columns import positive_class
-from txnguard.operators.clean import clean_transactions
+from txnguard.operators.clean import clean_transactions, standardize
 from txnguard.operators.features import add_features, add_label
 from txnguard.operators.metrics import evaluate
-from txnguard.operators.profile import dataset_summary
-from txnguard.operators.sampling import add_class_weights, hash_split, random_split, sample_splits
+from txnguard.operators.profile import summary_columns
+from txnguard.operators.sampling import (
+    add_class_weights,
+    hash_split,
+    random_split,
+    sample_splits,
+    with_hash_split,
+)
 from txnguard.schema import DEFAULT_SEED, EVALUATION_METRICS, MODEL_INPUTS, SPLIT_FRACTIONS
+from txnguard.session import enable_checkpoints, materialize, scratch_path
 from txnguard.sources.files import with_txn_id
 
 log = logging.getLogger(__name__)
@@ -65,10 +72,23 @@ def evaluate_model(model: PipelineModel, df: DataFrame) -> dict:
     return evaluate(model.transform(df), positive_class("rawPrediction"))
 
 
+def fit_detached(stages: list, df: DataFrame) -> PipelineModel:
+    """Fit a pipeline; its classifier comes back as stored and loaded again.
+
+    A freshly fitted forest still holds its training data frame and session,
+    which would be shipped to every task that applies it, and which cannot be
+    serialized at all once the session has observed a query.
+    """
+    *prepared, classifier = Pipeline(stages=stages).fit(df).stages
+    path = scratch_path(df.sparkSession, "fitted")
+    classifier.write().save(path)
+    return PipelineModel(stages=[*prepared, type(classifier).load(path)])
+
+
 def fit_candidate(key: str, estimator, splits: dict[str, DataFrame], include_model: bool = True) -> dict:
     """Fit on train, time it, evaluate on validation and test."""
     started = time.monotonic()
-    model = Pipeline(stages=[*feature_stages(), estimator]).fit(splits["train"])
+    model = fit_detached([*feature_stages(), estimator], splits["train"])
     seconds = time.monotonic() - started
     test = evaluate_model(model, splits["test"])
     result = {
@@ -83,19 +103,28 @@ def fit_candidate(key: str, estimator, splits: dict[str, DataFrame], include_mod
     return {**result, "model": model} if include_model else result
 
 
+def labelled_features(raw: DataFrame) -> DataFrame:
+    """Cleaned, keyed, labelled rows with features."""
+    return with_txn_id(raw.transform(clean_transactions)).transform(add_label).transform(add_features)
+
+
 def prepare_splits(
-    raw: DataFrame,
+    ready: DataFrame,
     sample_fraction: float | None = None,
     seed: int = DEFAULT_SEED,
     stable: bool = True,
 ) -> dict[str, DataFrame]:
-    """Clean, derive, split and weight. Weights come from the train split alone.
+    """Store the rows once, split, sample and weight them.
 
-    ``stable`` splits by key hash, which any later run rebuilds exactly;
-    otherwise a seeded random split is used.
+    ``stable`` splits by key hash, which any later run rebuilds exactly, and
+    stores one partition per split; otherwise a seeded random split is used.
+    Weights come from the train split alone.
     """
-    ready = with_txn_id(raw.transform(clean_transactions)).transform(add_label).transform(add_features)
-    splits = hash_split(ready) if stable else random_split(ready, seed)
+    if stable:
+        stored = materialize(with_hash_split(ready), "splits", partition_by="split")
+        splits = {name: stored.filter(F.col("split") == name).drop("split") for name in SPLIT_FRACTIONS}
+    else:
+        splits = random_split(materialize(ready, "rows"), seed)
     splits = sample_splits(splits, sample_fraction, seed)
     return {**splits, "train": add_class_weights(splits["train"])}
 
@@ -108,22 +137,21 @@ def train_candidates(
     seed: int = DEFAULT_SEED,
     stable: bool = True,
 ) -> dict:
-    """Train and evaluate all candidates; returns the result bundle."""
+    """Train and evaluate all candidates; returns the result bundle.
+
+    The raw data is scanned once: its summary is observed while the prepared
+    rows are stored, and every later step reads the stored splits.
+    """
     estimators = candidate_estimators(profile, seed)
-    splits = {
-        name: part.persist()
-        for name, part in prepare_splits(raw, sample_fraction, seed, stable).items()
+    enable_checkpoints(raw.sparkSession)
+    summary = Observation()
+    ready = labelled_features(standardize(raw).observe(summary, *summary_columns()))
+    splits = prepare_splits(ready, sample_fraction, seed, stable)
+    candidates = {
+        key: fit_candidate(key, estimator, splits, include_models) for key, estimator in estimators.items()
     }
-    try:
-        candidates = {
-            key: fit_candidate(key, estimator, splits, include_models)
-            for key, estimator in estimators.items()
-        }
-    finally:
-        for part in splits.values():
-            part.unpersist()
     return {
-        "data_summary": dataset_summary(raw).first().asDict(),
+        "data_summary": summary.get,
         "profile": profile if isinstance(profile, str) else "custom",
         "sample_fraction": sample_fraction,
         "split_fractions": SPLIT_FRACTIONS,
@@ -165,20 +193,16 @@ def evaluate_saved(raw: DataFrame, paths: dict[str, str]) -> DataFrame:
     ``is_best`` marks the highest AUC, the earlier model on a tie.
     """
     spark = raw.sparkSession
-    ready = with_txn_id(raw.transform(clean_transactions)).transform(add_label).transform(add_features)
-    test = hash_split(ready)["test"].persist()
+    test = materialize(hash_split(labelled_features(raw))["test"], "test-split")
     rows = []
-    try:
-        for name, path in paths.items():
-            try:
-                model = PipelineModel.load(path)
-            except Exception as problem:  # py4j wraps a missing path differently per file system
-                log.warning("model %s at %s not loaded: %s", name, path, problem)
-                continue
-            metrics = evaluate_model(model, test)["metrics"]
-            rows.append((name, *[metrics[m] for m in EVALUATION_METRICS]))
-    finally:
-        test.unpersist()
+    for name, path in paths.items():
+        try:
+            model = PipelineModel.load(path)
+        except Exception as problem:  # a missing path surfaces differently per file system
+            log.warning("model %s at %s not loaded: %s", name, path, problem)
+            continue
+        metrics = evaluate_model(model, test)["metrics"]
+        rows.append((name, *[metrics[m] for m in EVALUATION_METRICS]))
     best = max(rows, key=lambda row: row[-1] or 0.0)[0] if rows else None
     schema = ", ".join(["model STRING", *[f"{m} DOUBLE" for m in EVALUATION_METRICS]])
     return spark.createDataFrame(rows, schema).withColumn("is_best", F.col("model") == F.lit(best))

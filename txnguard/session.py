@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -27,6 +26,8 @@ def build_session(app: str = "txnguard", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Building a plan is cheaper without the Python call site per expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     for key, value in {**settings, **conf}.items():
         builder = builder.config(key, value)
@@ -49,21 +50,39 @@ def shared_directory(spark: SparkSession) -> str:
     return own
 
 
+def _scratch_root(spark: SparkSession):
+    context = spark.sparkContext
+    root = context._jvm.org.apache.hadoop.fs.Path(f"{shared_directory(spark)}/txnguard-{context.applicationId}")
+    return root, root.getFileSystem(context._jsc.hadoopConfiguration())
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, removed when the session's JVM ends."""
-    root = f"{shared_directory(spark)}/txnguard-{spark.sparkContext.applicationId}"
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
+    root, files = _scratch_root(spark)
+    files.deleteOnExit(root)
+    return f"{root.toString()}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this session's scratch data early; results read from it are gone."""
+    root, files = _scratch_root(spark)
+    files.delete(root, True)
+
+
+def enable_checkpoints(spark: SparkSession) -> None:
+    """Let iterative jobs cut their lineage in the shared folder."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_directory(spark))
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", partition_by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage for a result that several branches of a plan read, and
-    survives the loss of executors because the files are not theirs.
+    survives the loss of executors because the files are not theirs. Reading
+    one value of ``partition_by`` skips the other files.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
