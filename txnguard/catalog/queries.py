@@ -435,7 +435,7 @@ def model_scored_kpis(spark, sf):
     raw = raw_transactions(spark, sf)
     ready = sampling.add_class_weights(training.labelled_features(raw))
     estimator = training.candidate_estimators(_SMALL)["rf"]
-    model = training.fit_detached([*training.feature_stages(), estimator], ready)
+    model = training.fit_detached(estimator, training.feature_pipeline().fit(ready), ready)
     return serving.kpis(score_transactions(raw, model_scorer(model), LISTED))
 
 

@@ -38,9 +38,10 @@ def present(column: Column, floating: bool = True) -> Column:
     return column.isNotNull() & ~F.isnan(column) if floating else column.isNotNull()
 
 
-def positive_class(vector: str | Column) -> Column:
-    """Second entry of a class vector, 0.0 if the vector is null or shorter."""
-    return F.coalesce(F.get(vector_to_array(F.col(vector) if isinstance(vector, str) else vector), F.lit(1)), F.lit(0.0))
+def positive_class(name: str) -> Column:
+    """Second entry of a class vector column, 0.0 if it is null or shorter."""
+    entries = F.when(F.col(name).isNotNull(), vector_to_array(name))
+    return F.coalesce(F.get(entries, F.lit(1)), F.lit(0.0))
 
 
 def hash_bucket(keys: Iterable[str], buckets: int, salt: str = "") -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnguard.functions.columns import flag
+from txnguard.session import materialize
 
 MAX_LITERALS = 1_000
 MAX_BROADCAST_ROWS = 2_000_000
@@ -36,10 +37,12 @@ def account_list(
 ) -> AccountList:
     """Measure a list once and choose its form.
 
-    A DataFrame (column ``account``) is counted with one aggregate. Up to
-    ``max_literals`` accounts become an IN set, a list within the row and byte
-    bounds is broadcast, and anything larger is an ordinary equi-join, in
-    which adaptive execution splits the partition of a hot account.
+    The distinct accounts of a DataFrame (column ``account``) are stored and
+    counted. Up to ``max_literals`` accounts become an IN set, a list within
+    the row and byte bounds is broadcast, and anything larger is an ordinary
+    equi-join, in which adaptive execution splits the partition of a hot
+    account. It can do so only because the stored list needs no aggregation
+    between its shuffle and the join.
     """
     if isinstance(source, AccountList):
         return source
@@ -48,7 +51,8 @@ def account_list(
     if not isinstance(source, DataFrame):
         names = {name.strip().upper() for name in source if name and name.strip()}
         return AccountList(None, tuple(sorted(names)), True)
-    accounts = source.select(F.upper(F.trim("account")).alias("account")).distinct()
+    spelled = source.select(F.upper(F.trim("account")).alias("account"))
+    accounts = materialize(spelled.distinct(), "accounts")
     rows, size = accounts.agg(
         F.count("*"), F.coalesce(F.sum(F.octet_length("account")), F.lit(0))
     ).first()

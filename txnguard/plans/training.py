@@ -72,23 +72,29 @@ def evaluate_model(model: PipelineModel, df: DataFrame) -> dict:
     return evaluate(model.transform(df), positive_class("rawPrediction"))
 
 
-def fit_detached(stages: list, df: DataFrame) -> PipelineModel:
-    """Fit a pipeline; its classifier comes back as stored and loaded again.
+def fit_detached(estimator, prepared: PipelineModel, df: DataFrame) -> PipelineModel:
+    """Fit a classifier behind fitted feature stages; it comes back as stored and loaded.
 
     A freshly fitted forest still holds its training data frame and session,
     which would be shipped to every task that applies it, and which cannot be
     serialized at all once the session has observed a query.
     """
-    *prepared, classifier = Pipeline(stages=stages).fit(df).stages
+    fitted = estimator.fit(prepared.transform(df))
     path = scratch_path(df.sparkSession, "fitted")
-    classifier.write().save(path)
-    return PipelineModel(stages=[*prepared, type(classifier).load(path)])
+    fitted.write().save(path)
+    return PipelineModel(stages=[*prepared.stages, type(fitted).load(path)])
 
 
-def fit_candidate(key: str, estimator, splits: dict[str, DataFrame], include_model: bool = True) -> dict:
+def fit_candidate(
+    key: str,
+    estimator,
+    prepared: PipelineModel,
+    splits: dict[str, DataFrame],
+    include_model: bool = True,
+) -> dict:
     """Fit on train, time it, evaluate on validation and test."""
     started = time.monotonic()
-    model = fit_detached([*feature_stages(), estimator], splits["train"])
+    model = fit_detached(estimator, prepared, splits["train"])
     seconds = time.monotonic() - started
     test = evaluate_model(model, splits["test"])
     result = {
@@ -140,15 +146,18 @@ def train_candidates(
     """Train and evaluate all candidates; returns the result bundle.
 
     The raw data is scanned once: its summary is observed while the prepared
-    rows are stored, and every later step reads the stored splits.
+    rows are stored, and every later step reads the stored splits. The feature
+    stages do not depend on the candidate and are fitted once.
     """
     estimators = candidate_estimators(profile, seed)
     enable_checkpoints(raw.sparkSession)
     summary = Observation()
     ready = labelled_features(standardize(raw).observe(summary, *summary_columns()))
     splits = prepare_splits(ready, sample_fraction, seed, stable)
+    prepared = feature_pipeline().fit(splits["train"])
     candidates = {
-        key: fit_candidate(key, estimator, splits, include_models) for key, estimator in estimators.items()
+        key: fit_candidate(key, estimator, prepared, splits, include_models)
+        for key, estimator in estimators.items()
     }
     return {
         "data_summary": summary.get,
