@@ -10,14 +10,8 @@ from txnguard.operators.blacklist import account_list
 
 LISTED = ("C7", "C31")
 
-_TYPE_OF_PRIORITY = {
-    "1-URGENT": "TRANSFER",
-    "2-HIGH": "CASH_OUT",
-    "3-MEDIUM": "PAYMENT",
-    "4-NOT SPECIFIED": "DEBIT",
-    "5-LOW": "CASH_IN",
-}
-
+# In the order of the leading digit of the order priority, 1 to 5.
+_TYPE_OF_PRIORITY = ("TRANSFER", "CASH_OUT", "PAYMENT", "DEBIT", "CASH_IN")
 
 # Declared, so that planning a query does not first open files to infer them.
 _SCHEMAS = {
@@ -49,15 +43,14 @@ def raw_transactions(spark: SparkSession, sf_dir: str, timed: bool = False) -> D
     joined = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     k, price, balance = F.col("o_orderkey"), F.col("o_totalprice"), F.col("c_acctbal")
 
-    base = F.lit(None).cast("string")
-    for priority, name in _TYPE_OF_PRIORITY.items():
-        base = F.when(F.col("o_orderpriority") == priority, name).otherwise(base)
+    priority = F.substring("o_orderpriority", 1, 1).cast("int")
+    base = F.get(F.array(*[F.lit(name) for name in _TYPE_OF_PRIORITY]), priority - 1)
     before = F.when(k % 5 == 0, price).otherwise(price + balance + 1000)
     joined = joined.withColumns({"base": base, "old_orig": before})
-    when = [F.col("o_orderdate").cast("timestamp").alias("sent_at")] if timed else []
-    outgoing = F.col("base").isin("TRANSFER", "CASH_OUT")
+    outgoing = priority <= 2
     padded = F.concat(F.lit("  "), F.lower(F.translate("base", "_", " ")), F.lit(" "))
     fraud = ((price > 200000) & (k % 5 == 0) & outgoing) | (k % 101 == 0)
+    sent = [F.col("o_orderdate").cast("timestamp").alias("sent_at")] if timed else []
     return joined.select(
         k.alias("txn_id"),
         (k % 743 + 1).cast("int").alias("step"),
@@ -77,7 +70,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str, timed: bool = False) -> D
         (F.abs(balance) + price).alias("newbalanceDest"),
         F.when(fraud, 1).otherwise(0).alias("isFraud"),
         F.when(k % 3 == 0, None).when(price > 400000, 1).otherwise(0).alias("isFlaggedFraud"),
-        *when,
+        *sent,
     )
 
 

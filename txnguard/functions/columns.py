@@ -7,6 +7,9 @@ from collections.abc import Iterable
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from txnguard.schema import TRANSACTION_TYPES
 
 
 def flag(condition: Column) -> Column:
@@ -14,13 +17,14 @@ def flag(condition: Column) -> Column:
     return F.when(condition, F.lit(1.0)).otherwise(F.lit(0.0))
 
 
-def to_double(column: Column) -> Column:
-    return column.try_cast("double")
+def to_double(column: Column, given: T.DataType | None = None) -> Column:
+    """Double, null if unreadable; a column that already is one is left alone."""
+    return column if isinstance(given, T.DoubleType) else column.try_cast("double")
 
 
-def to_whole(column: Column) -> Column:
+def to_whole(column: Column, given: T.DataType | None = None) -> Column:
     """Integer with truncation: '1.5' becomes 1, unreadable text becomes null."""
-    return column.try_cast("double").try_cast("int")
+    return column if isinstance(given, T.IntegerType) else column.try_cast("double").try_cast("int")
 
 
 def trimmed_upper(column: Column) -> Column:
@@ -29,8 +33,13 @@ def trimmed_upper(column: Column) -> Column:
 
 
 def type_code(column: Column) -> Column:
-    """Transaction type with each inner run of white space as one underscore."""
-    return F.regexp_replace(trimmed_upper(column), r"\s+", "_")
+    """Transaction type with each inner run of white space as one underscore.
+
+    A text that already is a known type is its own code, so the pattern is
+    matched only for the others.
+    """
+    spelled = F.regexp_replace(trimmed_upper(column), r"\s+", "_")
+    return F.when(column.isin(*TRANSACTION_TYPES), column).otherwise(spelled)
 
 
 def present(column: Column, floating: bool = True) -> Column:

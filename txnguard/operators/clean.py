@@ -7,6 +7,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnguard.functions.columns import present, to_double, to_whole, trimmed_upper, type_code
 from txnguard.schema import (
@@ -28,27 +29,35 @@ def require_columns(df: DataFrame) -> None:
         raise ValueError(f"Missing required transaction columns: {', '.join(absent)}")
 
 
-def typed_columns() -> dict[str, Column]:
+def typed_columns(schema: T.StructType) -> dict[str, Column]:
     """Every transaction column with its clean type and spelling."""
+    given = {field.name: field.dataType for field in schema.fields}
+
+    def real(name: str) -> Column:
+        return to_double(F.col(name), given[name])
+
+    def whole(name: str) -> Column:
+        return to_whole(F.col(name), given[name])
+
     return {
-        "step": to_whole(F.col("step")),
+        "step": whole("step"),
         "type": type_code(F.col("type")),
-        **{name: to_double(F.col(name)) for name in MONEY_COLUMNS},
+        **{name: real(name) for name in MONEY_COLUMNS},
         **{name: trimmed_upper(F.col(name)) for name in ACCOUNT_COLUMNS},
-        "isFraud": to_double(F.col("isFraud")),
-        "isFlaggedFraud": F.coalesce(to_whole(F.col("isFlaggedFraud")), F.lit(0)),
+        "isFraud": real("isFraud"),
+        "isFlaggedFraud": F.coalesce(whole("isFlaggedFraud"), F.lit(0)),
     }
 
 
 def standardize(df: DataFrame) -> DataFrame:
     """Cast and normalise every row without dropping any."""
     require_columns(df)
-    return df.withColumns(typed_columns())
+    return df.withColumns(typed_columns(df.schema))
 
 
 def normalize_text(df: DataFrame) -> DataFrame:
     """Only the text columns of ``standardize``."""
-    typed = typed_columns()
+    typed = typed_columns(df.schema)
     return df.withColumns({name: typed[name] for name in _TEXT_COLUMNS})
 
 

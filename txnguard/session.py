@@ -26,6 +26,9 @@ def build_session(app: str = "txnguard", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # The JVM never compiles a method above 8000 bytes of bytecode; rather
+        # than interpret one, run that stage operator by operator.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         # Building a plan is cheaper without the Python call site per expression.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
     }

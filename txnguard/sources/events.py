@@ -20,8 +20,9 @@ def event_schema(*extra: tuple[str, T.DataType]) -> T.StructType:
 
 def encode_events(df: DataFrame, *extra: str) -> DataFrame:
     """Typed transactions as one JSON text per row in ``value``."""
-    typed = {c: to_double(F.col(c)) for c in MONEY_COLUMNS}
-    typed |= {c: to_whole(F.col(c)) for c in ("step", "isFraud", "isFlaggedFraud")}
+    given = {field.name: field.dataType for field in df.schema.fields}
+    typed = {c: to_double(F.col(c), given[c]) for c in MONEY_COLUMNS}
+    typed |= {c: to_whole(F.col(c), given[c]) for c in ("step", "isFraud", "isFlaggedFraud")}
     typed |= {c: F.trim(c) for c in ("type", "nameOrig", "nameDest")}
     fields = [typed[c].alias(c) for c in TRANSACTION_COLUMNS]
     return df.select(F.to_json(F.struct(*fields, *extra)).alias("value"))
