@@ -58,9 +58,8 @@ def main() -> None:
     from txnguard.session import build_session
 
     folder = f"/root/testdata/{sys.argv[1]}"
-    spark = build_session(
-        "check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"}
-    )
+    quiet = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", **quiet})
     spark.sparkContext.setLogLevel("ERROR")
     queries, oracles, connection = contract.queries(), contract.oracle_sql(), connect(folder)
     for name in sys.argv[2:] or queries:

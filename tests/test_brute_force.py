@@ -1,0 +1,104 @@
+"""Cleaning, features and scoring against a plain restatement on random rows."""
+
+import math
+import random
+import re
+
+import pytest
+
+from txnguard.catalog.adapter import key_scorer
+from txnguard.operators.clean import clean_transactions, drop_reasons
+from txnguard.plans.scoring import score_transactions
+from txnguard.schema import TRANSACTION_COLUMNS, TRANSACTION_SCHEMA
+
+KNOWN = {"CASH_IN", "CASH_OUT", "DEBIT", "PAYMENT", "TRANSFER"}
+LISTED = {"C1", "C4"}
+TYPES = ["TRANSFER", " transfer", "cash  out ", "CASH OUT", "cash\tin", "\tDEBIT", "debit", "payment ", "", "  ", None, "OTHER", "cash-in"]
+NAMES = ["C1", " c1 ", "c2", "C4", "M3", "", "   ", "\t", None]
+MONEY = [0.0, 1.5, -1.0, 199999.99, 200000.0, 200000.01, 350000.0, math.nan, None]
+
+
+def make(draw):
+    row = {
+        "step": draw.choice([1, 2, 743, None]),
+        "type": draw.choice(TYPES[:4] if draw.random() < 0.6 else TYPES),
+        "nameOrig": draw.choice(NAMES[:5] if draw.random() < 0.9 else NAMES),
+        "nameDest": draw.choice(NAMES[:5] if draw.random() < 0.9 else NAMES),
+        "isFraud": draw.choice([0, 1, 0, 0, None]),
+        "isFlaggedFraud": draw.choice([0, 1, None]),
+    }
+    for name in ("amount", "oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest"):
+        row[name] = draw.choice(MONEY[:7] if draw.random() < 0.95 else MONEY)
+    return row
+
+
+def bad(value):
+    return value is None or math.isnan(value)
+
+
+def clean(row):
+    """(cleaned row, None) or (None, reason)."""
+    kind = re.sub(r"[ \t\n\x0b\f\r]+", "_", (row["type"] or "").strip(" ")).upper()
+    names = {c: (row[c] or "").strip(" ").upper() for c in ("nameOrig", "nameDest")}
+    for c in TRANSACTION_COLUMNS:
+        if c in ("type", "nameOrig", "nameDest", "isFlaggedFraud"):
+            continue
+        if bad(row[c]):
+            return None, f"missing_{c}"
+    for c, text in (("type", kind), *names.items()):
+        if not text:
+            return None, f"blank_{c}"
+    if kind not in KNOWN:
+        return None, "unknown_type"
+    flagged = row["isFlaggedFraud"] or 0
+    return {**row, **names, "type": kind, "isFraud": float(row["isFraud"]), "isFlaggedFraud": flagged}, None
+
+
+def score(row, key):
+    p = key * 37 % 1000 / 999.0
+    ml, listed = p > 0.5, row["nameDest"] in LISTED
+    drain = row["newbalanceOrig"] == 0 and row["type"] in ("TRANSFER", "CASH_OUT")
+    large = row["amount"] > 200000
+    rule = min(listed * 1.0 + drain * 0.5 + large * 0.5, 1.0)
+    hybrid = p * 0.7 + rule * 0.3
+    alert = hybrid >= 0.75 or listed
+    parts = [n for n, on in (("ML", ml), ("BLACKLIST_RULE", listed), ("DRAIN", drain), ("LARGE_TXN", large)) if on]
+    source = "NONE" if not alert else {"": "HYBRID_SCORE", "ML": "ML_MODEL"}.get("+".join(parts), "+".join(parts))
+    ratio = None if row["oldbalanceOrg"] == -1.0 else row["amount"] / (row["oldbalanceOrg"] + 1.0)
+    return ratio, rule, hybrid, float(alert), source
+
+
+@pytest.fixture(scope="module")
+def sample(spark):
+    draw = random.Random(2024)
+    records = [make(draw) for _ in range(4000)]
+    data = [(i, *[r[c] for c in TRANSACTION_COLUMNS]) for i, r in enumerate(records)]
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("txn_id", T.LongType()), *TRANSACTION_SCHEMA.fields])
+    return records, spark.createDataFrame(data, schema)
+
+
+def test_cleaning(sample):
+    records, df = sample
+    found = {r.txn_id: r.asDict() for r in clean_transactions(df).collect()}
+    wanted, reasons = {}, {}
+    for key, record in enumerate(records):
+        row, reason = clean(record)
+        reasons[reason or "kept"] = reasons.get(reason or "kept", 0) + 1
+        if row:
+            wanted[key] = {"txn_id": key, **row}
+    assert found == wanted and len(wanted) > 500
+    assert {r.reason: r.row_count for r in drop_reasons(df).collect()} == reasons
+
+
+def test_scoring(sample):
+    records, df = sample
+    scored = score_transactions(df, key_scorer(), sorted(LISTED))
+    found = {
+        r.txn_id: (r.amount_ratio, r.rule_score, r.hybrid_score, r.is_alert, r.alert_source)
+        for r in scored.collect()
+    }
+    wanted = {k: score(row, k) for k, row in ((k, clean(r)[0]) for k, r in enumerate(records)) if row}
+    assert found == wanted
+    assert len({row[-1] for row in wanted.values()}) >= 8

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from txnguard.operators.running import ROWS_PER_BUCKET, running_totals
@@ -178,11 +178,10 @@ def evaluate(df: DataFrame, score: str | Column, label: str = "label") -> dict:
 
 
 def best_models(results: DataFrame, metric: str = "validation_auc") -> DataFrame:
-    """Rank candidates (one row each): best first, the earlier one wins a tie."""
-    ranked = results.orderBy(F.desc_nulls_last(metric), F.asc("position"))
-    best = ranked.limit(1).select(F.col("model_key").alias("_best"))
-    return (
-        results.join(F.broadcast(best), F.col("model_key") == F.col("_best"), "left")
-        .withColumn("role", F.when(F.col("_best").isNotNull(), "best").otherwise("alternate"))
-        .drop("_best")
-    )
+    """Mark the best candidate; the earlier one wins a tie.
+
+    ``results`` has one row per trained model, so one window over it is small.
+    """
+    order = Window.orderBy(F.desc_nulls_last(metric), F.asc("position"))
+    first = F.row_number().over(order) == 1
+    return results.withColumn("role", F.when(first, "best").otherwise("alternate"))

@@ -110,7 +110,11 @@ def running_fraud_share(
     every: int = 500,
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Rows sent so far and fraud share, at each ``every``-th row in key order."""
+    """Rows sent so far and fraud share, at each ``every``-th row in key order.
+
+    Rows that share a key count as sent together: a boundary inside them is
+    reported once, after the last of them.
+    """
     counted = materialize(
         df.groupBy(key).agg(
             F.count("*").alias("sent"),
