@@ -96,3 +96,23 @@ def test_scratch_lies_in_the_configured_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert session.shared_directory(spark) == shared
     assert session.scratch_path(spark, "x").startswith(shared)
+
+
+def test_json_is_parsed_once_under_filters(spark):
+    feed = spark.createDataFrame([('{"step": 1}',)], "value STRING")
+    plan = clean_transactions(events.decode_events(feed))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
+def test_fenced_columns_keep_order_pruning_and_pushdown(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from txnguard.functions.columns import evaluate_once
+
+    spark.range(9).selectExpr("id AS a", "id AS b", "id AS c").write.parquet(f"{tmp_path}/t")
+    df = evaluate_once(spark.read.parquet(f"{tmp_path}/t"), {"b": F.col("b") * 2, "d": F.col("b") + 1})
+    assert df.columns == ["a", "b", "c", "d"]
+    chosen = df.filter("a > 3 AND d < 8").select("b")
+    assert sorted(r.b for r in chosen.collect()) == [8, 10, 12]
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(a,3)" in plan and "ReadSchema: struct<a:bigint,b:bigint>" in plan

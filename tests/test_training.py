@@ -111,6 +111,14 @@ def test_save_load_score_and_reevaluate(spark, raw, results, tmp_path):
     assert "PythonUDF" not in scored._jdf.queryExecution().executedPlan().toString()
 
 
+def test_alert_filter_does_not_repeat_the_model(raw, results):
+    def model_calls(df):
+        return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("UDF(")
+
+    scored = score_transactions(raw, model_scorer(results["candidates"]["rf"]["model"]), ["C7"])
+    assert 0 < model_calls(scored.filter("is_alert = 1")) <= model_calls(scored)
+
+
 def test_fresh_model_serves_a_layered_stream(spark, results, rows, tmp_path):
     from txnguard.streaming import layers
 

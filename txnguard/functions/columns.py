@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from txnguard.schema import TRANSACTION_TYPES
 
@@ -17,14 +16,13 @@ def flag(condition: Column) -> Column:
     return F.when(condition, F.lit(1.0)).otherwise(F.lit(0.0))
 
 
-def to_double(column: Column, given: T.DataType | None = None) -> Column:
-    """Double, null if unreadable; a column that already is one is left alone."""
-    return column if isinstance(given, T.DoubleType) else column.try_cast("double")
+def to_double(column: Column) -> Column:
+    return column.try_cast("double")
 
 
-def to_whole(column: Column, given: T.DataType | None = None) -> Column:
+def to_whole(column: Column) -> Column:
     """Integer with truncation: '1.5' becomes 1, unreadable text becomes null."""
-    return column if isinstance(given, T.IntegerType) else column.try_cast("double").try_cast("int")
+    return column.try_cast("double").try_cast("int")
 
 
 def trimmed_upper(column: Column) -> Column:
@@ -69,3 +67,16 @@ def row_digest(columns: Iterable[str]) -> Column:
     """Identity for rows that carry no key: equal rows get equal digests."""
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in columns]
     return F.md5(F.concat_ws("\u0001", *parts))
+
+
+def evaluate_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that later filters read as values instead of recomputing.
+
+    The optimizer moves a filter below a projection by repeating the projected
+    expressions in it, once per mention. It does not move one below a
+    generator, so costly expressions (parsing, models) go through a
+    one-element array. Columns keep their place; new ones come last.
+    """
+    packed = F.inline(F.array(F.struct(*[value.alias(name) for name, value in columns.items()])))
+    order = [*df.columns, *[name for name in columns if name not in df.columns]]
+    return df.select(*[name for name in df.columns if name not in columns], packed).select(*order)

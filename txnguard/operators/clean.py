@@ -9,7 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txnguard.functions.columns import present, to_double, to_whole, trimmed_upper, type_code
+from txnguard.functions.columns import (
+    evaluate_once,
+    present,
+    to_double,
+    to_whole,
+    trimmed_upper,
+    type_code,
+)
 from txnguard.schema import (
     ACCOUNT_COLUMNS,
     CRITICAL_COLUMNS,
@@ -30,29 +37,29 @@ def require_columns(df: DataFrame) -> None:
 
 
 def typed_columns(schema: T.StructType) -> dict[str, Column]:
-    """Every transaction column with its clean type and spelling."""
+    """Clean type and spelling of each critical column that its type leaves open."""
     given = {field.name: field.dataType for field in schema.fields}
-
-    def real(name: str) -> Column:
-        return to_double(F.col(name), given[name])
-
-    def whole(name: str) -> Column:
-        return to_whole(F.col(name), given[name])
-
-    return {
-        "step": whole("step"),
+    computed = {
         "type": type_code(F.col("type")),
-        **{name: real(name) for name in MONEY_COLUMNS},
         **{name: trimmed_upper(F.col(name)) for name in ACCOUNT_COLUMNS},
-        "isFraud": real("isFraud"),
-        "isFlaggedFraud": F.coalesce(whole("isFlaggedFraud"), F.lit(0)),
     }
+    if not isinstance(given["step"], T.IntegerType):
+        computed["step"] = to_whole(F.col("step"))
+    for name in (*MONEY_COLUMNS, "isFraud"):
+        if not isinstance(given[name], T.DoubleType):
+            computed[name] = to_double(F.col(name))
+    return computed
 
 
 def standardize(df: DataFrame) -> DataFrame:
-    """Cast and normalise every row without dropping any."""
+    """Cast and normalise every row without dropping any.
+
+    Each critical value is computed once, though the validity filter reads it
+    again; ``isFlaggedFraud`` stays outside, so that it is read only if used.
+    """
     require_columns(df)
-    return df.withColumns(typed_columns(df.schema))
+    flagged = F.coalesce(to_whole(F.col("isFlaggedFraud")), F.lit(0))
+    return evaluate_once(df, typed_columns(df.schema)).withColumn("isFlaggedFraud", flagged)
 
 
 def normalize_text(df: DataFrame) -> DataFrame:
@@ -81,7 +88,7 @@ def is_valid() -> Column:
 
 
 def clean_transactions(df: DataFrame) -> DataFrame:
-    """Standardize, then keep the valid rows. One projection and one filter."""
+    """Standardize, then keep the valid rows: no shuffle."""
     return standardize(df).filter(is_valid())
 
 

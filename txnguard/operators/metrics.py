@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from txnguard.functions.columns import evaluate_once
 from txnguard.operators.running import ROWS_PER_BUCKET, running_totals
 from txnguard.schema import EVALUATION_METRICS
 from txnguard.session import materialize
@@ -64,11 +65,13 @@ def score_histogram(
     """
     value = F.col(score) if isinstance(score, str) else score
     guess = F.col(prediction) if prediction else F.lit(0.0)
-    narrow = df.select(
-        value.cast("double").alias("score"),
-        (F.col(label) == 1.0).alias("is_positive"),
-        (guess == 1.0).alias("is_guess"),
-    ).filter("score IS NOT NULL AND is_positive IS NOT NULL")
+    columns = {
+        "score": value.cast("double"),
+        "is_positive": F.col(label) == 1.0,
+        "is_guess": guess == 1.0,
+    }
+    scored = evaluate_once(df, columns).select(*columns)
+    narrow = scored.filter("score IS NOT NULL AND is_positive IS NOT NULL")
     positive, guessed = F.col("is_positive"), F.col("is_guess")
     return materialize(
         narrow.groupBy("score").agg(

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from txnguard.functions.columns import positive_class
+from txnguard.functions.columns import evaluate_once, positive_class
 from txnguard.operators.clean import clean_transactions
 from txnguard.operators.features import add_features, add_label
 from txnguard.operators.rules import score_rules
@@ -15,10 +16,11 @@ from txnguard.schema import DEFAULT_SCORING, ScoringConfig
 
 
 def model_scorer(model: PipelineModel) -> Callable[[DataFrame], DataFrame]:
-    """A scorer that applies a fitted model; no Python runs per row."""
+    """A scorer that applies a fitted model, once per row and without Python."""
 
     def score(df: DataFrame) -> DataFrame:
-        return model.transform(df).withColumn("fraud_probability", positive_class("probability"))
+        found = {"prediction": F.col("prediction"), "fraud_probability": positive_class("probability")}
+        return evaluate_once(model.transform(df), found)
 
     return score
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnguard.operators.rules import alert_counters
-from txnguard.schema import ALERT_SCHEMA, MAX_RECENT_ALERTS
+from txnguard.schema import ALERT_COLUMNS, ALERT_SCHEMA, MAX_RECENT_ALERTS
 
 COUNTERS = ("total_transactions", "total_fraud", "total_ml_alerts", "total_rule_alerts")
 
@@ -51,11 +52,11 @@ def recent_alerts(alerts: DataFrame, limit: int = 50, *order: str) -> DataFrame:
 def parse_alerts(feed: DataFrame, *keep: str) -> DataFrame:
     """Alert JSON in ``value`` to columns; unreadable text is skipped."""
     broken = "_broken"
-    schema = ALERT_SCHEMA.simpleString()[len("struct<"):-1] + f",{broken}:string"
-    options = {"columnNameOfCorruptRecord": broken}
-    parsed = feed.select(F.from_json("value", f"struct<{schema}>", options).alias("a"), *keep)
-    readable = F.col("a").isNotNull() & F.col(f"a.{broken}").isNull()
-    return parsed.filter(readable).select(*[f"a.{name}" for name in ALERT_SCHEMA.fieldNames()], *keep)
+    schema = T.StructType([*ALERT_SCHEMA.fields, T.StructField(broken, T.StringType(), True)])
+    parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": broken})
+    # A generator, so that the filter does not repeat the parsing.
+    fields = feed.filter("value IS NOT NULL").select(*keep, F.inline(F.array(parsed)))
+    return fields.filter(F.col(broken).isNull()).select(*ALERT_COLUMNS, *keep)
 
 
 def model_metrics(spark: SparkSession, path: str, fmt: str = "parquet") -> dict[str, float]:

@@ -20,9 +20,8 @@ def event_schema(*extra: tuple[str, T.DataType]) -> T.StructType:
 
 def encode_events(df: DataFrame, *extra: str) -> DataFrame:
     """Typed transactions as one JSON text per row in ``value``."""
-    given = {field.name: field.dataType for field in df.schema.fields}
-    typed = {c: to_double(F.col(c), given[c]) for c in MONEY_COLUMNS}
-    typed |= {c: to_whole(F.col(c), given[c]) for c in ("step", "isFraud", "isFlaggedFraud")}
+    typed = {c: to_double(F.col(c)) for c in MONEY_COLUMNS}
+    typed |= {c: to_whole(F.col(c)) for c in ("step", "isFraud", "isFlaggedFraud")}
     typed |= {c: F.trim(c) for c in ("type", "nameOrig", "nameDest")}
     fields = [typed[c].alias(c) for c in TRANSACTION_COLUMNS]
     return df.select(F.to_json(F.struct(*fields, *extra)).alias("value"))
@@ -37,12 +36,13 @@ def decode_events(
     ``rescue`` names a column that keeps the text of all-null rows.
     """
     text = F.col("value").cast("string")
-    parsed = df.select(text.alias("_text"), F.from_json(text, schema).alias("d"))
-    columns = [F.col(f"d.{name}").alias(name) for name in schema.fieldNames()]
-    if rescue:
-        empty = F.coalesce(*[F.col(f"d.{name}").cast("string") for name in schema.fieldNames()]).isNull()
-        columns.append(F.when(empty, F.col("_text")).alias(rescue))
-    return parsed.select(*columns)
+    # A generator, so that filters on the fields do not repeat the parsing.
+    fields = F.inline(F.array(F.from_json(text, schema)))
+    if not rescue:
+        return df.select(fields)
+    parsed = df.select(text.alias(rescue), fields)
+    empty = F.coalesce(*[F.col(name).cast("string") for name in schema.fieldNames()]).isNull()
+    return parsed.select(*schema.fieldNames(), F.when(empty, F.col(rescue)).alias(rescue))
 
 
 def write_replay(df: DataFrame, path: str, *extra: str, limit: int = 0, order_by: str = "txn_id") -> None:
