@@ -89,6 +89,8 @@ def test_counters_and_alert_feed_match_gold(finished):
     assert sums[0] == 122 and sums[0] == sums[1] + sums[2]
     parsed = serving.parse_alerts(found["alerts"], "txn_id")
     assert parsed.count() == totals.total_fraud == found["alerts"].count()
+    newest = serving.parse_alerts(serving.recent_alerts(found["alerts"], 5), "txn_id", "batch_id").collect()
+    assert len(newest) == 5 and {r.batch_id for r in newest} == {found["alerts"].agg(F.max("batch_id")).first()[0]}
 
 
 def test_batch_without_valid_rows_writes_raw_rows_and_counters_only(finished):
@@ -224,6 +226,17 @@ def test_repeats_are_dropped_across_batches(spark, tmp_path, thin_first):
     assert found == sorted({i if i % 3 else 7 for i in range(3000)})
 
 
+def test_repeated_events_reach_the_layers_once(spark, rows, tmp_path):
+    source = str(tmp_path / "in")
+    for _ in range(2):
+        events.encode_events(keyed(rows, 25).coalesce(1), "txn_id").write.mode("append").text(source)
+    once = dedup.drop_repeats(as_stream(spark, source), ["txn_id"], "event_time")
+    config = layers.LayerConfig(f"{tmp_path}/layers", blacklist=LISTED)
+    layers.start_layers(once, config, key_scorer(), f"{tmp_path}/c", every=None).awaitTermination()
+    found = sorted(r.txn_id for r in spark.read.parquet(config.path("bronze")).collect())
+    assert found == list(range(25))
+
+
 def test_thinning_keeps_the_first_row_per_key_and_batch():
     import pyarrow as pa
 

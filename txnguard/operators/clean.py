@@ -36,13 +36,15 @@ def require_columns(df: DataFrame) -> None:
         raise ValueError(f"Missing required transaction columns: {', '.join(absent)}")
 
 
+def _spelled_columns() -> dict[str, Column]:
+    accounts = {name: trimmed_upper(F.col(name)) for name in ACCOUNT_COLUMNS}
+    return {"type": type_code(F.col("type")), **accounts}
+
+
 def typed_columns(schema: T.StructType) -> dict[str, Column]:
     """Clean type and spelling of each critical column that its type leaves open."""
     given = {field.name: field.dataType for field in schema.fields}
-    computed = {
-        "type": type_code(F.col("type")),
-        **{name: trimmed_upper(F.col(name)) for name in ACCOUNT_COLUMNS},
-    }
+    computed = _spelled_columns()
     if not isinstance(given["step"], T.IntegerType):
         computed["step"] = to_whole(F.col("step"))
     for name in (*MONEY_COLUMNS, "isFraud"):
@@ -64,8 +66,7 @@ def standardize(df: DataFrame) -> DataFrame:
 
 def normalize_text(df: DataFrame) -> DataFrame:
     """Only the text columns of ``standardize``."""
-    typed = typed_columns(df.schema)
-    return df.withColumns({name: typed[name] for name in _TEXT_COLUMNS})
+    return df.withColumns(_spelled_columns())
 
 
 def _failures() -> list[tuple[str, Column]]:
