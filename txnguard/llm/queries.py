@@ -8,8 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from txnguard.llm.common import table
+from txnguard.llm.line_dedup import drop_spread_lines, line_sql
+from txnguard.llm.mixing import mix, mixing_sql, size_documents
 from txnguard.llm.packing import cut_pieces, pack
+from txnguard.llm.quality import judge_quality, quality_sql
 from txnguard.llm.token_counts import count_tokens
+from txnguard.llm.url_filters import RULES, judge_urls, page_links, url_sql
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -30,3 +34,33 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(cut_pieces(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER)))
+
+
+@_query
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_quality(table(spark, folder, "documents"))
+
+
+@_query
+def op6_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    sized = size_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return mix(sized).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@_query
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return drop_spread_lines(table(spark, folder, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
+@_query
+def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return judge_urls(pages, RULES, page_links(pages))
+
+
+ORACLES |= {
+    "op5_quality_rules": quality_sql(),
+    "op6_source_mixing": mixing_sql(),
+    "op7_line_dedup": line_sql(),
+    "op10_url_filters": url_sql(),
+}
