@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from txnguard.llm.common import table
 from txnguard.llm.line_dedup import drop_spread_lines, line_sql
 from txnguard.llm.mixing import mix, mixing_sql, size_documents
+from txnguard.llm.near_dups import NearDupConfig, near_duplicates
 from txnguard.llm.packing import cut_pieces, pack
 from txnguard.llm.quality import judge_quality, quality_sql
 from txnguard.llm.token_counts import count_tokens
@@ -64,3 +65,8 @@ ORACLES |= {
     "op7_line_dedup": line_sql(),
     "op10_url_filters": url_sql(),
 }
+
+
+@_query
+def op4_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"), NearDupConfig(words=2))
