@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from txnguard.llm.common import table
+from txnguard.llm.fingerprints import fingerprint_documents
 from txnguard.llm.line_dedup import drop_spread_lines, line_sql
 from txnguard.llm.mixing import mix, mixing_sql, size_documents
 from txnguard.llm.near_dups import NearDupConfig, near_duplicates
@@ -15,6 +16,7 @@ from txnguard.llm.packing import cut_pieces, pack
 from txnguard.llm.quality import judge_quality, quality_sql
 from txnguard.llm.token_counts import count_tokens
 from txnguard.llm.url_filters import RULES, judge_urls, page_links, url_sql
+from txnguard.llm.warc import archive_round_trip, warc_sql
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -70,3 +72,16 @@ ORACLES |= {
 @_query
 def op4_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), NearDupConfig(words=2))
+
+
+@_query
+def op2_warc_archives(spark: SparkSession, folder: str) -> DataFrame:
+    return archive_round_trip(table(spark, folder, "pages")).drop("uri")
+
+
+@_query
+def op3_prefix_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint_documents(table(spark, folder, "documents"))
+
+
+ORACLES["op2_warc_archives"] = warc_sql()
