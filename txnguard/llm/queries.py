@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from txnguard.llm.common import table
 from txnguard.llm.fingerprints import fingerprint_documents
+from txnguard.llm.language_id import identify_languages
 from txnguard.llm.line_dedup import drop_spread_lines, line_sql
 from txnguard.llm.mixing import mix, mixing_sql, size_documents
 from txnguard.llm.near_dups import NearDupConfig, near_duplicates
@@ -85,3 +86,8 @@ def op3_prefix_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op2_warc_archives"] = warc_sql()
+
+
+@_query
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return identify_languages(table(spark, folder, "documents"))
