@@ -1,0 +1,57 @@
+"""Small tables with the awkward rows that every operator must take."""
+
+from __future__ import annotations
+
+import random
+
+import duckdb
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+_RANDOM = random.Random(5)
+_SYLLABLES = "ba ne ti ro lu ska mer von dil pra osh enn".split()
+
+
+def sentence(words: int, rng: random.Random = _RANDOM) -> str:
+    return " ".join("".join(rng.choices(_SYLLABLES, k=rng.randint(1, 3))) for _ in range(words))
+
+
+def documents(spark, rows):
+    """``rows`` of (doc_id, text, lang, source)."""
+    full = [(i, t, g, s, None if t is None else len(t)) for i, t, g, s in rows]
+    return spark.createDataFrame(full, DOCS)
+
+
+def awkward(rng: random.Random | None = None):
+    """Null, empty and blank texts, a long one, ties, repeated rows, null sources, languages and symbols."""
+    rng = rng or random.Random(9)
+    long_text = "\n".join(sentence(60, rng) for _ in range(120))
+    return [
+        (1, None, "en", "a"),
+        (2, "", "en", None),
+        (3, " \t\n\x0b ", None, "b"),
+        (4, "One.", "en", "a"),
+        (5, sentence(30, rng), "en", "b"),
+        (6, sentence(30, rng) + "\nsame line\nsame line\n\nsame line", "de", "é"),
+        (7, "a b c d e " * 12, "de", "b"),
+        (7, "a b c d e " * 12, "de", "b"),
+        (8, "# * $ % & | < > " * 4, "fr", None),
+        (9, long_text, "fr", "a"),
+        (10, "Été Ünß 日本語 😀 <|endoftext|> it's 3.5 " + sentence(12, rng), "fr", "\U0001f600"),
+        (11, sentence(12, rng), None, None),
+    ]
+
+
+def duck(sql: str, **tables):
+    """Rows of DuckDB over Spark tables, as a sorted list of dictionaries."""
+    con = duckdb.connect()
+    for name, frame in tables.items():
+        con.register(name, frame.toArrow())
+    return table_rows(con.execute(sql).to_arrow_table().to_pylist())
+
+
+def table_rows(rows):
+    return sorted(rows, key=lambda r: str(sorted(r.items())))
+
+
+def spark_rows(frame):
+    return table_rows([r.asDict(recursive=True) for r in frame.collect()])

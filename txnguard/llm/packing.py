@@ -18,6 +18,8 @@ CAPACITY = 2048
 SLACK = 0.005
 #: Items that one best-fit run takes at most; a task with more makes several runs.
 BLOCK = 200_000
+#: Pieces that a partition of the first level gets, in the mean; many small ones pack best.
+LOCAL = 100_000
 #: So many groups of underfull bins meet in one group of the next level.
 FAN_IN = 8
 
@@ -128,8 +130,9 @@ def _pack_locally(items: DataFrame, size: str, level: int, capacity: int) -> Dat
 def pack(pieces: DataFrame, capacity: int = CAPACITY, slack: float = SLACK) -> DataFrame:
     """``pieces`` (with ``length`` from 1 to ``capacity``) with ``sequence_id`` and ``offset``.
 
-    Every partition packs its own pieces by best fit and emits bins that are
-    nearly full. The others become items as long as their fill, meet with those
+    Pieces are written once and read in partitions of about ``LOCAL``. Every
+    partition packs its own pieces by best fit and emits bins that are nearly
+    full. The others become items as long as their fill, meet with those
     of seven more partitions and are packed again, until one group is left or a
     level saves nothing. Only bins travel, never pieces, and no task holds more
     than ``BLOCK`` items at once. Each level is written to the shared folder,
@@ -138,11 +141,12 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, slack: float = SLACK) -> D
     Repeated rows are packed as they are; an empty table gives no rows.
     """
     enough = capacity - int(capacity * slack)
-    rows = materialize(_pack_locally(pieces, "length", 0, capacity), "packed")
+    cut = materialize(pieces, "pieces")
+    groups = max(1, -(-cut.count() // LOCAL))
+    rows = materialize(_pack_locally(cut.coalesce(groups), "length", 0, capacity), "packed")
     under = rows.filter((F.col("bin_offset") == 0) & (F.col("bin_fill") < enough))
     items = under.select("bin", F.col("bin_fill").alias("fill"))
-    groups, before = rows.select(F.shiftright("bin", 32).alias("task")).distinct().count(), None
-    moves, level = None, 0
+    moves, level, before = None, 0, None
     while True:
         count = items.count()
         if count < 2 or (before is not None and count > 0.95 * before):
