@@ -57,8 +57,8 @@ def corpus():
 def test_all_links_are_found(spark):
     rows = corpus()
     frame = documents(spark, rows)
-    # A chunk of five makes the last round split its buckets.
-    config = NearDupConfig(words=2, chunk=5, star_rounds=2)
+    # Small chunks and parts make the last round split its buckets and groups.
+    config = NearDupConfig(words=2, chunk=5, part=3)
     assert found(frame, config) == brute_force(rows, 2)
 
 

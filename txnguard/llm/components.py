@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 from txnguard.session import materialize
 
 
-def _state(edges: DataFrame) -> tuple:
-    """Number and order-free checksum of the edges."""
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
+def _is_settled(edges: DataFrame) -> bool:
+    """Whether every node hangs directly on one root."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(0).alias("hangs")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(1).alias("hangs"))
+    )
+    seen = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.min("hangs").alias("least"))
+    return seen.filter("hangs > 1 OR (hangs = 1 AND least = 0)").isEmpty()
 
 
 def _hang(edges: DataFrame, to_larger: bool) -> DataFrame:
@@ -37,7 +41,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node`` and ``component``, the least node reachable, for every node of ``edges``.
 
     Alternates large-star and small-star steps, each linear in the edges, until
-    nothing changes; the number of rounds grows with the logarithm of the
+    every node hangs on its root; the number of rounds grows with the logarithm of the
     graph's size, not with its diameter. Every step is a written table in the
     shared folder. Edges with a null end and loops are ignored, repeated edges
     count once; no edges give no rows. Ids of any type with an order will do.
@@ -45,13 +49,27 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     known = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")
     ordered = known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b")
     current = materialize(ordered.distinct(), "edges")
-    state = _state(current)
-    while state[0]:
+    while not _is_settled(current):
         current = _hang(_hang(current, to_larger=True), to_larger=False)
-        before, state = state, _state(current)
-        if before == state:
-            break
     roots = current.select(F.col("a").alias("node")).distinct()
     return current.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(
         roots.withColumn("component", F.col("node"))
     )
+
+
+def merge_components(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """``groups`` (``node, component``, stored) after the edges ``a, b`` of ``links`` are added.
+
+    Only edges between groups are searched, so a few new edges cost little.
+    """
+    for end in ("a", "b"):
+        side = groups.select(F.col("node").alias("_node"), F.col("component").alias(f"_{end}"))
+        links = links.join(side, links[end] == side._node, "left").drop("_node")
+    between = links.select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+    merged = materialize(components(between), "merged").select(F.col("node").alias("_node"), F.col("component").alias("_to"))
+    moved = groups.join(merged, groups.component == merged._node, "left").select(
+        "node", F.coalesce("_to", "component").alias("component")
+    )
+    known = groups.select(F.col("node").alias("_known"))
+    new = merged.join(known, merged._node == known._known, "left_anti")
+    return moved.unionByName(new.select(F.col("_node").alias("node"), F.col("_to").alias("component")))

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnguard.llm.components import components
+from txnguard.llm.components import components, merge_components
 from txnguard.session import materialize
 
 
@@ -20,7 +20,8 @@ class NearDupConfig:
 
     A pair at 80 % shares no band with probability (1 - 0.8 ** rows) ** bands,
     5e-7 with these values. ``slack`` is how far below the threshold a sketch
-    may put a pair that is still checked: over six standard errors.
+    may put a pair that is still checked: nearly five standard errors.
+    Buckets are searched in chunks, groups in parts of so many members.
     """
 
     words: int = 5
@@ -28,9 +29,10 @@ class NearDupConfig:
     bands: int = 48
     rows: int = 6
     bits: int = 1024
-    slack: float = 0.16
-    star_rounds: int = 3
+    slack: float = 0.12
+    star_rounds: int = 2
     chunk: int = 2048
+    part: int = 256
 
 
 _U32, _U64 = np.uint32, np.uint64
@@ -169,10 +171,13 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, config: Ne
     return materialize(passed.filter(exact).select("a", "b").distinct(), "links")
 
 
-def _outside_pairs(mixed: DataFrame, classes: DataFrame, config: NearDupConfig) -> DataFrame:
-    """Every pair of a bucket whose ends lie in different groups, thinned by sketches inside the tasks.
+def _outside_candidates(mixed: DataFrame, classes: DataFrame, config: NearDupConfig) -> DataFrame:
+    """``rep, grp``: members that some co-member in another group resembles by sketch, and that group.
 
-    A bucket larger than a chunk is split: the members of its largest group are
+    All pairs of a bucket across groups are compared inside the tasks, and a
+    member names each resembling group once, however many of its members
+    resemble it; of two groups the smaller one's members name the larger. A
+    bucket larger than a chunk is split: the members of its largest group are
     dealt out over the chunks, all others visit every chunk. So a chunk stays
     small and every pair from different groups meets in one of them.
     """
@@ -191,19 +196,20 @@ def _outside_pairs(mixed: DataFrame, classes: DataFrame, config: NearDupConfig)
     visits = F.when(F.coalesce(F.col("grp") == F.col("main"), F.col("members") <= config.chunk), F.array(own)).otherwise(
         F.sequence(F.lit(0), parts - 1)
     )
-    placed = dealt.select("key", "rep", "grp", own.alias("home"), F.explode(visits).alias("part"))
+    placed = dealt.select("key", "rep", "grp", "grp_size", own.alias("home"), F.explode(visits).alias("part"))
     side = classes.select(F.col("rep").alias("class_rep"), "n", "odd")
-    rows = placed.join(side, placed.rep == side.class_rep).select("key", "part", "rep", "grp", "home", "n", "odd")
+    rows = placed.join(side, placed.rep == side.class_rep)
+    rows = rows.select("key", "part", "rep", "grp", "grp_size", "home", "n", "odd")
     rows = rows.repartition("key", "part").sortWithinPartitions("key", "part")
-    words, floor = config.bits // 64, config.percent / 100 - config.slack
-    most = config.bits / 2 * (1 - np.exp(-4 * config.bands * config.rows * (1 - floor) / config.bits))
+    words, most = config.bits // 64, _most_differing(config)
 
     def compare(table: pa.Table):
         """All pairs of equal key and part: each row against the one ``step`` rows on, step by step."""
-        key, part, home, n = (table.column(c).to_numpy() for c in ("key", "part", "home", "n"))
-        group = table.column("grp").combine_chunks().dictionary_encode()
-        group = (group.combine_chunks() if isinstance(group, pa.ChunkedArray) else group).indices.to_numpy()
-        odd = table.column("odd").combine_chunks().flatten().to_numpy().view(_U64).reshape(len(key), words)
+        table = table.combine_chunks()
+        key, part, home, n, size = (table.column(c).to_numpy() for c in ("key", "part", "home", "n", "grp_size"))
+        groups = pa.concat_arrays(table.column("grp").chunks).dictionary_encode()
+        group = groups.indices.to_numpy().astype(np.int64)
+        odd = _bits(table.column("odd"), words)
         left, step, found = np.arange(len(key)), 1, []
         while len(left):
             left = left[left + step < len(key)]
@@ -216,36 +222,129 @@ def _outside_pairs(mixed: DataFrame, classes: DataFrame, config: NearDupConfig)
             # Two visitors meet in every chunk; the home of either is enough.
             test &= (home[left] == part[left]) | (home[right] == part[right])
             x, y = left[test], right[test]
-            if len(x):
-                close = np.bitwise_count(odd[x] ^ odd[y]).sum(axis=1) <= most
-                found.append(np.stack((x[close], y[close])))
+            close = np.bitwise_count(odd[x] ^ odd[y]).sum(axis=1) <= most
+            x, y = x[close], y[close]
+            swap = (size[x] > size[y]) | ((size[x] == size[y]) & (group[x] < group[y]))
+            x, y = np.where(swap, y, x), np.where(swap, x, y)
+            found.append(np.unique(x * len(key) + group[y]))
             step += 1
-        pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-        rep = table.column("rep")
-        yield from pa.table({"a": rep.take(pairs[0]), "b": rep.take(pairs[1])}).to_batches(max_chunksize=50_000)
+        named = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+        reps, targets = table.column("rep").take(named // len(key)), groups.dictionary.take(pa.array(named % len(key)))
+        yield from pa.table({"rep": reps, "grp": targets}).to_batches(max_chunksize=50_000)
+
+    found = rows.mapInArrow(_by_run(compare, 2), f"rep {kind}, grp {kind}")
+    return found.distinct()
+
+
+def _most_differing(config: NearDupConfig) -> float:
+    """Differing bits of two sketches at the least similarity that is still checked."""
+    least = config.percent / 100 - config.slack
+    return config.bits / 2 * (1 - np.exp(-4 * config.bands * config.rows * (1 - least) / config.bits))
+
+
+def _bits(column: pa.ChunkedArray, words: int) -> np.ndarray:
+    flat = np.concatenate([chunk.flatten().to_numpy() for chunk in column.chunks] or [np.zeros(0, np.int64)])
+    return flat.view(_U64).reshape(-1, words)
+
+
+def _by_run(work, width: int):
+    """An Arrow function that hands each whole run of rows with equal first ``width`` columns on in one table."""
+
+    def cut(batch: pa.RecordBatch) -> int:
+        """Where the last run of the batch begins."""
+        start = 0
+        for column in batch.columns[:width]:
+            values = column.to_numpy(zero_copy_only=False)
+            other = np.flatnonzero(values != values[-1])
+            start = max(start, int(other[-1]) + 1 if len(other) else 0)
+        return start
+
+    def first(batch: pa.RecordBatch, row: int) -> tuple:
+        return tuple(column[row].as_py() for column in batch.columns[:width])
 
     def runs(batches):
         held: list[pa.RecordBatch] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, part = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            last = np.flatnonzero((key != key[-1]) | (part != part[-1]))
-            cut = int(last[-1]) + 1 if len(last) else 0
-            if held and (cut or held[-1].column(0)[-1].as_py() != key[0] or held[-1].column(1)[-1].as_py() != part[0]):
-                held.append(batch.slice(0, cut))
-                yield from compare(pa.Table.from_batches(held))
-                held = [batch.slice(cut)]
-            elif cut:
-                yield from compare(pa.Table.from_batches([batch.slice(0, cut)]))
-                held = [batch.slice(cut)]
-            else:
-                held.append(batch)
+            if held and first(held[-1], 0) != first(batch, 0):
+                yield from work(pa.Table.from_batches(held))
+                held = []
+            start = cut(batch)
+            if start:
+                yield from work(pa.Table.from_batches([*held, batch.slice(0, start)]))
+                held = []
+            held.append(batch.slice(start))
         if held:
-            yield from compare(pa.Table.from_batches(held))
+            yield from work(pa.Table.from_batches(held))
 
-    found = rows.mapInArrow(runs, f"a {kind}, b {kind}")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return runs
+
+
+def _group_links(candidates: DataFrame, groups: DataFrame, classes: DataFrame, sets: DataFrame, config: NearDupConfig) -> DataFrame:
+    """One confirmed link ``a, b`` for every candidate ``rep`` and part of its ``grp`` that has any.
+
+    The members of a group are dealt out in parts of bounded size; a candidate
+    visits every part and is compared with the members there, nearest sketch
+    first, on full sets, until one is linked. So what moves and what comes out
+    is linear in candidates and members, not in their pairs.
+    """
+    kind = classes.schema["rep"].dataType.simpleString()
+    wanted = candidates.select(F.col("grp").alias("_grp")).distinct()
+    inside = groups.select(F.col("component").alias("grp"), F.col("node").alias("rep"))
+    alone = wanted.join(groups.select("component"), F.col("_grp") == F.col("component"), "left_anti")
+    inside = inside.join(wanted, inside.grp == wanted._grp, "left_semi").unionByName(
+        alone.select(F.col("_grp").alias("grp"), F.col("_grp").alias("rep"))
+    )
+    inside = materialize(inside, "inside")
+    sizes = materialize(inside.groupBy(F.col("grp").alias("_grp")).agg(F.count("*").alias("_size")), "sizes")
+    parts = F.ceil(F.col("_size") / config.part).cast("int")
+    members = inside.join(sizes, inside.grp == sizes._grp).select(
+        "grp", F.pmod(F.xxhash64("rep"), parts).cast("int").alias("part"), F.lit(0).alias("visits"), "rep"
+    )
+    visitors = candidates.join(sizes, candidates.grp == sizes._grp).select(
+        "grp", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(1).alias("visits"), "rep"
+    )
+    side = classes.select(F.col("rep").alias("class_rep"), "odd")
+    full = sets.select(F.col("rep").alias("set_rep"), F.col("members").alias("shingles"))
+    rows = members.unionByName(visitors)
+    rows = rows.join(side, rows.rep == side.class_rep).join(full, rows.rep == full.set_rep)
+    rows = rows.select("grp", "part", "visits", "rep", "odd", "shingles")
+    rows = rows.repartition("grp", "part").sortWithinPartitions("grp", "part", "visits")
+    words, most = config.bits // 64, _most_differing(config)
+
+    def link(batches):
+        here, odd, sizes_here, held = None, None, None, []
+        for batch in batches:
+            place = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            visits, reps = batch.column(2).to_numpy(), batch.column(3)
+            bits = _bits(pa.chunked_array([batch.column(4)]), words)
+            linked: list[tuple] = []
+            for row in range(batch.num_rows):
+                if place[row] != here:
+                    here, odd, held = place[row], None, []
+                own = batch.column(5)[row].values.to_numpy().view(_U64)  # in this order they are sorted
+                if not visits[row]:
+                    held.append((reps[row].as_py(), bits[row].copy(), own.copy()))
+                    continue
+                if odd is None:
+                    odd = np.array([h[1] for h in held], _U64).reshape(-1, words)
+                    sizes_here = np.array([len(h[2]) for h in held])
+                apart = np.bitwise_count(odd ^ bits[row]).sum(axis=1)
+                fits = 100 * np.minimum(sizes_here, len(own)) >= config.percent * np.maximum(sizes_here, len(own))
+                near = np.flatnonzero((apart <= most) & fits)
+                for other in near[np.argsort(apart[near], kind="stable")]:
+                    name, _, theirs = held[other]
+                    at = np.searchsorted(theirs, own)
+                    shared = int((theirs[np.minimum(at, len(theirs) - 1)] == own).sum())
+                    if 100 * shared >= config.percent * (len(own) + len(theirs) - shared):
+                        linked.append((reps[row].as_py(), name))
+                        break
+            if linked:
+                kinds = batch.schema.field(3).type
+                yield pa.RecordBatch.from_arrays([pa.array(c, kinds) for c in zip(*linked)], ["a", "b"])
+
+    return materialize(rows.mapInArrow(link, f"a {kind}, b {kind}").distinct(), "links")
 
 
 def near_duplicates(
@@ -256,11 +355,11 @@ def near_duplicates(
     Rows with equal sets are one class from the start. Classes that share a
     band meet in a bucket, but a bucket never gives all its pairs: in each star
     round one member is compared with those not yet in its group, which joins
-    the bulk of any size in linear work. Only buckets that still hold several
-    groups are then searched for pairs between groups, inside the tasks and by
-    sketch, in chunks of bounded size. Candidate pairs pass the odd-sketch
-    estimate and are confirmed on full sets of 64-bit shingle hashes; links are
-    closed to components.
+    the bulk of any size in linear work. Buckets that still hold several groups
+    are then searched across groups by sketch, inside the tasks; a member names
+    each group it resembles, and is compared with that whole group on full sets
+    of 64-bit shingle hashes. Pairs are never written out. Every link is
+    confirmed on full sets, and links are closed to components.
 
     Null or empty text, and text without words, has an empty set and is linked
     with nothing. Repeated rows with one id are one node of the graph. A null
@@ -284,8 +383,7 @@ def near_duplicates(
     sets = materialize(_sets(docs, needed, config, doc_id, text), "sets")
 
     pairs = members.filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
-    links = _confirmed(pairs, classes, sets, config)
-    groups = materialize(components(links), "groups")
+    groups = materialize(components(_confirmed(pairs, classes, sets, config)), "groups")
     for turn in range(1, config.star_rounds + 1):
         last = turn == config.star_rounds
         # Two members have been compared by their first star.
@@ -300,16 +398,18 @@ def near_duplicates(
         open_keys = materialize(open_keys, "open")
         mixed = own.join(open_keys, own.key == open_keys.open_key)
         if last:
-            mixed = materialize(mixed.select("key", "rep", "members", "grp"), "mixed")
-            pairs = _outside_pairs(mixed, classes, config)
+            sizes = materialize(groups.groupBy(F.col("component").alias("_grp")).agg(F.count("*").alias("_size")), "group-sizes")
+            mixed = mixed.join(sizes, F.col("grp") == F.col("_grp"), "left")
+            mixed = mixed.select("key", "rep", "members", "grp", F.coalesce("_size", F.lit(1)).alias("grp_size"))
+            candidates = materialize(_outside_candidates(materialize(mixed, "mixed"), classes, config), "candidates")
+            new = _group_links(candidates, groups, classes, sets, config)
         else:
             pairs = mixed.filter(F.col("grp") != F.col("_hub.grp")).select(
                 F.least("rep", "_hub.rep").alias("a"), F.greatest("rep", "_hub.rep").alias("b")
-            ).distinct()
-        new = _confirmed(pairs, classes, sets, config)
+            )
+            new = _confirmed(pairs.distinct(), classes, sets, config)
         if not new.isEmpty():
-            links = links.unionByName(new)
-            groups = materialize(components(links), "groups")
+            groups = materialize(merge_components(groups, new), "groups")
 
     marked = classes.select("set_key", "rep").join(groups, F.col("rep") == groups.node, "left")
     marked = materialize(marked.select(F.col("set_key").alias("class_key"), F.coalesce("component", "rep").alias("grp")), "marked")
