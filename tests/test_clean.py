@@ -67,8 +67,3 @@ def test_counts_reconcile(rows):
 def test_cleaning_is_one_scan_without_shuffle(rows):
     plan = clean.clean_transactions(rows({}))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
-
-
-def test_text_alone_can_be_normalised(rows):
-    raw = rows({"type": " cash in", "nameOrig": None, "nameDest": " m9"}).select("type", "nameOrig", "nameDest", "amount")
-    assert tuple(clean.normalize_text(raw).first()) == ("CASH_IN", "", "M9", 120.5)

@@ -25,10 +25,12 @@ def test_hash_split_is_independent_of_partitioning(labelled):
 
 
 def test_splits_cover_all_rows_once(labelled):
-    for parts in (sampling.hash_split(labelled), sampling.random_split(labelled)):
-        assert list(parts) == ["train", "validation", "test"]
-        assert sum(p.count() for p in parts.values()) == 4000
-        assert 0.65 < parts["train"].count() / 4000 < 0.75
+    parts = sampling.hash_split(labelled)
+    drawn = {r.split: r["count"] for r in sampling.with_random_split(labelled).groupBy("split").count().collect()}
+    for counts in ({name: part.count() for name, part in parts.items()}, drawn):
+        assert set(counts) == {"train", "validation", "test"}
+        assert sum(counts.values()) == 4000
+        assert 0.65 < counts["train"] / 4000 < 0.75
 
 
 @pytest.mark.parametrize("fraction", [0, -0.1, 1.5])
@@ -68,6 +70,27 @@ def test_bounded_sample_with_a_hot_group_of_copies(spark):
     assert sorted(found) == sorted(sorted(pool, key=lambda k: (digest(k), k))[:250])
 
 
+def test_bounded_sample_takes_any_number_of_classes(spark):
+    many = spark.range(3000).select(F.col("id").alias("txn_id"), (F.col("id") % 1500).alias("label"))
+    assert sampling.bounded_sample(many, 1).count() == 1500
+
+
+def test_sample_keeps_every_class(spark):
+    rows = spark.range(9000).select(
+        F.col("id").alias("txn_id"), F.when(F.col("id") % 3 < 2, F.col("id") % 3).cast("double").alias("label")
+    )
+    found = {r.label: r["count"] for r in sampling.stratified_sample(rows, 0.3).groupBy("label").count().collect()}
+    assert set(found) == {0.0, 1.0, None} and all(780 < n < 1020 for n in found.values())
+
+
+def test_first_rows_cut_between_equal_keys(spark):
+    rows = spark.range(40).select((F.col("id") % 4).alias("k"), F.col("id"))
+    assert [(r.k, r.id) for r in sampling.first_rows(rows, 14, ["k"]).orderBy("k", "id").collect()] == [
+        *[(0, i) for i in range(0, 40, 4)],
+        *[(1, i) for i in (1, 5, 9, 13)],
+    ]
+
+
 def test_class_weights(labelled):
     found = sampling.class_weights(labelled).first()
     assert (found.total, found.fraud_count) == (4000, 200)

@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -24,7 +26,7 @@ def results(raw):
 
 
 def test_feature_stages(spark):
-    indexer, assembler, scaler = training.feature_stages()
+    _, indexer, assembler, scaler = training.feature_stages()
     assert isinstance(indexer, StringIndexer) and indexer.getHandleInvalid() == "keep"
     assert isinstance(assembler, VectorAssembler) and assembler.getInputCols() == list(MODEL_INPUTS)
     assert isinstance(scaler, StandardScaler) and scaler.getWithStd() and not scaler.getWithMean()
@@ -57,12 +59,12 @@ def test_profiles(spark):
 
 
 def test_results_hold_everything(spark, raw, results):
-    assert set(results["candidates"]) == {"rf", "gbt"}
-    assert results["data_summary"]["raw_rows"] == 1500
-    for found in results["candidates"].values():
-        assert set(found["test_metrics"]) == set(EVALUATION_METRICS)
-        assert 0.0 <= found["validation_metrics"]["auc"] <= 1.0
-        corners = found["test_roc_curve"].orderBy("point").collect()
+    assert set(results.candidates) == {"rf", "gbt"}
+    assert results.summary["raw_rows"] == 1500
+    for found in results.candidates.values():
+        assert set(found.test) == set(EVALUATION_METRICS)
+        assert 0.0 <= found.validation["auc"] <= 1.0
+        corners = found.curve.orderBy("point").collect()
         assert (corners[0].fpr, corners[-1].tpr) == (0.0, 1.0)
     table = training.comparison_table(spark, results)
     assert table.count() == 2 and len(table.columns) == 13
@@ -84,27 +86,30 @@ def test_random_split_and_sampling(raw):
 
 def test_best_is_by_validation_auc_first_wins():
     def bundle(*areas):
-        return {"candidates": {k: {"validation_metrics": {"auc": a}} for k, a in zip(("rf", "gbt"), areas)}}
+        found = {k: training.Candidate(k, k, 0.0, {"auc": a}, {}, {}, None) for k, a in zip(("rf", "gbt"), areas)}
+        return training.TrainingRun(found, {}, "custom", None, 1, "", {})
 
     assert training.select_best(bundle(0.7, 0.9)) == ("gbt", "rf")
     assert training.select_best(bundle(0.8, 0.8)) == ("rf", "gbt")
     assert training.select_best(bundle(None, 0.1)) == ("gbt", "rf")
+    assert training.select_best(bundle(None, 0.0)) == ("gbt", "rf")
 
 
 def test_save_load_score_and_reevaluate(spark, raw, results, tmp_path):
     root = str(tmp_path)
-    best, alternate = registry.save_models(spark, results, root)
+    registry.save_models(spark, results, root)
+    best, alternate = registry.save_models(spark, results, root).keys.values()
     assert {best, alternate} == {"rf", "gbt"}
     metrics = serving.model_metrics(spark, f"{root}/model_metrics")
     assert set(metrics) == {*EVALUATION_METRICS, *(f"validation_{m}" for m in EVALUATION_METRICS), "training_time_seconds"}
-    assert metrics["auc"] == round(results["candidates"][best]["test_metrics"]["auc"], 6)
+    assert metrics["auc"] == round(results.candidates[best].test["auc"], 6)
 
     paths = {role: registry.model_path(root, role) for role in ("best", "alternate", "absent")}
     again = {r.model: r for r in training.evaluate_saved(raw, paths).collect()}
     assert set(again) == {"best", "alternate"}
     assert sum(r.is_best for r in again.values()) == 1
     # The stored model on the rebuilt test split repeats the training-time result.
-    assert again["best"].auc == pytest.approx(results["candidates"][best]["test_metrics"]["auc"], abs=1e-12)
+    assert again["best"].auc == pytest.approx(results.candidates[best].test["auc"], abs=1e-12)
 
     scored = score_transactions(raw, model_scorer(registry.load_model(root)), ["C7"])
     assert scored.filter("fraud_probability NOT BETWEEN 0 AND 1").count() == 0
@@ -115,7 +120,7 @@ def test_alert_filter_does_not_repeat_the_model(raw, results):
     def model_calls(df):
         return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("UDF(")
 
-    scored = score_transactions(raw, model_scorer(results["candidates"]["rf"]["model"]), ["C7"])
+    scored = score_transactions(raw, model_scorer(results.candidates["rf"].model), ["C7"])
     assert 0 < model_calls(scored.filter("is_alert = 1")) <= model_calls(scored)
 
 
@@ -123,20 +128,20 @@ def test_fresh_model_serves_a_layered_stream(spark, results, rows, tmp_path):
     from txnguard.streaming import layers
 
     batch = rows(*({"step": i, "type": "TRANSFER"} for i in range(20))).withColumn("processed_at", F.current_timestamp())
-    scorer = model_scorer(results["candidates"]["rf"]["model"])
+    scorer = model_scorer(results.candidates["rf"].model)
     found = layers.process_batch(batch, 0, layers.LayerConfig(str(tmp_path)), scorer)
     assert found["total_transactions"] == 20
 
 
 def test_save_without_models_is_an_error(spark, results, tmp_path):
-    bare = {"candidates": {k: {n: v for n, v in c.items() if n != "model"} for k, c in results["candidates"].items()}}
+    bare = replace(results, candidates={k: replace(c, model=None) for k, c in results.candidates.items()})
     with pytest.raises(ValueError, match="include_models"):
         registry.save_models(spark, bare, str(tmp_path))
 
 
 def test_metrics_are_replaced_and_runs_are_appended(spark, results, tmp_path):
     for _ in range(2):
-        registry.store_metrics(spark, results["candidates"]["rf"], f"{tmp_path}/m")
+        registry.store_metrics(spark, results.candidates["rf"], f"{tmp_path}/m")
         registry.log_runs(spark, results, "run", f"{tmp_path}/runs")
     assert spark.read.parquet(f"{tmp_path}/m").count() == 11
     assert registry.runs(spark, f"{tmp_path}/runs").count() == 2 * 2 * 2 * 5
@@ -168,6 +173,29 @@ def test_recent_alerts_are_newest_first(spark):
     assert serving.recent_alerts(feed).count() == 50
 
 
+def test_negative_balance_keeps_the_fit_whole(spark, raw, rows):
+    odd = rows({"oldbalanceOrg": -1.0}, {"oldbalanceOrg": 5.0, "amount": 3.0}, {"oldbalanceOrg": 9.0, "amount": 4.0})
+    ready = training.labelled_features(odd)
+    assert ready.filter("amount_ratio IS NULL").count() == 1
+    fitted = training.feature_pipeline().fit(ready)
+    assert all(value == value for _, value in training.scaler_deviations(fitted))
+    scaled = fitted.transform(ready).select(vector_to_array("features").alias("v")).collect()
+    assert len(scaled) == 3 and all(x == x for r in scaled for x in r.v)
+
+
+def test_off_type_alerts_are_kept(spark):
+    texts = ['{"step": 3.0, "type": "DEBIT"}', '{"amount": "12.5", "is_ml_alert": true}', "[1]", "{", '{"step": "x"}']
+    feed = spark.createDataFrame([(t,) for t in texts], "value STRING")
+    found = [(r.step, r.type, r.amount) for r in serving.parse_alerts(feed).collect()]
+    assert sorted(found, key=str) == sorted([(3, "DEBIT", None), (None, None, 12.5), (None, None, None)], key=str)
+
+
+def test_run_log_holds_all_parameters(spark, results, tmp_path):
+    registry.log_runs(spark, replace(results, data="orders"), "a", f"{tmp_path}/r")
+    row = registry.runs(spark, f"{tmp_path}/r").first()
+    assert (row.data, row.profile, row.train_share, row.validation_share, row.test_share) == ("orders", "custom", 0.7, 0.15, 0.15)
+
+
 def test_unreadable_alerts_are_skipped(spark):
     feed = spark.createDataFrame([('{"type": "DEBIT", "amount": 5}',), ('{"type": "DE',), (None,)], "value STRING")
     found = serving.parse_alerts(feed).collect()

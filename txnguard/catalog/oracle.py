@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from txnguard.schema import MODEL_INPUTS
+
 _RAW = """
 base AS (
   SELECT o_orderkey AS k, o_custkey, o_totalprice AS p, c_acctbal AS bal,
@@ -182,12 +184,20 @@ def _auc(source: str, score: str) -> str:
 
 
 def _std_rows() -> str:
-    inputs = (
-        "amount oldbalanceOrg newbalanceOrig oldbalanceDest newbalanceDest balance_diff_orig "
-        "balance_diff_dest amount_ratio is_zero_balance_orig is_large_amount type_index"
-    ).split()
     return "\nUNION ALL ".join(
-        f"SELECT '{name}' AS feature, round(stddev_samp({name}), 4) AS std FROM indexed" for name in inputs
+        f"SELECT '{name}' AS feature, round(stddev_samp({name}), 4) AS std FROM indexed" for name in MODEL_INPUTS
+    )
+
+
+_METRIC_NAMES = "(VALUES ('accuracy'), ('precision'), ('recall'), ('f1'), ('auc')) AS m(metric)"
+_MODELS = "(VALUES ('rf', 'RandomForest'), ('gbt', 'GradientBoostedTrees')) AS k(model_key, model_name)"
+
+
+def _compared(profile: str) -> str:
+    counts = ", ".join(f"count(*) FILTER (split = '{s}') AS {s}_rows" for s in ("train", "validation", "test"))
+    return _with(
+        _FEATURES + f", parts AS (SELECT {counts} FROM (SELECT {_SPLIT} AS split FROM prepared))",
+        f"SELECT model_key, model_name, '{profile}' AS profile, parts.*, true AS in_range FROM {_MODELS}, parts",
     )
 
 
@@ -404,7 +414,8 @@ found AS (
     ),
     "stream_gold": _GOLD,
     "stream_silver": _with(_FEATURES, "SELECT *, isFraud AS label FROM featured"),
-    "stream_batch_kpis": _KPIS,
+    "stream_batch_kpis": f"""SELECT kpi.*, n AS raw_rows, n - total_transactions AS dropped_rows, true AS several_batches
+        FROM ({_KPIS}) AS kpi, (SELECT count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey)""",
     "stream_alerts": _with(_FEATURES, "SELECT * FROM payload"),
     "stream_kpi_counters": _with(_FEATURES, "SELECT * FROM counters"),
     "stream_fraud_share": _with(
@@ -432,4 +443,63 @@ found AS (
            GROUP BY window_start, type""",
     ),
     "stream_dedup": "SELECT event_id, user_id, event_type, value FROM events",
+    "csv_extra_columns": _with(_TYPED, "SELECT * EXCLUDE (txn_id), 'file' AS source FROM clean"),
+    "amount_quantiles_approx": """SELECT level, true AS within_error
+        FROM (VALUES ('p50'), ('p90'), ('p99'), ('p999')) AS l(level)""",
+    "table_file_check": """SELECT true AS has_files, 0 AS empty_files, count(*) AS row_count,
+        'o_comment_text' AS missing_columns FROM orders""",
+    "replay_share_text_key": _with(
+        _RAW,
+        """SELECT sent_rows, fraud_rows, round(fraud_rows * CAST(100 AS DOUBLE) / sent_rows, 4) AS fraud_percent
+           FROM (SELECT row_number() OVER by_key AS sent_rows, CAST(sum(isFraud) OVER by_key AS BIGINT) AS fraud_rows
+                 FROM raw WINDOW by_key AS (ORDER BY md5(CAST(txn_id AS VARCHAR)) ROWS UNBOUNDED PRECEDING))
+           WHERE sent_rows % 500 = 0""",
+    ),
+    "blacklist_forms": _with(
+        _TYPED,
+        """SELECT txn_id, hit AS by_name, hit AS by_rows, hit AS by_join
+           FROM (SELECT txn_id, CAST(nameDest IN ('C7', 'C31') AS DOUBLE) AS hit FROM clean)""",
+    ),
+    "alert_json_off_type": _with(_FEATURES, "SELECT * FROM payload"),
+    "gold_table_full": f"""SELECT gold.*, o_orderdate AS processed_at, strftime(o_orderdate, '%Y-%m-%d') AS dt,
+        strftime(o_orderdate, '%H') AS hour FROM ({_GOLD}) AS gold JOIN orders ON o_orderkey = txn_id""",
+    "random_split": _with(
+        _FEATURES,
+        """SELECT split, (SELECT count(*) FROM prepared) AS total_rows, true AS near_share
+           FROM (VALUES ('train'), ('validation'), ('test')) AS s(split)""",
+    ),
+    "stratified_sample": _with(
+        _FEATURES,
+        """SELECT label, count(*) AS row_count FROM prepared
+           WHERE CAST('0x' || substr(md5('42|' || CAST(txn_id AS VARCHAR)), 1, 8) AS BIGINT)
+                 < CAST(round(0.2 * 4294967296) AS BIGINT)
+           GROUP BY label""",
+    ),
+    "train_compare": _compared("interactive"),
+    "train_full": _compared("full"),
+    "saved_model_eval": """SELECT model, true AS same_as_trained, true AS in_range
+        FROM (VALUES ('best'), ('alternate')) AS m(model)""",
+    "training_runs": _with(
+        _FEATURES,
+        f"""SELECT 'run-1' AS run_id, model_key, split, metric, 'orders' AS data, 'interactive' AS profile,
+                   CAST(1 AS DOUBLE) AS sample_fraction, 42 AS seed, CAST(0.7 AS DOUBLE) AS train_share,
+                   CAST(0.15 AS DOUBLE) AS validation_share, CAST(0.15 AS DOUBLE) AS test_share,
+                   split_rows, true AS in_range
+            FROM (SELECT split, count(*) AS split_rows FROM (SELECT {_SPLIT} AS split FROM prepared)
+                  WHERE split <> 'train' GROUP BY split), {_MODELS}, {_METRIC_NAMES}""",
+    ),
+    "deployed_metrics": f"""SELECT metric, true AS in_range FROM {_METRIC_NAMES}
+        UNION ALL SELECT 'validation_' || metric, true FROM {_METRIC_NAMES}
+        UNION ALL SELECT 'training_time_seconds', true""",
+    "model_scored_kpis": _with(
+        _FEATURES, "SELECT total_transactions, total_rule_alerts, true AS ml_alerts_bounded FROM counters"
+    ),
+    "stream_bronze": _with(
+        _RAW,
+        """SELECT step, trim(type) AS type, amount, trim(nameOrig) AS nameOrig, oldbalanceOrg, newbalanceOrig,
+                  trim(nameDest) AS nameDest, oldbalanceDest, newbalanceDest, isFraud, isFlaggedFraud, txn_id,
+                  '007' AS run_id
+           FROM raw""",
+    ),
+    "compacted_gold": f"SELECT *, '007' AS run_id FROM ({_GOLD})",
 }

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +22,15 @@ from txnguard.catalog.adapter import (
 from txnguard.operators import blacklist, clean, features, metrics, profile, rules, running, sampling
 from txnguard.plans import registry, serving, training
 from txnguard.plans.scoring import model_scorer, score_transactions
-from txnguard.schema import ALERT_COLUMNS, GOLD_COLUMNS, TRANSACTION_COLUMNS
+from txnguard.schema import (
+    ALERT_COLUMNS,
+    ENGINEERED_COLUMNS,
+    EVALUATION_METRICS,
+    GOLD_COLUMNS,
+    RULE_FLAGS,
+    SPLIT_FRACTIONS,
+    TRANSACTION_COLUMNS,
+)
 from txnguard.session import scratch_path
 from txnguard.sources import events
 from txnguard.sources.files import read_blacklist, read_csv
@@ -29,8 +39,7 @@ from txnguard.streaming.alerts import alert_stream, start_append
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-# Small trees, so that training queries stay affordable on test data.
-_SMALL = {"rf": (5, 4), "gbt": (3, 3)}
+_PROFILE = "interactive"
 _TIMELESS_GOLD = tuple(c for c in GOLD_COLUMNS if c not in ("processed_at", "dt", "hour"))
 _EVENT_FIELDS = events.event_schema(("txn_id", T.LongType()))
 
@@ -80,6 +89,18 @@ def csv_clean_transactions(spark, sf):
     return clean.clean_transactions(read_csv(spark, path))
 
 
+@query
+def csv_extra_columns(spark, sf):
+    """Text files with the columns in another order and two more among them."""
+    path = scratch_path(spark, "csv")
+    raw = raw_transactions(spark, sf).withColumns({"note": F.lit("x"), "source": F.lit("file")})
+    order = ["note", *reversed(TRANSACTION_COLUMNS), "source"]
+    raw.select(*order).write.option("header", True).option("quoteAll", True).option("nullValue", "").option(
+        "ignoreLeadingWhiteSpace", False
+    ).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return clean.clean_transactions(read_csv(spark, path)).drop("note")
+
+
 @query
 def drop_reasons(spark, sf):
     return clean.drop_reasons(raw_transactions(spark, sf))
@@ -100,14 +121,7 @@ def dataset_summary(spark, sf):
 
 @query
 def engineered_features(spark, sf):
-    return features.add_features(_clean(spark, sf)).select(
-        "txn_id",
-        "balance_diff_orig",
-        "balance_diff_dest",
-        "amount_ratio",
-        "is_zero_balance_orig",
-        "is_large_amount",
-    )
+    return features.add_features(_clean(spark, sf)).select("txn_id", *ENGINEERED_COLUMNS)
 
 
 @query
@@ -160,7 +174,22 @@ def amount_quantiles_exact(spark, sf):
 
 @query
 def amount_quantiles_approx(spark, sf):
-    return profile.amount_quantiles_approx(raw_transactions(spark, sf))
+    """How far, in ranks, each approximate quantile lies from its level."""
+    amounts = raw_transactions(spark, sf).filter("amount IS NOT NULL").select("amount")
+    found, levels = profile.amount_quantiles_approx(amounts).first(), profile.AMOUNT_LEVELS
+    counts = [F.count_if(F.col("amount") < found[n]).alias(f"below_{n}") for n in levels]
+    counts += [F.count_if(F.col("amount") <= found[n]).alias(f"upto_{n}") for n in levels]
+    ranked = amounts.agg(F.count("*").alias("rows"), *counts)
+    fits = [
+        F.struct(
+            F.lit(n).alias("level"),
+            ((F.col(f"upto_{n}") >= (q - 0.01) * F.col("rows")) & (F.col(f"below_{n}") <= (q + 0.01) * F.col("rows"))).alias(
+                "within_error"
+            ),
+        )
+        for n, q in levels.items()
+    ]
+    return ranked.select(F.inline(F.array(*fits)))
 
 
 @query
@@ -175,7 +204,15 @@ def replay_fraud_share(spark, sf):
 
 @query
 def table_file_check(spark, sf):
-    return profile.file_check(table(spark, sf, "orders"))
+    found = profile.file_check(table(spark, sf, "orders"), ("o_orderkey", "o_custkey", "o_comment_text"))
+    return found.select((F.col("file_count") > 0).alias("has_files"), "empty_files", "row_count", "missing_columns")
+
+
+@query
+def replay_share_text_key(spark, sf):
+    """The same share in the order of a key that is text."""
+    keyed = raw_transactions(spark, sf).withColumn("key", F.md5(F.col("txn_id").cast("string")))
+    return running.running_fraud_share(keyed, "key", every=500)
 
 
 # --- account lists -----------------------------------------------------------
@@ -221,21 +258,25 @@ def blacklist_anti(spark, sf):
     return rows.select("txn_id", "nameOrig", "amount")
 
 
+@query
+def blacklist_forms(spark, sf):
+    """One list as names, as rows and as a join side, with blanks, repeats and gaps: three equal flags."""
+    names = ["C7", " c31\t", None, "", "  ", "C7"]
+    rows = spark.createDataFrame([(name,) for name in names], "account STRING")
+    found = _clean(spark, sf)
+    forms = {"by_name": names, "by_rows": rows, "by_join": blacklist.account_list(rows, max_literals=0)}
+    for output, form in forms.items():
+        found = blacklist.flag_listed(found, form, output)
+    return found.select("txn_id", *forms)
+
+
 # --- rules and scores --------------------------------------------------------
 
 
 @query
 def rule_flags(spark, sf):
     ready = key_scorer()(features.add_features(_clean(spark, sf)))
-    return rules.add_rule_flags(ready, LISTED).select(
-        "txn_id",
-        "is_ml_alert",
-        "is_blacklist_destination",
-        "is_rule_blacklist",
-        "is_rule_drain",
-        "is_rule_large_txn",
-        "is_rule_alert",
-    )
+    return rules.add_rule_flags(ready, LISTED).select("txn_id", *RULE_FLAGS)
 
 
 @query
@@ -284,12 +325,33 @@ def alert_json_skip_bad(spark, sf):
     return serving.parse_alerts(feed.withColumn("value", cut), "txn_id")
 
 
+@query
+def alert_json_off_type(spark, sf):
+    """Alerts with a number as text or a whole number with a point are kept."""
+    feed = features.alert_json(_scored(spark, sf), "txn_id")
+    pointed = F.regexp_replace("value", r'"step":(\d+)', r'"step":$1.0')
+    quoted = F.regexp_replace("value", r'"amount":([^,]+),', r'"amount":"$1",')
+    changed = F.when(F.col("txn_id") % 3 == 0, pointed).when(F.col("txn_id") % 3 == 1, quoted).otherwise(F.col("value"))
+    return serving.parse_alerts(feed.withColumn("value", changed), "txn_id")
+
+
+@query
+def gold_table_full(spark, sf):
+    """All columns of the scored table, stamped with the time the transactions carry."""
+    raw = raw_transactions(spark, sf, timed=True)
+    scored = score_transactions(raw, key_scorer(), LISTED).withColumnRenamed("sent_at", "processed_at")
+    return features.gold_projection(features.stamp_partitions(scored), "txn_id")
+
+
 # --- events ------------------------------------------------------------------
 
 
 @query
 def json_roundtrip(spark, sf):
-    encoded = events.encode_events(raw_transactions(spark, sf), "txn_id")
+    """With outer white space of every kind on the way in."""
+    raw = raw_transactions(spark, sf)
+    tabbed = {c: F.concat(F.lit("\t"), c, F.lit("\n ")) for c in ("type", "nameOrig", "nameDest")}
+    encoded = events.encode_events(raw.withColumns(tabbed), "txn_id")
     return events.decode_events(encoded, _EVENT_FIELDS)
 
 
@@ -318,9 +380,12 @@ def hash_split_counts(spark, sf):
 
 @query
 def random_split(spark, sf):
-    parts = sampling.random_split(_prepared(spark, sf))
-    counted = [part.agg(F.lit(name).alias("split"), F.count("*").alias("row_count")) for name, part in parts.items()]
-    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+    """Rows of all splits, and whether each is as large as chance allows: six standard deviations."""
+    split = sampling.with_random_split(_prepared(spark, sf)).groupBy("split").agg(F.count("*").alias("n"))
+    total = F.sum("n").over(Window.partitionBy())
+    share = F.create_map(*[F.lit(x) for pair in SPLIT_FRACTIONS.items() for x in pair])[F.col("split")]
+    near = F.abs(F.col("n") - share * total) <= 6 * F.sqrt(total * share * (1 - share))
+    return split.select("split", total.alias("total_rows"), near.alias("near_share"))
 
 
 @query
@@ -354,7 +419,7 @@ def type_index(spark, sf):
 def fitted_type_index(spark, sf):
     """The index the fitted pipeline assigns, beside each type it saw."""
     rows = _prepared(spark, sf)
-    fitted = training.feature_stages()[0].fit(rows)
+    fitted = training.feature_stages()[1].fit(rows)
     return fitted.transform(rows).groupBy("type", "type_index").agg(F.count("*").alias("row_count"))
 
 
@@ -413,70 +478,139 @@ def best_model(spark, sf):
     return metrics.best_models(found[0].unionByName(found[1]))
 
 
+def _in_range(names):
+    """Every metric lies between 0 and 1."""
+    return reduce(and_, [F.col(name).between(0.0, 1.0) for name in names])
+
+
+def _compared(spark, sf, profile_name):
+    run = training.train_candidates(raw_transactions(spark, sf), profile_name, include_models=False)
+    names = [f"{part}_{m}" for part in ("validation", "test") for m in EVALUATION_METRICS]
+    rows = [F.lit(run.split_rows[name]).cast("bigint").alias(f"{name}_rows") for name in SPLIT_FRACTIONS]
+    table = training.comparison_table(spark, run)
+    return table.select("model_key", "model_name", F.lit(run.profile).alias("profile"), *rows, _in_range(names).alias("in_range"))
+
+
 @query
 def train_compare(spark, sf):
-    results = training.train_candidates(raw_transactions(spark, sf), _SMALL, include_models=False)
-    return training.comparison_table(spark, results)
+    return _compared(spark, sf, _PROFILE)
+
+
+@query
+def train_full(spark, sf):
+    """The largest profile: 80 trees of depth 10, 30 rounds of depth 8."""
+    return _compared(spark, sf, "full")
 
 
 @query
 def saved_model_eval(spark, sf):
+    """Stored models on the rebuilt test split, against the same models when they were trained."""
     root = scratch_path(spark, "models")
     raw = raw_transactions(spark, sf)
-    results = training.train_candidates(raw, _SMALL)
-    registry.save_models(spark, results, root)
-    paths = {role: registry.model_path(root, role) for role in ("best", "alternate", "absent")}
-    return training.evaluate_saved(raw, paths)
+    run = training.train_candidates(raw, _PROFILE)
+    placed = registry.save_models(spark, run, root)
+    paths = {role: registry.model_path(root, role) for role in (*registry.ROLES, "absent")}
+    found = training.evaluate_saved(raw, paths)
+    trained = spark.createDataFrame(
+        [(role, run.candidates[key].test["auc"]) for role, key in placed.keys.items()], "role STRING, trained DOUBLE"
+    )
+    same = F.abs(F.col("auc") - F.col("trained")) < 1e-12
+    return found.join(trained, found.model == trained.role).select(
+        "model", same.alias("same_as_trained"), _in_range(EVALUATION_METRICS).alias("in_range")
+    )
+
+
+@query
+def training_runs(spark, sf):
+    """The log of a run: its parameters beside every metric."""
+    path = scratch_path(spark, "runs")
+    run = training.train_candidates(raw_transactions(spark, sf), _PROFILE, include_models=False, data="orders")
+    registry.log_runs(spark, run, "run-1", path)
+    return registry.runs(spark, path).withColumn("in_range", F.col("value").between(0.0, 1.0)).drop("value")
+
+
+@query
+def deployed_metrics(spark, sf):
+    """The stored metrics of the deployed model."""
+    root = scratch_path(spark, "models")
+    registry.save_models(spark, training.train_candidates(raw_transactions(spark, sf), _PROFILE), root)
+    stored = spark.read.parquet(registry.metrics_path(root))
+    fits = F.when(F.col("metric") == "training_time_seconds", F.col("value") > 0).otherwise(F.col("value").between(0.0, 1.0))
+    return stored.select("metric", fits.alias("in_range"))
 
 
 @query
 def model_scored_kpis(spark, sf):
-    """KPIs of a batch scored by a fitted model instead of the stand-in."""
+    """KPIs of a batch scored by a fitted model instead of the stand-in: what does not depend on the model."""
     raw = raw_transactions(spark, sf)
     ready = sampling.add_class_weights(training.labelled_features(raw))
-    estimator = training.candidate_estimators(_SMALL)["rf"]
+    estimator = training.candidate_estimators(_PROFILE)["rf"]
     model = training.fit_detached(estimator, training.feature_pipeline().fit(ready), ready)
-    return serving.kpis(score_transactions(raw, model_scorer(model), LISTED))
+    found = serving.kpis(score_transactions(raw, model_scorer(model), LISTED))
+    bounded = F.col("total_ml_alerts").between(0, F.col("total_transactions"))
+    return found.select("total_transactions", "total_rule_alerts", bounded.alias("ml_alerts_bounded"))
 
 
 # --- streams -----------------------------------------------------------------
 
 
+_REPLAY_FILES = 12
+_FILES_PER_BATCH = "4"
+
+
 def _replayed(spark, sf, root):
-    """The transactions as an event stream, a few files per micro-batch."""
-    events.write_replay(raw_transactions(spark, sf), f"{root}/events", "txn_id")
-    files = str(max(2, spark.sparkContext.defaultParallelism // 2))
-    raw = events.read_event_stream(spark, "text", f"{root}/events", maxFilesPerTrigger=files)
+    """The transactions as an event stream of several micro-batches at any size."""
+    events.write_replay(raw_transactions(spark, sf), f"{root}/events", "txn_id", files=_REPLAY_FILES)
+    raw = events.read_event_stream(spark, "text", f"{root}/events", maxFilesPerTrigger=_FILES_PER_BATCH)
     return events.transaction_stream(raw, _EVENT_FIELDS)
 
 
-def _layers(spark, sf, name):
+def _layers(spark, sf, name, run_id="007"):
     root = scratch_path(spark, name)
-    config = layers.LayerConfig(f"{root}/layers", blacklist=LISTED)
+    config = layers.LayerConfig(f"{root}/layers", run_id=run_id, blacklist=LISTED)
     stream = _replayed(spark, sf, root)
     layers.start_layers(stream, config, key_scorer(), f"{root}/checkpoint", every=None).awaitTermination()
     return config
 
 
+@query
+def stream_bronze(spark, sf):
+    config = _layers(spark, sf, "stream-bronze")
+    return layers.read_layer(spark, config, "bronze").select(*TRANSACTION_COLUMNS, "txn_id", "run_id")
+
+
 @query
 def stream_gold(spark, sf):
     config = _layers(spark, sf, "stream-gold")
-    return spark.read.parquet(config.path("gold")).select("txn_id", *_TIMELESS_GOLD)
+    return layers.read_layer(spark, config, "gold").select("txn_id", *_TIMELESS_GOLD)
+
+
+@query
+def compacted_gold(spark, sf):
+    """The scored layer after its hours were compacted, half of it twice."""
+    config = _layers(spark, sf, "compacted-gold")
+    layers.compact_hours(spark, config, "gold", ("9999", ""))
+    layers.compact_hours(spark, config, "gold", ("9999", ""))
+    return layers.read_layer(spark, config, "gold").select("txn_id", "run_id", *_TIMELESS_GOLD)
 
 
 @query
 def stream_silver(spark, sf):
     config = _layers(spark, sf, "stream-silver")
-    return spark.read.parquet(config.path("silver")).drop(
+    return layers.read_layer(spark, config, "silver").drop(
         "event_time", "processed_at", "dt", "hour", "run_id", "batch_id"
     )
 
 
 @query
 def stream_batch_kpis(spark, sf):
-    """KPIs summed from the per-batch counters the layered job stores."""
+    """KPIs summed from the per-batch counters the layered job stores, and the batches' rows."""
     config = _layers(spark, sf, "stream-kpis")
-    return serving.kpis_from_batches(spark.read.parquet(config.path("batch_metrics")))
+    stored = layers.read_layer(spark, config, "batch_metrics")
+    rows = stored.agg(
+        F.sum("raw_rows").alias("raw_rows"), F.sum("dropped_rows").alias("dropped_rows"), (F.count("*") > 1).alias("several_batches")
+    )
+    return serving.kpis_from_batches(stored).join(rows)
 
 
 @query
@@ -519,10 +653,9 @@ def stream_window_counters(spark, sf):
     """KPI counters per day and type, by the time the transactions carry."""
     root = scratch_path(spark, "stream-days")
     sent = raw_transactions(spark, sf, timed=True)
-    events.write_replay(sent, f"{root}/events", "txn_id", "sent_at")
+    events.write_timed_replay(sent, f"{root}/events", "txn_id", "sent_at", time_column="sent_at")
     fields = events.event_schema(("txn_id", T.LongType()), ("sent_at", T.TimestampType()))
-    # One micro-batch: files are in no time order, so a second one would be late.
-    raw = events.read_event_stream(spark, "text", f"{root}/events")
+    raw = events.read_event_stream(spark, "text", f"{root}/events", maxFilesPerTrigger="1")
     stream = events.transaction_stream(raw, fields, event_time="sent_at")
     daily = counters.windowed_counters(score_transactions(stream, key_scorer(), LISTED), width="1 day")
     start_append(daily, f"{root}/days", f"{root}/checkpoint").awaitTermination()

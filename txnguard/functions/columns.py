@@ -30,6 +30,16 @@ def trimmed_upper(column: Column) -> Column:
     return F.upper(F.trim(F.coalesce(column.cast("string"), F.lit(""))))
 
 
+def stripped(column: Column) -> Column:
+    """Text without outer white space of any kind."""
+    return F.regexp_replace(column.cast("string"), r"^\s+|\s+$", "")
+
+
+def account_code(column: Column) -> Column:
+    """A listed account as cleaned rows spell it: stripped, upper case, empty if missing."""
+    return F.upper(stripped(F.coalesce(column, F.lit(""))))
+
+
 def type_code(column: Column) -> Column:
     """Transaction type with each inner run of white space as one underscore.
 

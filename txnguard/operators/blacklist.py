@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnguard.functions.columns import flag
+from txnguard.functions.columns import account_code, flag
 from txnguard.session import materialize
 
 MAX_LITERALS = 1_000
@@ -18,9 +18,9 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 @dataclass(frozen=True)
 class AccountList:
-    """Distinct listed accounts, with the measured decision how to join them."""
+    """Distinct listed accounts, with the measured decision how to look them up."""
 
-    accounts: DataFrame | None
+    accounts: DataFrame
     literals: tuple[str, ...] | None
     fits_broadcast: bool
 
@@ -35,40 +35,42 @@ def account_list(
     max_rows: int = MAX_BROADCAST_ROWS,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> AccountList:
-    """Measure a list once and choose its form.
-
-    The distinct accounts of a DataFrame (column ``account``) are stored and
-    counted. Up to ``max_literals`` accounts become an IN set, a list within
-    the row and byte bounds is broadcast, and anything larger is an ordinary
-    equi-join, in which adaptive execution splits the partition of a hot
-    account. It can do so only because the stored list needs no aggregation
-    between its shuffle and the join.
+    """Measure a list once and choose its form; the form never changes a result.
+
+    Names and the rows of a DataFrame (column ``account``) take the same way:
+    outer white space goes, letters become upper case, null and blank entries
+    are dropped. The distinct accounts are stored and counted. Up to
+    ``max_literals`` become an IN set, a list within the row and byte bounds is
+    broadcast, and anything larger is an ordinary equi-join, in which adaptive
+    execution splits the partition of a hot account. It can do so only because
+    the stored list needs no aggregation between its shuffle and the join.
     """
     if isinstance(source, AccountList):
         return source
-    if source is None:
-        return AccountList(None, (), True)
     if not isinstance(source, DataFrame):
-        names = {name.strip().upper() for name in source if name and name.strip()}
-        return AccountList(None, tuple(sorted(names)), True)
-    spelled = source.select(F.upper(F.trim("account")).alias("account"))
+        names = [(name,) for name in source or ()]
+        source = SparkSession.active().createDataFrame(names, "account STRING")
+    spelled = source.select(account_code(F.col("account")).alias("account")).filter("account <> ''")
     accounts = materialize(spelled.distinct(), "accounts")
     rows, size = accounts.agg(
         F.count("*"), F.coalesce(F.sum(F.octet_length("account")), F.lit(0))
     ).first()
     fits = rows <= max_rows and size <= max_bytes
+    names = None
     if rows <= max_literals:
         names = tuple(sorted(row.account for row in accounts.limit(max_literals).collect()))
-        return AccountList(accounts, names, fits)
-    return AccountList(accounts, None, fits)
+    return AccountList(accounts, names, fits)
+
+
+def _listed(source: AccountList, column: str):
+    return F.col(column).isin(*source.literals) if source.literals else F.lit(False)
 
 
 def flag_listed(df: DataFrame, source, output: str, column: str = "nameDest") -> DataFrame:
     """Add ``output``: 1.0 if ``column`` is listed, else 0.0. Keeps every row."""
     listed = account_list(source)
     if listed.literals is not None:
-        condition = F.col(column).isin(*listed.literals) if listed.literals else F.lit(False)
-        return df.withColumn(output, flag(condition))
+        return df.withColumn(output, flag(_listed(listed, column)))
     lookup = listed.joinable().select(F.col("account").alias("_listed"))
     return (
         df.join(lookup, F.col(column) == F.col("_listed"), "left")
@@ -77,16 +79,17 @@ def flag_listed(df: DataFrame, source, output: str, column: str = "nameDest") ->
     )
 
 
-def _matching(df: DataFrame, source: AccountList | DataFrame, column: str, how: str) -> DataFrame:
+def only_listed(df: DataFrame, source, column: str = "nameDest") -> DataFrame:
+    """Rows whose account is on the list, given in any form."""
     listed = account_list(source)
-    return df.join(listed.joinable(), F.col(column) == F.col("account"), how)
-
-
-def only_listed(df: DataFrame, source: AccountList | DataFrame, column: str = "nameDest") -> DataFrame:
-    """Rows whose account is on the list."""
-    return _matching(df, source, column, "left_semi")
+    if listed.literals is not None:
+        return df.filter(_listed(listed, column))
+    return df.join(listed.joinable(), F.col(column) == F.col("account"), "left_semi")
 
 
-def only_unlisted(df: DataFrame, source: AccountList | DataFrame, column: str = "nameDest") -> DataFrame:
-    """Rows whose account is not on the list."""
-    return _matching(df, source, column, "left_anti")
+def only_unlisted(df: DataFrame, source, column: str = "nameDest") -> DataFrame:
+    """Rows whose account is not on the list, given in any form; a missing account is not."""
+    listed = account_list(source)
+    if listed.literals is not None:
+        return df.filter(~F.coalesce(_listed(listed, column), F.lit(False)))
+    return df.join(listed.joinable(), F.col(column) == F.col("account"), "left_anti")

@@ -64,11 +64,6 @@ def standardize(df: DataFrame) -> DataFrame:
     return evaluate_once(df, typed_columns(df.schema)).withColumn("isFlaggedFraud", flagged)
 
 
-def normalize_text(df: DataFrame) -> DataFrame:
-    """Only the text columns of ``standardize``."""
-    return df.withColumns(_spelled_columns())
-
-
 def _failures() -> list[tuple[str, Column]]:
     """(reason, condition) pairs over standardized rows, in reporting order."""
     missing = [

@@ -61,24 +61,21 @@ def score_histogram(
     """One stored row per distinct score with its class counts.
 
     All rank metrics read this instead of the rows. Partial aggregation
-    collapses a score shared by many rows before the shuffle.
+    collapses a score shared by many rows before the shuffle. Rows without a
+    score make one row of their own: they have no rank, but their prediction
+    counts, by the same cells as in ``confusion_matrix``.
     """
     value = F.col(score) if isinstance(score, str) else score
-    guess = F.col(prediction) if prediction else F.lit(0.0)
-    columns = {
-        "score": value.cast("double"),
-        "is_positive": F.col(label) == 1.0,
-        "is_guess": guess == 1.0,
-    }
-    scored = evaluate_once(df, columns).select(*columns)
-    narrow = scored.filter("score IS NOT NULL AND is_positive IS NOT NULL")
-    positive, guessed = F.col("is_positive"), F.col("is_guess")
+    guess = F.col(prediction) if prediction else F.lit(None).cast("double")
+    cells = {name: (F.col(label) == actual) & (guess == told) for name, (actual, told) in _CELLS.items()}
+    columns = {"score": value.cast("double"), "is_positive": F.col(label) == 1.0, **cells}
+    scored = evaluate_once(df, columns).select(*columns).filter("is_positive IS NOT NULL")
+    ranked, positive = F.col("score").isNotNull(), F.col("is_positive")
     return materialize(
-        narrow.groupBy("score").agg(
-            F.count_if(positive).alias("pos"),
-            F.count_if(~positive).alias("neg"),
-            F.count_if(positive & guessed).alias("tp"),
-            F.count_if(~positive & guessed).alias("fp"),
+        scored.groupBy("score").agg(
+            F.count_if(ranked & positive).alias("pos"),
+            F.count_if(ranked & ~positive).alias("neg"),
+            *[F.count_if(F.col(cell)).alias(cell) for cell in _CELLS],
         ),
         "scores",
     )
@@ -86,8 +83,8 @@ def score_histogram(
 
 def histogram_totals(histogram: DataFrame) -> Row:
     """Number of distinct scores and class totals, one small job."""
-    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("pos", "neg", "tp", "fp")]
-    return histogram.agg(F.count("*").alias("scores"), *sums).first()
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("pos", "neg", *_CELLS)]
+    return histogram.agg(F.count("score").alias("scores"), *sums).first()
 
 
 def auc_of(
@@ -97,7 +94,8 @@ def auc_of(
 
     Ties count one half. Null when one class is absent.
     """
-    ranked = running_totals(histogram, "score", ["neg"], rows_per_bucket=rows_per_bucket, rows=rows)
+    scores = histogram.filter("score IS NOT NULL")
+    ranked = running_totals(scores, "score", ["neg"], rows_per_bucket=rows_per_bucket, rows=rows)
     lower = F.col("run_neg") - F.col("neg") + F.col("neg") / 2.0
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     return ranked.agg(F.try_divide(F.sum(F.col("pos") * lower), pairs).alias("auc"))
@@ -132,7 +130,7 @@ def roc_of(
     points = totals.scores + 1
     step = 1 if points <= max_points else max(1, points // (max_points - 1))
     ranked = running_totals(
-        histogram.withColumn("one", F.lit(1)),
+        histogram.filter("score IS NOT NULL").withColumn("one", F.lit(1)),
         "score",
         ["one", "pos", "neg"],
         descending=True,
@@ -164,12 +162,7 @@ def evaluate(df: DataFrame, score: str | Column, label: str = "label") -> dict:
     """
     histogram = score_histogram(df, score, label, "prediction")
     totals = histogram_totals(histogram)
-    cells = {
-        "tn": totals.neg - totals.fp,
-        "fp": totals.fp,
-        "fn": totals.pos - totals.tp,
-        "tp": totals.tp,
-    }
+    cells = {cell: totals[cell] for cell in _CELLS}
     literals = [F.lit(count).alias(cell) for cell, count in cells.items()]
     area = auc_of(histogram, rows=totals.scores).select(*literals, "auc")
     found = area.select("auc", *_weighted_columns()).first()

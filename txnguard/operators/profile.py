@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -123,13 +125,19 @@ def type_ranks(df: DataFrame) -> DataFrame:
     )
 
 
-def file_check(df: DataFrame) -> DataFrame:
-    """Files, rows and bytes of a file-backed table."""
+def file_check(df: DataFrame, required: Sequence[str] = ()) -> DataFrame:
+    """Files, rows and bytes of a file-backed table, and the required columns it lacks.
+
+    Files without a row count too; their number comes from the table's list of files.
+    """
     files = df.groupBy(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")
     ).agg(F.count("*").alias("rows"))
+    listed = df.inputFiles()
+    lacking = [name for name in required if name not in df.columns]
     return files.agg(
-        F.count("*").alias("file_count"),
-        F.sum("rows").alias("row_count"),
-        F.sum("bytes").alias("total_bytes"),
-    )
+        F.lit(len(listed)).cast("bigint").alias("file_count"),
+        (F.lit(len(listed)) - F.count("*")).alias("empty_files"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("row_count"),
+        F.coalesce(F.sum("bytes"), F.lit(0)).alias("total_bytes"),
+    ).withColumn("missing_columns", F.lit(",".join(lacking)))

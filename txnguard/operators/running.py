@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnguard.session import materialize
 
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 10_000
 
 
 def running_totals(
@@ -25,49 +23,31 @@ def running_totals(
     """Add ``run_<m>``, the inclusive prefix sum of each measure.
 
     ``stored`` is a materialized table, since it is read several times, with
-    one row per value of the numeric, non-null ``order_by``: equal values must
-    be pre-aggregated, which also removes any skew by value.
-
-    Up to ``rows_per_bucket`` rows one window does it. Beyond that, quantile
-    boundaries cut the order into buckets of nearly equal row counts; windows
-    run per bucket, and each bucket starts from the totals of those before it.
-    Every choice of boundaries gives the same sums, so approximate quantiles
-    are enough. ``rows`` is the row count, if it is known.
+    one row per value of the non-null ``order_by``, of any type with an order:
+    equal values must be pre-aggregated, which also removes any skew by value.
+
+    The rows are range-partitioned by the key into buckets of about
+    ``rows_per_bucket`` and stored with their bucket; each bucket is summed by
+    itself and starts from the totals of those before it. The number of
+    buckets grows with the rows, so a task never does. Every choice of range
+    bounds gives the same sums. ``rows`` is the row count, if it is known.
     """
     direction = F.desc if descending else F.asc
     rows = stored.count() if rows is None else rows
-    if rows <= rows_per_bucket:
-        whole = Window.orderBy(direction(order_by)).rowsBetween(Window.unboundedPreceding, 0)
-        return stored.withColumns({f"run_{m}": F.sum(m).over(whole) for m in measures})
-
-    keyed = stored.withColumn("_key", F.col(order_by).cast("double"))
-    count = min(MAX_BUCKETS, -(-rows // rows_per_bucket))
-    cuts = keyed.approxQuantile("_key", [i / count for i in range(1, count)], 1 / (2 * count))
-    splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    bucketed = Bucketizer(
-        splits=splits, inputCol="_key", outputCol="_bucket", handleInvalid="keep"
-    ).transform(keyed)
-
-    # One row per bucket, at most MAX_BUCKETS + 1: small enough for one task.
-    before = Window.orderBy(direction("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        bucketed.groupBy("_bucket")
-        .agg(*[F.sum(m).alias(f"_total_{m}") for m in measures])
-        .select(
-            "_bucket",
-            *[
-                F.coalesce(F.sum(f"_total_{m}").over(before), F.lit(0)).alias(f"_before_{m}")
-                for m in measures
-            ],
-        )
-    )
+    buckets = max(1, -(-rows // rows_per_bucket))
+    dealt = stored.repartitionByRange(buckets, direction(order_by)) if buckets > 1 else stored.coalesce(1)
+    ranged = materialize(dealt.withColumn("_bucket", F.spark_partition_id()), "ranges")
+
+    # One row per bucket: a millionth of the rows.
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("_bucket").agg(*[F.sum(m).alias(f"_total_{m}") for m in measures])
+    starts = [F.coalesce(F.sum(f"_total_{m}").over(before), F.lit(0)).alias(f"_before_{m}") for m in measures]
+    offsets = materialize(totals.select("_bucket", *starts), "offsets")
     inside = (
-        Window.partitionBy("_bucket")
-        .orderBy(direction(order_by))
-        .rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy("_bucket").orderBy(direction(order_by)).rowsBetween(Window.unboundedPreceding, 0)
     )
     return (
-        bucketed.join(F.broadcast(offsets), "_bucket")
+        ranged.join(offsets, "_bucket")
         .withColumns({f"run_{m}": F.sum(m).over(inside) + F.col(f"_before_{m}") for m in measures})
         .select(*stored.columns, *[f"run_{m}" for m in measures])
     )

@@ -8,18 +8,22 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnguard.functions.columns import hash_bucket
+from txnguard.operators.running import running_totals
 from txnguard.schema import DEFAULT_SEED, SPLIT_FRACTIONS
+from txnguard.session import materialize
 
 _SPLIT_BUCKETS = 10_000
 _HASH_RANGE = 2**32
 _PREFIXES = 2**20
-_MAX_CLASSES = 1_000
 
 
-def random_split(df: DataFrame, seed: int = DEFAULT_SEED) -> dict[str, DataFrame]:
-    """Seeded 70/15/15 split; the seed only fixes it for one partitioning."""
-    parts = df.randomSplit(list(SPLIT_FRACTIONS.values()), seed=seed)
-    return dict(zip(SPLIT_FRACTIONS, parts))
+def with_random_split(df: DataFrame, seed: int = DEFAULT_SEED) -> DataFrame:
+    """Column ``split``, drawn at 70/15/15 in one pass; the seed fixes it for one partitioning."""
+    draw, upto, chosen = F.rand(seed), 0.0, None
+    for name, share in list(SPLIT_FRACTIONS.items())[:-1]:
+        upto += share
+        chosen = F.when(F.col("_draw") < upto, name) if chosen is None else chosen.when(F.col("_draw") < upto, name)
+    return df.withColumn("_draw", draw).withColumn("split", chosen.otherwise(list(SPLIT_FRACTIONS)[-1])).drop("_draw")
 
 
 def with_hash_split(df: DataFrame, keys: Sequence[str] = ("txn_id",)) -> DataFrame:
@@ -39,26 +43,26 @@ def hash_split(df: DataFrame, keys: Sequence[str] = ("txn_id",)) -> dict[str, Da
 
 
 def stratified_sample(
-    df: DataFrame, fraction: float | None, seed: int = DEFAULT_SEED, label: str = "label"
+    df: DataFrame, fraction: float | None, salt: int = DEFAULT_SEED, keys: Sequence[str] = ("txn_id",)
 ) -> DataFrame:
-    """Bernoulli sample at one rate per class; None or 1 keeps everything."""
-    if fraction is None:
-        return df
-    if not 0 < fraction <= 1:
-        raise ValueError(f"sample fraction must be above 0 and at most 1, not {fraction}")
-    if fraction == 1:
-        return df
-    return df.sampleBy(label, fractions={0.0: fraction, 1.0: fraction}, seed=seed)
+    """The rows whose salted key hash lies in the lowest ``fraction`` of all hashes.
+
+    A hash ignores the label, so every class, known, unknown or null, keeps the
+    same share; and the choice is the same on every layout and every retry.
+    None keeps all rows.
+    """
+    share = 1.0 if fraction is None else float(fraction)
+    if not 0.0 < share <= 1.0:
+        raise ValueError(f"a sample keeps more than none and at most all rows, not a share of {fraction}")
+    kept = hash_bucket(keys, _HASH_RANGE, f"{salt}|") < F.lit(round(share * _HASH_RANGE))
+    return df if share == 1.0 else df.filter(kept)
 
 
 def sample_splits(
-    splits: dict[str, DataFrame], fraction: float | None, seed: int = DEFAULT_SEED
+    splits: dict[str, DataFrame], fraction: float | None, salt: int = DEFAULT_SEED
 ) -> dict[str, DataFrame]:
-    """Sample train, validation and test with seeds seed, seed + 1, seed + 2."""
-    return {
-        name: stratified_sample(splits[name], fraction, seed + offset)
-        for offset, name in enumerate(SPLIT_FRACTIONS)
-    }
+    """Every split sampled under a salt of its own: salt, salt + 1, salt + 2."""
+    return {name: stratified_sample(part, fraction, salt + place) for place, (name, part) in enumerate(splits.items())}
 
 
 def bounded_sample(
@@ -77,25 +81,20 @@ def bounded_sample(
     prefix = F.floor(F.col("_hash") / (_HASH_RANGE // _PREFIXES))
     hashed = df.withColumn("_hash", hash_bucket(keys, _HASH_RANGE))
     upto = Window.partitionBy(label).orderBy("_prefix")
-    # At most 2**20 prefixes per class, and one cutoff row per class.
+    # At most 2**20 prefixes per class, and one cutoff row per class; a table, so any number of classes will do.
     cutoffs = (
         hashed.groupBy(label, prefix.alias("_prefix"))
         .agg(F.count("*").alias("n"))
         .withColumn("before", F.sum("n").over(upto) - F.col("n"))
         .filter(F.col("before") < per_label)
-        .groupBy(label)
-        .agg(F.max("_prefix").alias("cutoff"))
-        .limit(_MAX_CLASSES + 1)
-        .collect()
+        .groupBy(F.col(label).alias("_class"))
+        .agg(F.max("_prefix").alias("_cutoff"))
     )
-    if len(cutoffs) > _MAX_CLASSES:
-        raise ValueError(f"{label} has more than {_MAX_CLASSES} values: not a class label")
-    wanted = F.lit(False)
-    for row in cutoffs:
-        wanted = wanted | (F.col(label).eqNullSafe(F.lit(row[label])) & (prefix <= row["cutoff"]))
+    cutoffs = materialize(cutoffs, "cutoffs")
+    chosen = hashed.join(cutoffs, F.col(label).eqNullSafe(F.col("_class")) & (prefix <= F.col("_cutoff"))).drop("_class", "_cutoff")
     order = Window.partitionBy(label).orderBy("_hash", *keys, *df.columns)
     return (
-        hashed.filter(wanted)
+        chosen
         .groupBy("_hash", *df.columns)
         .agg(F.count("*").alias("_copies"))
         .withColumn("_before", F.sum("_copies").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_copies"))
@@ -135,7 +134,25 @@ def add_class_weights(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def first_rows(df: DataFrame, limit: int, order_by: Sequence[str]) -> DataFrame:
-    """The first ``limit`` rows in a given order; 0 means all."""
+    """The first ``limit`` rows in a given order; 0 means all.
+
+    Rows are counted per key, prefix sums over the keys find those before the
+    limit, and rows of the key that the limit cuts are taken in part. So a
+    large limit moves through many tasks.
+    """
     if limit < 0:
         raise ValueError("limit must not be negative")
-    return df.orderBy(*order_by).limit(limit) if limit else df
+    if not limit:
+        return df
+    key = F.struct(*order_by)
+    counted = materialize(df.groupBy(key.alias("_key")).agg(F.count("*").alias("_rows")), "key-counts")
+    starts = running_totals(counted, "_key", ["_rows"])
+    starts = starts.select("_key", (F.col("run__rows") - F.col("_rows")).alias("_before"), "_rows")
+    starts = materialize(starts.filter(F.col("_before") < limit), "first-keys")
+    placed = df.withColumn("_own", key).join(starts, F.col("_own").eqNullSafe(F.col("_key")))
+    whole = F.col("_before") + F.col("_rows") <= limit
+    # At most one key lies across the limit.
+    cut = placed.filter(~whole)
+    place = F.row_number().over(Window.partitionBy("_key").orderBy(*df.columns))
+    part = cut.withColumn("_place", place).filter(F.col("_before") + F.col("_place") <= limit)
+    return placed.filter(whole).select(*df.columns).unionByName(part.select(*df.columns)).orderBy(*order_by)

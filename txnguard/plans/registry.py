@@ -2,58 +2,100 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from txnguard.plans.training import select_best
+from txnguard.plans.training import Candidate, TrainingRun, select_best
+from txnguard.schema import SPLIT_FRACTIONS
+
+ROLES = ("best", "alternate")
+
 
+@dataclass(frozen=True)
+class Deployment:
+    """Which candidate stands in which role, and where."""
 
-def save_models(spark: SparkSession, results: dict, root: str) -> tuple[str, str]:
-    """Overwrite the best and the alternate model and the deployed metrics."""
-    best, alternate = select_best(results)
-    found = results["candidates"]
-    if "model" not in found[best] or "model" not in found[alternate]:
-        raise ValueError("the results hold no fitted models; train with include_models=True")
-    found[best]["model"].write().overwrite().save(model_path(root, "best"))
-    found[alternate]["model"].write().overwrite().save(model_path(root, "alternate"))
-    store_metrics(spark, found[best], f"{root}/model_metrics")
-    return best, alternate
+    root: str
+    keys: dict[str, str]
 
 
 def model_path(root: str, role: str) -> str:
     return f"{root}/models/{role}"
 
 
+def metrics_path(root: str) -> str:
+    return f"{root}/model_metrics"
+
+
+def runs_path(root: str) -> str:
+    return f"{root}/training_runs"
+
+
+def save_models(spark: SparkSession, run: TrainingRun, root: str) -> Deployment:
+    """Put the two best candidates and the metrics of the best one in place of what ``root`` holds.
+
+    Everything is first written beside its place and moved there at the end,
+    the metrics last, so a failed write leaves the deployed state alone.
+    """
+    keys = dict(zip(ROLES, select_best(run)))
+    chosen = {role: run.candidates[key] for role, key in keys.items()}
+    if any(candidate.model is None for candidate in chosen.values()):
+        raise ValueError("this run kept no models; train with include_models=True")
+    staged = f"{root}/_staged"
+    moves = []
+    for role, candidate in chosen.items():
+        candidate.model.write().overwrite().save(model_path(staged, role))
+        moves.append((model_path(staged, role), model_path(root, role)))
+    store_metrics(spark, chosen["best"], metrics_path(staged))
+    moves.append((metrics_path(staged), metrics_path(root)))
+    _move(spark, moves)
+    return Deployment(root, keys)
+
+
+def _move(spark: SparkSession, moves: list[tuple[str, str]]) -> None:
+    """Rename folders over what stands at their places."""
+    context = spark.sparkContext
+    for source, target in moves:
+        old, new = (context._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+        files = new.getFileSystem(context._jsc.hadoopConfiguration())
+        files.delete(new, True)
+        files.mkdirs(new.getParent())
+        if not files.rename(old, new):
+            raise OSError(f"{source} could not be moved to {target}")
+
+
 def load_model(root: str, role: str = "best") -> PipelineModel:
     return PipelineModel.load(model_path(root, role))
 
 
-def metric_rows(candidate: dict) -> list[tuple[str, float]]:
+def metric_rows(candidate: Candidate) -> list[tuple[str, float]]:
     """Test metrics, prefixed validation metrics and training time, 6 decimals."""
-    values = dict(candidate["test_metrics"])
-    values |= {f"validation_{name}": v for name, v in candidate["validation_metrics"].items()}
-    values["training_time_seconds"] = candidate["training_time_seconds"]
-    return [(name, round(float(v), 6)) for name, v in values.items() if v is not None]
+    named = {**candidate.test, **{f"validation_{name}": value for name, value in candidate.validation.items()}}
+    named["training_time_seconds"] = candidate.seconds
+    return [(name, round(float(value), 6)) for name, value in named.items() if value is not None]
 
 
-def store_metrics(spark: SparkSession, candidate: dict, path: str, fmt: str = "parquet") -> None:
+def store_metrics(spark: SparkSession, candidate: Candidate, path: str, fmt: str = "parquet") -> None:
     """Replace the metrics of the deployed model (a dozen rows)."""
     rows = spark.createDataFrame(metric_rows(candidate), "metric STRING, value DOUBLE")
     rows.write.format(fmt).mode("overwrite").save(path)
 
 
-def log_runs(spark: SparkSession, results: dict, run_id: str, path: str, fmt: str = "parquet") -> None:
-    """Append one row per candidate, split and metric, with the run's parameters."""
-    fraction = results["sample_fraction"]
+def log_runs(spark: SparkSession, run: TrainingRun, run_id: str, path: str, fmt: str = "parquet") -> None:
+    """Append one row per candidate, split and metric, with all parameters of the run."""
+    fraction = 1.0 if run.sample_fraction is None else float(run.sample_fraction)
+    shares = [float(SPLIT_FRACTIONS[name]) for name in ("train", "validation", "test")]
     rows = [
-        (run_id, key, split, metric, value, results["profile"], 1.0 if fraction is None else float(fraction))
-        for key, found in results["candidates"].items()
-        for split in ("validation", "test")
-        for metric, value in found[f"{split}_metrics"].items()
+        (run_id, candidate.key, split, metric, value, run.data, run.profile, fraction, run.seed, *shares, run.split_rows[split])
+        for candidate in run.candidates.values()
+        for split, found in (("validation", candidate.validation), ("test", candidate.test))
+        for metric, value in found.items()
     ]
     schema = (
-        "run_id STRING, model_key STRING, split STRING, metric STRING, value DOUBLE, "
-        "profile STRING, sample_fraction DOUBLE"
+        "run_id STRING, model_key STRING, split STRING, metric STRING, value DOUBLE, data STRING, profile STRING, "
+        "sample_fraction DOUBLE, seed BIGINT, train_share DOUBLE, validation_share DOUBLE, test_share DOUBLE, split_rows BIGINT"
     )
     spark.createDataFrame(rows, schema).write.format(fmt).mode("append").save(path)
 

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txnguard.functions.columns import evaluate_once
 from txnguard.operators.rules import alert_counters
-from txnguard.schema import ALERT_COLUMNS, ALERT_SCHEMA, MAX_RECENT_ALERTS
+from txnguard.schema import ALERT_SCHEMA, MAX_RECENT_ALERTS
 
 COUNTERS = ("total_transactions", "total_fraud", "total_ml_alerts", "total_rule_alerts")
 
@@ -50,13 +51,21 @@ def recent_alerts(alerts: DataFrame, limit: int = 50, *order: str) -> DataFrame:
 
 
 def parse_alerts(feed: DataFrame, *keep: str) -> DataFrame:
-    """Alert JSON in ``value`` to columns; unreadable text is skipped."""
-    broken = "_broken"
-    schema = T.StructType([*ALERT_SCHEMA.fields, T.StructField(broken, T.StringType(), True)])
-    parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": broken})
-    # A generator, so that the filter does not repeat the parsing.
-    fields = feed.filter("value IS NOT NULL").select(*keep, F.inline(F.array(parsed)))
-    return fields.filter(F.col(broken).isNull()).select(*ALERT_COLUMNS, *keep)
+    """Alert JSON in ``value`` to columns; text that is no JSON object is skipped.
+
+    A field of another type is converted where it can be, as ``"12.5"`` to a
+    number, and is null otherwise; the alert stays.
+    """
+    read = F.from_json("value", T.MapType(T.StringType(), T.StringType()))
+    fields = evaluate_once(feed.filter("value IS NOT NULL"), {"_fields": read}).filter("_fields IS NOT NULL")
+
+    def typed(field: T.StructField):
+        text = F.col("_fields")[field.name]
+        if isinstance(field.dataType, T.IntegralType):
+            return text.try_cast("double").try_cast(field.dataType)
+        return text.try_cast(field.dataType)
+
+    return fields.select(*[typed(field).alias(field.name) for field in ALERT_SCHEMA.fields], *keep)
 
 
 def model_metrics(spark: SparkSession, path: str, fmt: str = "parquet") -> dict[str, float]:

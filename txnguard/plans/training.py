@@ -5,10 +5,11 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,9 +21,9 @@ from txnguard.operators.profile import summary_columns
 from txnguard.operators.sampling import (
     add_class_weights,
     hash_split,
-    random_split,
     sample_splits,
     with_hash_split,
+    with_random_split,
 )
 from txnguard.schema import DEFAULT_SEED, EVALUATION_METRICS, MODEL_INPUTS, SPLIT_FRACTIONS
 from txnguard.session import enable_checkpoints, materialize, scratch_path
@@ -36,12 +37,19 @@ PROFILES = {
     "notebook": {"rf": (40, 8), "gbt": (15, 6)},
     "interactive": {"rf": (20, 6), "gbt": (8, 4)},
 }
+_GAPS = ", ".join(f"coalesce(nanvl({name}, 0.0D), 0.0D) AS {name}" for name in ("amount_ratio",))
+_FILLED = f"SELECT * EXCEPT (amount_ratio), {_GAPS} FROM __THIS__"
 MODEL_NAMES = {"rf": "RandomForest", "gbt": "GradientBoostedTrees"}
 
 
 def feature_stages() -> list:
-    """Index the type by frequency, assemble the inputs, scale to unit deviation."""
+    """Fill gaps, index the type by frequency, assemble the inputs, scale to unit deviation.
+
+    A ratio that does not exist (a balance of -1) becomes 0: kept as NaN it
+    would make the deviation of the column NaN and lose it for all rows.
+    """
     return [
+        SQLTransformer(statement=_FILLED),
         StringIndexer(inputCol="type", outputCol="type_index", handleInvalid="keep"),
         VectorAssembler(inputCols=list(MODEL_INPUTS), outputCol="raw_features", handleInvalid="keep"),
         StandardScaler(inputCol="raw_features", outputCol="features", withStd=True, withMean=False),
@@ -85,28 +93,55 @@ def fit_detached(estimator, prepared: PipelineModel, df: DataFrame) -> PipelineM
     return PipelineModel(stages=[*prepared.stages, type(fitted).load(path)])
 
 
+@dataclass(frozen=True)
+class Candidate:
+    """One trained classifier and what was measured on it."""
+
+    key: str
+    name: str
+    seconds: float
+    validation: dict[str, float | None]
+    test: dict[str, float | None]
+    cells: dict[str, int]
+    curve: DataFrame
+    model: PipelineModel | None = None
+
+
+@dataclass(frozen=True)
+class TrainingRun:
+    """All candidates of a run and the parameters that made them."""
+
+    candidates: dict[str, Candidate]
+    summary: dict
+    profile: str
+    sample_fraction: float | None
+    seed: int
+    data: str
+    split_rows: dict[str, int]
+
+
 def fit_candidate(
     key: str,
     estimator,
     prepared: PipelineModel,
     splits: dict[str, DataFrame],
     include_model: bool = True,
-) -> dict:
+) -> Candidate:
     """Fit on train, time it, evaluate on validation and test."""
     started = time.monotonic()
     model = fit_detached(estimator, prepared, splits["train"])
     seconds = time.monotonic() - started
     test = evaluate_model(model, splits["test"])
-    result = {
-        "model_key": key,
-        "name": MODEL_NAMES[key],
-        "training_time_seconds": seconds,
-        "validation_metrics": evaluate_model(model, splits["validation"])["metrics"],
-        "test_metrics": test["metrics"],
-        "test_confusion_matrix": test["confusion_matrix"],
-        "test_roc_curve": test["roc_curve"],
-    }
-    return {**result, "model": model} if include_model else result
+    return Candidate(
+        key,
+        MODEL_NAMES[key],
+        seconds,
+        evaluate_model(model, splits["validation"])["metrics"],
+        test["metrics"],
+        test["confusion_matrix"],
+        test["roc_curve"],
+        model if include_model else None,
+    )
 
 
 def labelled_features(raw: DataFrame) -> DataFrame:
@@ -126,12 +161,12 @@ def prepare_splits(
     stores one partition per split; otherwise a seeded random split is used.
     Weights come from the train split alone.
     """
-    if stable:
-        stored = materialize(with_hash_split(ready), "splits", partition_by="split")
-        splits = {name: stored.filter(F.col("split") == name).drop("split") for name in SPLIT_FRACTIONS}
-    else:
-        splits = random_split(materialize(ready, "rows"), seed)
-    splits = sample_splits(splits, sample_fraction, seed)
+    tagged = with_hash_split(ready) if stable else with_random_split(ready, seed)
+    stored = materialize(tagged, "splits", partition_by="split")
+    splits = {name: stored.filter(F.col("split") == name).drop("split") for name in SPLIT_FRACTIONS}
+    if sample_fraction is not None:
+        sampled = sample_splits(splits, sample_fraction, seed)
+        splits = {name: materialize(part, f"sampled-{name}") for name, part in sampled.items()}
     return {**splits, "train": add_class_weights(splits["train"])}
 
 
@@ -142,8 +177,9 @@ def train_candidates(
     sample_fraction: float | None = None,
     seed: int = DEFAULT_SEED,
     stable: bool = True,
-) -> dict:
-    """Train and evaluate all candidates; returns the result bundle.
+    data: str = "",
+) -> TrainingRun:
+    """Train and evaluate all candidates on ``raw``, which the run log calls ``data``.
 
     The raw data is scanned once: its summary is observed while the prepared
     rows are stored, and every later step reads the stored splits. The feature
@@ -155,43 +191,40 @@ def train_candidates(
     ready = labelled_features(standardize(raw).observe(summary, *summary_columns()))
     splits = prepare_splits(ready, sample_fraction, seed, stable)
     prepared = feature_pipeline().fit(splits["train"])
+    rows = {name: part.count() for name, part in splits.items()}
     candidates = {
         key: fit_candidate(key, estimator, prepared, splits, include_models)
         for key, estimator in estimators.items()
     }
-    return {
-        "data_summary": summary.get,
-        "profile": profile if isinstance(profile, str) else "custom",
-        "sample_fraction": sample_fraction,
-        "split_fractions": SPLIT_FRACTIONS,
-        "candidates": candidates,
-    }
+    named = profile if isinstance(profile, str) else "custom"
+    return TrainingRun(candidates, summary.get, named, sample_fraction, seed, data, rows)
+
+
+def _rank(auc: float | None) -> float:
+    """An undefined AUC ranks below every defined one, 0 included."""
+    return float("-inf") if auc is None else auc
 
 
-def select_best(results: dict) -> tuple[str, str]:
+def select_best(run: TrainingRun) -> tuple[str, str]:
     """Keys of the best candidate by validation AUC and of the alternate.
 
     The earlier candidate wins a tie; an undefined AUC loses.
     """
     ordered = sorted(
-        results["candidates"].items(),
-        key=lambda item: -(item[1]["validation_metrics"]["auc"] or float("-inf")),
+        run.candidates.items(),
+        key=lambda item: -_rank(item[1].validation["auc"]),
     )
     return ordered[0][0], ordered[1][0]
 
 
-def comparison_table(spark: SparkSession, results: dict) -> DataFrame:
+def comparison_table(spark: SparkSession, run: TrainingRun) -> DataFrame:
     """One row per candidate: its metrics on both splits and the training time."""
+    parts = ("validation", "test")
     rows = [
-        (
-            key,
-            found["name"],
-            *[found[f"{part}_metrics"][m] for part in ("validation", "test") for m in EVALUATION_METRICS],
-            found["training_time_seconds"],
-        )
-        for key, found in results["candidates"].items()
+        (c.key, c.name, *[getattr(c, part)[m] for part in parts for m in EVALUATION_METRICS], c.seconds)
+        for c in run.candidates.values()
     ]
-    columns = [f"{part}_{m} DOUBLE" for part in ("validation", "test") for m in EVALUATION_METRICS]
+    columns = [f"{part}_{m} DOUBLE" for part in parts for m in EVALUATION_METRICS]
     schema = ["model_key STRING", "model_name STRING", *columns, "training_time_seconds DOUBLE"]
     return spark.createDataFrame(rows, ", ".join(schema))
 
@@ -212,11 +245,11 @@ def evaluate_saved(raw: DataFrame, paths: dict[str, str]) -> DataFrame:
             continue
         metrics = evaluate_model(model, test)["metrics"]
         rows.append((name, *[metrics[m] for m in EVALUATION_METRICS]))
-    best = max(rows, key=lambda row: row[-1] or 0.0)[0] if rows else None
+    best = max(rows, key=lambda row: _rank(row[-1]))[0] if rows else None
     schema = ", ".join(["model STRING", *[f"{m} DOUBLE" for m in EVALUATION_METRICS]])
     return spark.createDataFrame(rows, schema).withColumn("is_best", F.col("model") == F.lit(best))
 
 
 def scaler_deviations(model: PipelineModel, inputs: Sequence[str] = MODEL_INPUTS) -> list[tuple[str, float]]:
     """The standard deviation the fitted scaler divides each input by."""
-    return list(zip(inputs, (float(v) for v in model.stages[2].std)))
+    return list(zip(inputs, (float(v) for v in model.stages[3].std)))

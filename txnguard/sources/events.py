@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txnguard.functions.columns import to_double, to_whole
+from txnguard.functions.columns import stripped, to_double, to_whole
 from txnguard.operators.sampling import first_rows
 from txnguard.schema import MONEY_COLUMNS, TRANSACTION_COLUMNS, TRANSACTION_SCHEMA
+from txnguard.session import materialize
 
 
 def event_schema(*extra: tuple[str, T.DataType]) -> T.StructType:
@@ -18,24 +19,29 @@ def event_schema(*extra: tuple[str, T.DataType]) -> T.StructType:
     )
 
 
-def encode_events(df: DataFrame, *extra: str) -> DataFrame:
-    """Typed transactions as one JSON text per row in ``value``."""
+def encode_events(df: DataFrame, *extra: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Typed transactions as one JSON text per row in ``value``; ``keep`` stays beside it as columns."""
     typed = {c: to_double(F.col(c)) for c in MONEY_COLUMNS}
     typed |= {c: to_whole(F.col(c)) for c in ("step", "isFraud", "isFlaggedFraud")}
-    typed |= {c: F.trim(c) for c in ("type", "nameOrig", "nameDest")}
+    typed |= {c: stripped(F.col(c)) for c in ("type", "nameOrig", "nameDest")}
     fields = [typed[c].alias(c) for c in TRANSACTION_COLUMNS]
-    return df.select(F.to_json(F.struct(*fields, *extra)).alias("value"))
+    return df.select(F.to_json(F.struct(*fields, *extra)).alias("value"), *keep)
 
 
 def decode_events(
-    df: DataFrame, schema: T.StructType = TRANSACTION_SCHEMA, rescue: str | None = None
+    df: DataFrame, schema: T.StructType = TRANSACTION_SCHEMA, rescue: str | None = None, pruned: bool = False
 ) -> DataFrame:
     """JSON in ``value`` (text or bytes) to flat columns.
 
+    ``pruned`` parses only the fields that are read later, and again in every
+    filter on one; without it all fields are parsed, once per row.
+
     Unreadable text gives a row of nulls, one unreadable field gives one null.
     ``rescue`` names a column that keeps the text of all-null rows.
     """
     text = F.col("value").cast("string")
+    if pruned:
+        return df.select(F.from_json(text, schema).alias("_event")).select("_event.*")
     # A generator, so that filters on the fields do not repeat the parsing.
     fields = F.inline(F.array(F.from_json(text, schema)))
     if not rescue:
@@ -45,12 +51,39 @@ def decode_events(
     return parsed.select(*schema.fieldNames(), F.when(empty, F.col(rescue)).alias(rescue))
 
 
-def write_replay(df: DataFrame, path: str, *extra: str, limit: int = 0, order_by: str = "txn_id") -> None:
-    """Write (the first ``limit``) transactions as event files for a file stream."""
+def write_replay(
+    df: DataFrame,
+    path: str,
+    *extra: str,
+    limit: int = 0,
+    order_by: str = "txn_id",
+    files: int | None = None,
+) -> None:
+    """Write (the first ``limit``) transactions as event files for a file stream.
+
+    ``files`` deals them out by the hash of ``order_by``, so that a stream sees
+    many batches of any input.
+    """
     chosen = first_rows(df, limit, [order_by]) if limit else df
+    if files:
+        chosen = chosen.repartition(files, order_by)
     encode_events(chosen, *extra).write.mode("overwrite").text(path)
 
 
+def write_timed_replay(df: DataFrame, path: str, *extra: str, time_column: str, files: int = 8) -> None:
+    """Write transactions as event files whose ages follow ``time_column``.
+
+    A file stream takes older files first, so with one file per trigger no row
+    comes later than rows of an earlier time. The rows are cut into ranges and
+    stored once; each range is then written as one file, one after another.
+    """
+    ranged = df.repartitionByRange(files, time_column).withColumn("_range", F.spark_partition_id())
+    stored = materialize(encode_events(ranged, *extra, keep=("_range",)), "ranges", partition_by="_range")
+    for number in range(files):
+        part = stored.filter(F.col("_range") == number).select("value")
+        part.coalesce(1).write.mode("append").text(path)
+
+
 def kafka_options(servers: str, topic: str, starting: str = "latest") -> dict[str, str]:
     """Options of a topic subscription that outlives expired offsets."""
     return {

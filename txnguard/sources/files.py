@@ -9,8 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnguard.functions.columns import row_digest
-from txnguard.schema import TRANSACTION_COLUMNS, as_text_schema
+from txnguard.functions.columns import account_code, row_digest
+from txnguard.schema import TRANSACTION_COLUMNS
 
 log = logging.getLogger(__name__)
 
@@ -18,20 +18,18 @@ log = logging.getLogger(__name__)
 def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Transaction CSV with a header, every column as text, in one scan.
 
-    Typing happens in cleaning, so a bad cell becomes null there instead of
-    turning a whole inferred column into text. Columns are matched to the
-    header by position, and a header with other names is an error.
+    Columns are found by the names in the header line, in any order; others
+    pass through, a missing one is an error. Typing happens in cleaning, so a
+    bad cell becomes null there instead of turning a whole inferred column into
+    text. All files of one read carry the same header line.
     """
-    return (
-        spark.read.schema(as_text_schema())
-        .option("header", True)
-        .option("enforceSchema", False)
-        .csv(path)
-    )
-
-
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
-    return spark.read.format(fmt).options(**options).load(path)
+    reader = spark.read.option("header", True).option("inferSchema", False)
+    header = reader.option("enforceSchema", False).csv(path)
+    missing = [name for name in TRANSACTION_COLUMNS if name not in header.columns]
+    if missing:
+        raise ValueError(f"the header of {path} lacks {', '.join(missing)}")
+    others = [F.col(f"`{name}`") for name in header.columns if name not in TRANSACTION_COLUMNS]
+    return header.select(*TRANSACTION_COLUMNS, *others)
 
 
 def with_txn_id(df: DataFrame, column: str = "txn_id") -> DataFrame:
@@ -55,7 +53,7 @@ def read_blacklist(
             lines = lines.unionByName(spark.read.text(path))
         except AnalysisException as problem:
             log.warning("blacklist file %s not read: %s", path, problem)
-    account = F.upper(F.regexp_replace("value", r"^\s+|\s+$", ""))
+    account = account_code(F.col("value"))
     return (
         lines.select(account.alias("account"))
         .filter((F.length("account") > 0) & ~F.startswith(F.col("account"), F.lit("#")))

@@ -14,13 +14,14 @@ def drop_repeats(
     keys: Sequence[str],
     time_column: str,
     delay: str = "10 minutes",
-    thin_first: bool = True,
+    thin_first: bool = False,
 ) -> DataFrame:
     """One row per key, for repeats that arrive within ``delay`` of each other.
 
-    All copies of a key meet in one state task. ``thin_first`` removes repeats
-    inside each Arrow batch before the shuffle, so a key that makes up a large
-    share of the stream reaches that task as a few rows, not as all of them.
+    All copies of a key meet in one state task, and everything stays in the
+    JVM. ``thin_first`` sends the rows through Python to remove repeats inside
+    each Arrow batch before the shuffle, for streams in which one key makes up
+    a large share and its copies arrive close together.
     """
     timed = stream.withColumn(time_column, F.col(time_column).cast("timestamp"))
     if thin_first:

@@ -15,6 +15,7 @@ from txnguard.operators.clean import clean_transactions
 from txnguard.operators.features import add_features, add_label, alert_json, gold_projection, stamp_partitions
 from txnguard.operators.rules import counter_columns, score_rules
 from txnguard.schema import DEFAULT_SCORING, ScoringConfig
+from txnguard.session import materialize
 from txnguard.sources.files import with_txn_id
 
 log = logging.getLogger(__name__)
@@ -71,16 +72,19 @@ def process_batch(batch: DataFrame, batch_id: int, config: LayerConfig, scorer:
 
     The decoded batch is persisted once; counts ride on the writes, so there
     is no counting job. Rows must carry ``processed_at`` (see
-    ``transaction_stream``). Returns the batch metrics, None for no rows.
+    ``transaction_stream``), all of one hour, which is checked before anything
+    is written. Returns the batch metrics, None for no rows.
     """
     rows = with_txn_id(stamp_partitions(batch)).persist()
     try:
-        if rows.isEmpty():
+        stamps = rows.select("dt", "hour").distinct().limit(2).collect()
+        if not stamps:
             return None
+        if len(stamps) > 1:
+            raise ValueError(f"batch {batch_id} carries several processing hours; stamp a batch once")
         found = Observation()
-        bronze = rows.observe(found, F.count("*").alias("raw_rows"), F.max("dt").alias("dt"), F.max("hour").alias("hour"))
-        write_batch(bronze, config, "bronze", batch_id)
-        seen = found.get
+        write_batch(rows.observe(found, F.count("*").alias("raw_rows")), config, "bronze", batch_id)
+        seen = {**found.get, "dt": stamps[0].dt, "hour": stamps[0].hour}
 
         kept = Observation()
         silver = rows.transform(clean_transactions).transform(add_label).transform(add_features)
@@ -147,3 +151,64 @@ def start_layers(
     ).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
+
+
+_STAMPS = {"dt": "string", "hour": "string", "run_id": "string", "batch_id": "bigint"}
+
+
+def _landed(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """A partitioned folder with text ``dt``, ``hour`` and ``run_id``: run ids 7 and 007 stay two runs."""
+    inferred = spark.read.format(fmt).load(path).schema
+    kinds = [f"`{f.name}` {_STAMPS.get(f.name, f.dataType.simpleString())}" for f in inferred.fields]
+    return spark.read.format(fmt).schema(", ".join(kinds)).load(path)
+
+
+def _has_hours(spark: SparkSession, path: str) -> bool:
+    """Whether a partitioned folder holds any hour."""
+    hours = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/dt=*/hour=*")
+    return bool(hours.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hours))
+
+
+def read_layer(spark: SparkSession, config: LayerConfig, layer: str) -> DataFrame:
+    """All rows of a layer: compacted hours, and landed batches that no compaction holds yet."""
+    landing, hours = config.path(layer), f"{config.path(layer)}_hours"
+    if config.fmt == "delta":
+        return spark.read.format("delta").load(landing)
+    if not _has_hours(spark, f"{hours}/rows"):
+        return _landed(spark, landing, config.fmt)
+    kept = _landed(spark, f"{hours}/rows", config.fmt)
+    if not _has_hours(spark, landing):
+        return kept
+    held = _landed(spark, f"{hours}/batches", config.fmt).select(*_STAMPS)
+    fresh = _landed(spark, landing, config.fmt).join(held, list(_STAMPS), "left_anti")
+    return kept.unionByName(fresh.select(*kept.columns), allowMissingColumns=True)
+
+
+def compact_hours(spark: SparkSession, config: LayerConfig, layer: str, before: tuple[str, str], files: int = 1) -> int:
+    """Turn the landed batches of hours before ``(dt, hour)`` into ``files`` files per hour; returns the hours.
+
+    The rows of such an hour, compacted before or landed since, are stored
+    aside and then replace the hour. The list of batches it holds is replaced
+    after the rows, and only then do the landed folders go. Run again after any
+    failure, it ends in the same state. A batch that lands late is taken in by
+    the next run; readers see it meanwhile.
+    """
+    landing, hours = config.path(layer), f"{config.path(layer)}_hours"
+    if not _has_hours(spark, landing):
+        return 0
+    closed = (F.col("dt") < before[0]) | ((F.col("dt") == before[0]) & (F.col("hour") < before[1]))
+    landed = _landed(spark, landing, config.fmt).filter(closed)
+    due = [(r.dt, r.hour) for r in landed.select("dt", "hour").distinct().collect()]
+    if not due:
+        return 0
+    wanted = spark.createDataFrame(due, "dt STRING, hour STRING")
+    stored = materialize(read_layer(spark, config, layer).join(wanted, ["dt", "hour"], "left_semi"), "hours")
+    dealt = stored.repartition(len(due) * files, "dt", "hour", F.pmod(F.xxhash64(*stored.columns), F.lit(files)))
+    batches = stored.select(*_STAMPS).distinct()
+    for name, rows in (("rows", dealt), ("batches", batches.coalesce(1))):
+        writer = rows.write.format(config.fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("dt", "hour").save(f"{hours}/{name}")
+    for dt, hour in due:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{landing}/dt={dt}/hour={hour}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return len(due)
