@@ -42,7 +42,7 @@ THRESHOLDS = (
     Threshold("word_length", "word_chars", "n_words", 2.0, 15.0),
     Threshold("symbols", "n_symbols", "n_words", None, 0.10),
     Threshold("stop_words", "n_stop_words", "n_words", 0.01, None, from_words=50),
-    Threshold("repeated_lines", "n_dup_lines", "n_lines", None, 0.30),
+    Threshold("repeated_lines", "n_dup_lines", "n_lines", None, 0.40),
 )
 
 
