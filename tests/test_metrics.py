@@ -141,5 +141,19 @@ def test_exact_quantiles(spark, per_bucket):
         assert found[name] == pytest.approx(ordered[low] + (ordered[high] - ordered[low]) * (position - low))
 
 
+def test_evaluation_and_matrix_count_the_same(spark):
+    data = [(1.0, 1.0, 0.9), (0.0, 1.0, None), (1.0, None, 0.4), (0.0, 0.0, 0.1), (None, 1.0, 0.5), (1.0, 0.0, None)]
+    df = spark.createDataFrame(data, "label DOUBLE, prediction DOUBLE, s DOUBLE")
+    found = metrics.evaluate(df, "s")
+    assert found["confusion_matrix"] == metrics.confusion_matrix(df).first().asDict()
+    assert found["metrics"]["auc"] == 1.0
+
+
+def test_running_totals_of_text_keys(spark):
+    stored = materialize(spark.range(300).select(F.md5(F.col("id").cast("string")).alias("k"), F.lit(1).alias("a")))
+    found = [r.run_a for r in running.running_totals(stored, "k", ["a"], rows_per_bucket=40).orderBy("k").collect()]
+    assert found == list(range(1, 301))
+
+
 def test_quantiles_of_nothing_are_null(spark):
     assert running.exact_quantiles(spark.createDataFrame([], "v DOUBLE"), "v", {"mid": 0.5}).first().mid is None

@@ -86,6 +86,20 @@ def test_list_forms_agree(spark, rows, form):
     assert blacklist.only_unlisted(df, listed).count() == 2
 
 
+def test_names_and_rows_take_one_way(spark, rows):
+    names = [None, "", " \t", " c1\t", "C1", "c2"]
+    listed = spark.createDataFrame([(n,) for n in names], "account STRING")
+    found = rows({"nameDest": "C1"}, {"nameDest": "C2"}, {"nameDest": "C3"}, {"nameDest": None})
+    for source in (names, listed, blacklist.account_list(listed, max_literals=0), blacklist.account_list(names, max_literals=0)):
+        assert [r.hit for r in blacklist.flag_listed(found, source, "hit").orderBy("nameDest").collect()] == [0.0, 1.0, 1.0, 0.0]
+        assert sorted(r.nameDest for r in blacklist.only_listed(found, source).collect()) == ["C1", "C2"]
+        assert {r.nameDest for r in blacklist.only_unlisted(found, source).collect()} == {"C3", None}
+    many = [f"C{i}" for i in range(3000)]
+    assert blacklist.account_list(many).literals is None
+    assert blacklist.only_listed(found, many).count() == 3
+    assert blacklist.only_listed(found, []).count() == 0 and blacklist.only_unlisted(found, None).count() == 4
+
+
 def test_broadcast_only_within_measured_bounds(spark):
     source = spark.range(50).select(F.concat(F.lit("C"), "id").alias("account"))
     assert blacklist.account_list(source).literals is not None

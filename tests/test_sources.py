@@ -20,6 +20,16 @@ def test_csv_is_read_as_text_and_typed_later(spark, tmp_path):
     assert (row.step, row.type, row.amount, row.isFlaggedFraud) == (1, "PAYMENT", 10.5, 0)
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    values = dict(zip(TRANSACTION_COLUMNS, "1,payment,10.5,C1,20,9.5,M1,0,10.5,0,0".split(",")), note="n")
+    names = ["note", *reversed(TRANSACTION_COLUMNS)]
+    path.write_text(",".join(names) + "\n" + ",".join(values[n] for n in names) + "\n")
+    raw = files.read_csv(spark, str(path))
+    assert raw.columns == [*TRANSACTION_COLUMNS, "note"]
+    assert raw.first().asDict() == values
+
+
 def test_csv_with_other_header_is_an_error(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_text(",".join(["x", *TRANSACTION_COLUMNS[1:]]) + "\n" + ",".join("1" * 11) + "\n")
@@ -53,6 +63,19 @@ def test_json_round_trip(rows):
     assert [r.amount for r in decoded.collect()] == [120.5, None, 120.5]
 
 
+def test_only_read_fields_are_parsed(spark):
+    feed = spark.createDataFrame([('{"isFraud": 1}',)], "value STRING")
+    pruned = events.decode_events(feed, pruned=True).filter("isFraud = 1").select("isFraud")
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "nameOrig" not in plan and pruned.count() == 1
+
+
+def test_encoder_strips_all_white_space(rows):
+    raw = rows({"type": "\tCASH_OUT\n ", "nameDest": " M1\r"})
+    row = events.decode_events(events.encode_events(raw)).first()
+    assert (row.type, row.nameDest) == ("CASH_OUT", "M1")
+
+
 def test_bad_json_becomes_nulls_and_is_rescued(spark):
     feed = spark.createDataFrame(
         [("{cut",), (json.dumps({"step": "x", "type": "DEBIT"}),), (None,)], "value STRING"

@@ -140,6 +140,49 @@ def test_runs_do_not_replace_each_other(spark, rows, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/bronze").count() == 20
 
 
+def test_run_ids_stay_text(spark, rows, tmp_path):
+    batch = keyed(rows, 10).withColumn("processed_at", F.lit("2030-01-02 03:04:05").cast("timestamp"))
+    for run in ("7", "007"):
+        layers.process_batch(batch, 0, layers.LayerConfig(str(tmp_path), run_id=run), key_scorer())
+    found = layers.read_layer(spark, layers.LayerConfig(str(tmp_path)), "gold")
+    counts = {(r.run_id, r.dt, r.hour): r["count"] for r in found.groupBy("run_id", "dt", "hour").count().collect()}
+    assert set(counts) == {("7", "2030-01-02", "03"), ("007", "2030-01-02", "03")} and len(set(counts.values())) == 1
+
+
+def test_mixed_stamps_are_rejected_before_writing(rows, tmp_path):
+    stamp = F.when(F.col("step") % 2 == 0, "2030-01-02 23:59:59").otherwise("2030-01-03 00:00:01").cast("timestamp")
+    batch = rows({"step": 1}, {"step": 2}).withColumn("processed_at", stamp)
+    with pytest.raises(ValueError, match="several"):
+        layers.process_batch(batch, 0, layers.LayerConfig(str(tmp_path)), key_scorer())
+    assert not list(tmp_path.iterdir())
+
+
+def test_compaction_is_repeatable_and_takes_late_batches(spark, rows, tmp_path):
+    config = layers.LayerConfig(str(tmp_path), run_id="007")
+
+    def land(batch_id, hour):
+        stamp = F.lit(f"2030-01-02 {hour}:04:05").cast("timestamp")
+        layers.process_batch(keyed(rows, 10).withColumn("processed_at", stamp), batch_id, config, key_scorer())
+
+    def seen():
+        return sorted(map(tuple, layers.read_layer(spark, config, "gold").select("batch_id", "hour", "txn_id").collect()))
+
+    for batch_id, hour in enumerate(("03", "03", "04")):
+        land(batch_id, hour)
+    before = seen()
+    assert layers.compact_hours(spark, config, "gold", ("2030-01-02", "04")) == 1
+    assert layers.compact_hours(spark, config, "gold", ("2030-01-02", "04")) == 0
+    assert seen() == before and not (tmp_path / "gold" / "dt=2030-01-02" / "hour=03").exists()
+    assert len(list((tmp_path / "gold_hours" / "rows").rglob("*.parquet"))) == 1
+    land(1, "03")
+    assert seen() == before
+    land(3, "03")
+    late = seen()
+    assert len(late) > len(before)
+    assert layers.compact_hours(spark, config, "gold", ("2030-01-03", "00")) == 2
+    assert seen() == late and layers.compact_hours(spark, config, "gold", ("2031-01-01", "00")) == 0
+
+
 def test_empty_batch_writes_nothing(rows, tmp_path):
     batch = keyed(rows, 1).withColumn("processed_at", F.current_timestamp()).filter("false")
     assert layers.process_batch(batch, 0, layers.LayerConfig(str(tmp_path)), key_scorer()) is None

@@ -49,6 +49,8 @@ def shared_directory(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder shared by all executors")
     own = tempfile.mkdtemp(prefix="txnguard-")
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"file:{own}")
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
     spark.conf.set(_CHECKPOINT_KEY, own)
     return own
 
