@@ -558,11 +558,11 @@ _REPLAY_FILES = 12
 _FILES_PER_BATCH = "4"
 
 
-def _replayed(spark, sf, root):
+def _replayed(spark, sf, root, pruned=False):
     """The transactions as an event stream of several micro-batches at any size."""
     events.write_replay(raw_transactions(spark, sf), f"{root}/events", "txn_id", files=_REPLAY_FILES)
     raw = events.read_event_stream(spark, "text", f"{root}/events", maxFilesPerTrigger=_FILES_PER_BATCH)
-    return events.transaction_stream(raw, _EVENT_FIELDS)
+    return events.transaction_stream(raw, _EVENT_FIELDS, pruned=pruned)
 
 
 def _layers(spark, sf, name, run_id="007"):
@@ -634,7 +634,7 @@ def stream_kpi_counters(spark, sf):
 @query
 def stream_fraud_share(spark, sf):
     root = scratch_path(spark, "stream-share")
-    share = counters.running_fraud_counts(_replayed(spark, sf, root))
+    share = counters.running_fraud_counts(_replayed(spark, sf, root, pruned=True))
     counters.start_snapshots(share, f"{root}/share", f"{root}/checkpoint").awaitTermination()
     return counters.latest_snapshot(spark, f"{root}/share")
 

@@ -107,14 +107,16 @@ def transaction_stream(
     schema: T.StructType = TRANSACTION_SCHEMA,
     event_time: str | None = None,
     rescue: str | None = None,
+    pruned: bool = False,
 ) -> DataFrame:
     """Decoded stream with ``event_time`` and ``processed_at``.
 
     A micro-batch's current_timestamp() is logged with its offsets, so a
     replayed batch carries the same stamp, and one stamp serves all layers.
-    ``event_time`` names a column with the real time, if the events have one.
+    ``event_time`` names a column with the real time, if the events have one;
+    ``pruned`` suits readers of a few fields, as in ``decode_events``.
     """
-    decoded = decode_events(raw, schema, rescue)
+    decoded = decode_events(raw, schema, rescue, pruned)
     now = F.current_timestamp()
     moment = F.col(event_time).cast("timestamp") if event_time else now
     return decoded.withColumns({"event_time": moment, "processed_at": now})
