@@ -16,8 +16,9 @@ MAX_EPOCHS = 2
 QUALITY_WEIGHTS = {1: 2.0, 0: 0.5}
 NO_LABEL = 1.0
 SEED = "mix-1"
-#: Keys are first counted in so many bins of each source; only the bin that the budget cuts is sorted.
-BINS = 65_536
+#: Keys are counted in so many bins of each source, then in so many parts of the bin that the budget cuts;
+#: only the documents of the part that it cuts are sorted.
+BINS = 1_024
 
 
 def quality_weights(labels: DataFrame) -> DataFrame:
@@ -68,9 +69,10 @@ def mix(sized: DataFrame, seed: str = SEED, weights=SOURCE_WEIGHTS, share: float
     A source takes its complete epochs first; the rest of its target goes to
     its documents in the order of their keys until the budget is used up, the
     last one in part. Prefix sums need no sort of a whole source: sizes are
-    summed per source and key bin, every bin before the cut is taken whole, and
-    only the documents of the bin that the budget cuts are ordered. So a source
-    with a third of all rows is one aggregation with partial sums.
+    summed per source and key bin, then per part of the bin that the budget
+    cuts; every part before the cut is taken whole, and only the documents of
+    the part that is cut, a millionth of the source, are ordered. So a source
+    with a third of all rows is two aggregations with partial sums.
 
     ``size`` 0 takes nothing; a null ``source`` is a source of its own, last in
     order; a null or not positive ``weight`` counts as 1. Repeated rows are
@@ -80,7 +82,7 @@ def mix(sized: DataFrame, seed: str = SEED, weights=SOURCE_WEIGHTS, share: float
     """
     weight = F.when(F.col("weight") > 0, F.col("weight")).otherwise(F.lit(1.0))
     keyed = sized.select("doc_id", "source", "size", sampling_key(F.col("doc_id"), weight, seed).alias("_key"))
-    keyed = materialize(keyed.withColumn("_bin", F.floor((1 - F.exp(-F.col("_key"))) * BINS).cast("int")), "keyed")
+    keyed = materialize(keyed.withColumn("_part", F.floor((1 - F.exp(-F.col("_key"))) * BINS**2).cast("int")), "keyed")
     sources = keyed.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sources, weights, share, epochs)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
@@ -89,32 +91,46 @@ def mix(sized: DataFrame, seed: str = SEED, weights=SOURCE_WEIGHTS, share: float
     )
     budgets = materialize(budgets, "budgets")
 
-    # One row per source and bin: at most BINS rows of a source in a window.
-    bins = materialize(keyed.groupBy("source", "_bin").agg(F.sum("size").alias("_words")), "bins")
-    order = Window.partitionBy("source").orderBy("_bin")
-    summed = bins.withColumn("_upto", F.sum("_words").over(order)).select("source", "_bin", "_words", "_upto")
     names = budgets.select(F.col("source").alias("_source"), "source_size", "target", "_epochs", "_rest")
     same = F.col("source").eqNullSafe(F.col("_source"))
-    over = summed.join(names, same).filter(F.col("_upto") > F.col("_rest"))
-    cuts = over.groupBy("_source").agg(
-        F.min(F.struct(F.col("_bin").alias("bin"), (F.col("_upto") - F.col("_words")).alias("before"))).alias("_cut")
+    at_bin = _cut(keyed.select("source", F.floor(F.col("_part") / BINS).cast("int").alias("_at"), "size"), names, F.lit(0))
+    at_bin = materialize(at_bin.select("_source", F.col("_at").alias("_in_bin"), F.col("_before").alias("_base"), "_rest"), "bins")
+    inside_bin = keyed.join(at_bin, same & (F.floor(F.col("_part") / BINS) == F.col("_in_bin")))
+    inside_bin = materialize(inside_bin.select("source", F.col("_part").alias("_at"), "size"), "inside")
+    at_part = _cut(inside_bin, at_bin, F.col("_base")).select(
+        F.col("_source").alias("_cut_source"), F.col("_at").alias("_cut_part"), F.col("_before").alias("_cut_before")
     )
-    other = cuts.select(F.col("_source").alias("_cut_source"), "_cut")
-    plans = materialize(names.join(other, F.col("_source").eqNullSafe(F.col("_cut_source")), "left").drop("_cut_source"), "cuts")
+    plans = names.join(at_part, F.col("_source").eqNullSafe(F.col("_cut_source")), "left").drop("_cut_source")
+    plans = materialize(plans, "cuts")
 
     rows = keyed.join(plans, same)
     full = F.col("_epochs") * F.col("size")
-    in_cut = F.coalesce(F.col("_bin") == F.col("_cut.bin"), F.lit(False))
-    before_cut = F.coalesce(F.col("_bin") < F.col("_cut.bin"), F.lit(True))
+    in_cut = F.coalesce(F.col("_part") == F.col("_cut_part"), F.lit(False))
+    before_cut = F.coalesce(F.col("_part") < F.col("_cut_part"), F.lit(True))
     outside = rows.filter(~in_cut).withColumn("taken", full + F.when(before_cut, F.col("size")).otherwise(0))
     in_order = Window.partitionBy("source").orderBy("_key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    start = F.col("_cut.before") + F.sum("size").over(in_order) - F.col("size")
+    start = F.col("_cut_before") + F.sum("size").over(in_order) - F.col("size")
     part = F.least(F.col("size"), F.greatest(F.lit(0).cast("long"), F.col("_rest") - start))
     inside = rows.filter(in_cut).withColumn("taken", full + part)
     columns = ["doc_id", "source", "size", "source_size", "target", "taken"]
     return outside.select(*columns).unionByName(inside.select(*columns))
 
 
+def _cut(rows: DataFrame, budgets: DataFrame, base: Column) -> DataFrame:
+    """Per source the place ``_at`` where the sizes of ``rows`` pass the budget, and ``_before``, the sizes before it.
+
+    ``base`` counts what lies before all rows. There are at most ``BINS`` places of a source.
+    """
+    summed = materialize(rows.groupBy("source", "_at").agg(F.sum("size").alias("_words")), "sums")
+    order = Window.partitionBy("source").orderBy("_at")
+    upto = summed.withColumn("_upto", F.sum("_words").over(order))
+    over = upto.join(budgets, F.col("source").eqNullSafe(F.col("_source"))).filter(base + F.col("_upto") > F.col("_rest"))
+    first = over.groupBy("_source", "_rest").agg(
+        F.min(F.struct("_at", (base + F.col("_upto") - F.col("_words")).alias("_before"))).alias("_first")
+    )
+    return first.select("_source", "_rest", "_first._at", "_first._before")
+
+
 def size_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, source, size, weight`` of every row; the text is measured before anything is joined."""
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
