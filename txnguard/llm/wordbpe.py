@@ -18,8 +18,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are handled in groups of about so many bytes, longer ones in several windows.
-GROUP_BYTES = 8 << 20
-_MEMO_WORDS = 300_000
+GROUP_BYTES = 4 << 20
+_MEMO_WORDS = 250_000
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 _BREAK = re.compile(r"[ \t\n\r\x0b\x0c]")
 
