@@ -421,3 +421,34 @@ def near_duplicates(
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def near_dup_sql(words: int = 2, percent: int = 80) -> str:
+    """DuckDB SQL of the result for unique, known ids: all pairs that share a rare shingle, counted exactly.
+
+    Of two sets at the threshold, each one's rarest shingles, as many as may be
+    missing from the other and one more, have a member in common.
+    """
+    return rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + {words - 1}), ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {words - 2}, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+f AS (SELECT shingle, count(*) AS f FROM s GROUP BY shingle HAVING count(*) > 1),
+r AS (SELECT s.doc_id, s.shingle, n.n, row_number() OVER (PARTITION BY s.doc_id ORDER BY coalesce(f, 1), s.shingle) AS place
+      FROM s JOIN n ON s.doc_id = n.doc_id LEFT JOIN f ON s.shingle = f.shingle),
+p AS (SELECT doc_id, shingle, n FROM r WHERE place <= n - (n * {percent} + 99) // 100 + 1),
+c AS (SELECT DISTINCT x.doc_id AS a, y.doc_id AS b, x.n AS na, y.n AS nb FROM p x JOIN p y
+        ON x.shingle = y.shingle AND x.doc_id < y.doc_id AND 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)),
+l AS (SELECT a, b FROM c JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b AND y.shingle = x.shingle
+      GROUP BY a, b, na, nb HAVING 100 * count(*) >= {percent} * (na + nb - count(*))),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+g(a, b) AS (SELECT a, b FROM e UNION SELECT g.a, e.b FROM g JOIN e ON e.a = g.b),
+m AS (SELECT a, min(b) AS least_b FROM g GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(w.doc_id, coalesce(least_b, w.doc_id)) AS component_id,
+       w.doc_id = least(w.doc_id, coalesce(least_b, w.doc_id)) AS kept
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN m ON m.a = w.doc_id"""

@@ -12,7 +12,7 @@ from txnguard.llm.fingerprints import fingerprint_documents
 from txnguard.llm.language_id import identify_languages
 from txnguard.llm.line_dedup import drop_spread_lines, line_sql
 from txnguard.llm.mixing import mix, mixing_sql, size_documents
-from txnguard.llm.near_dups import NearDupConfig, near_duplicates
+from txnguard.llm.near_dups import NearDupConfig, near_dup_sql, near_duplicates
 from txnguard.llm.packing import cut_pieces, pack
 from txnguard.llm.quality import judge_quality, quality_sql
 from txnguard.llm.token_counts import count_tokens
@@ -75,6 +75,9 @@ def op4_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), NearDupConfig(words=2))
 
 
+ORACLES["op4_minhash_near_dedup"] = near_dup_sql(words=2)
+
+
 @_query
 def op2_warc_archives(spark: SparkSession, folder: str) -> DataFrame:
     return archive_round_trip(table(spark, folder, "pages")).drop("uri")
