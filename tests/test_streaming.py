@@ -174,8 +174,10 @@ def test_compaction_is_repeatable_and_takes_late_batches(spark, rows, tmp_path):
     assert layers.compact_hours(spark, config, "gold", ("2030-01-02", "04")) == 0
     assert seen() == before and not (tmp_path / "gold" / "dt=2030-01-02" / "hour=03").exists()
     assert len(list((tmp_path / "gold_hours" / "rows").rglob("*.parquet"))) == 1
+    # As if the compaction had failed before it dropped the landed batch: both copies stand, one is read.
     land(1, "03")
     assert seen() == before
+    assert layers.compact_hours(spark, config, "gold", ("2030-01-02", "04")) == 1 and seen() == before
     land(3, "03")
     late = seen()
     assert len(late) > len(before)

@@ -179,8 +179,11 @@ def read_layer(spark: SparkSession, config: LayerConfig, layer: str) -> DataFram
     kept = _landed(spark, f"{hours}/rows", config.fmt)
     if not _has_hours(spark, landing):
         return kept
-    held = _landed(spark, f"{hours}/batches", config.fmt).select(*_STAMPS)
-    fresh = _landed(spark, landing, config.fmt).join(held, list(_STAMPS), "left_anti")
+    landed = _landed(spark, landing, config.fmt)
+    # The compacted rows themselves say which batches they hold; only hours that have landed again are asked.
+    again = landed.select("dt", "hour").distinct()
+    held = kept.select(*_STAMPS).join(again, ["dt", "hour"], "left_semi").distinct()
+    fresh = landed.join(held, list(_STAMPS), "left_anti")
     return kept.unionByName(fresh.select(*kept.columns), allowMissingColumns=True)
 
 
@@ -188,10 +191,10 @@ def compact_hours(spark: SparkSession, config: LayerConfig, layer: str, before:
     """Turn the landed batches of hours before ``(dt, hour)`` into ``files`` files per hour; returns the hours.
 
     The rows of such an hour, compacted before or landed since, are stored
-    aside and then replace the hour. The list of batches it holds is replaced
-    after the rows, and only then do the landed folders go. Run again after any
-    failure, it ends in the same state. A batch that lands late is taken in by
-    the next run; readers see it meanwhile.
+    aside and then replace the hour, and only then do the landed folders go.
+    Rows keep their batch, so rows that stand in both places are read once, and
+    a run after any failure ends in the same state. A batch that lands late is
+    taken in by the next run; readers see it meanwhile.
     """
     landing, hours = config.path(layer), f"{config.path(layer)}_hours"
     if not _has_hours(spark, landing):
@@ -204,10 +207,8 @@ def compact_hours(spark: SparkSession, config: LayerConfig, layer: str, before:
     wanted = spark.createDataFrame(due, "dt STRING, hour STRING")
     stored = materialize(read_layer(spark, config, layer).join(wanted, ["dt", "hour"], "left_semi"), "hours")
     dealt = stored.repartition(len(due) * files, "dt", "hour", F.pmod(F.xxhash64(*stored.columns), F.lit(files)))
-    batches = stored.select(*_STAMPS).distinct()
-    for name, rows in (("rows", dealt), ("batches", batches.coalesce(1))):
-        writer = rows.write.format(config.fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("dt", "hour").save(f"{hours}/{name}")
+    writer = dealt.write.format(config.fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("dt", "hour").save(f"{hours}/rows")
     for dt, hour in due:
         folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{landing}/dt={dt}/hour={hour}")
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
