@@ -5,6 +5,7 @@ from dataclasses import replace
 
 from frames import awkward, documents, sentence
 from pyspark.sql import functions as F
+from txnguard.llm import near_dups
 from txnguard.llm.near_dups import NearDupConfig, near_duplicates
 
 
@@ -74,3 +75,30 @@ def test_awkward_rows(spark):
     config = replace(NearDupConfig(), words=2)
     assert found(clash, config) == brute_force(rows, 2)
     assert near_duplicates(frame.limit(0), config).count() == 0
+
+
+def family(members=120):
+    """Texts that share a long passage, each with words of its own: similar below the limit, every text its own group."""
+    rng = random.Random(21)
+    core = sentence(90, rng)
+    return [(i, f"{core} {sentence(16, rng)}", None, None) for i in range(members)]
+
+
+def test_a_family_below_the_limit_stays_in_small_tasks(spark, monkeypatch):
+    rows, dealt, written = family(), [], []
+    rows += [(1000 + i, rows[i][1] + " end", None, None) for i in range(0, 120, 7)]
+    config = NearDupConfig(words=2, chunk=16, part=3)
+    search = near_dups._outside_candidates
+
+    def searched(mixed, classes, config):
+        dealt.extend(near_dups._dealt(mixed, classes, config).groupBy("key", "low", "high").count().collect())
+        written.append(search(mixed, classes, config))
+        return written[0]
+
+    monkeypatch.setattr(near_dups, "_outside_candidates", searched)
+    assert found(documents(spark, rows), config) == brute_force(rows, 2)
+    largest = max(r["count"] for r in dealt)
+    assert max(r.high for r in dealt) > 1, "no bucket was large enough to be split"
+    assert largest <= 4 * config.chunk
+    # What is written is at most a row of every task, not every pair of a bucket.
+    assert written[0].count() <= sum(r["count"] for r in dealt)

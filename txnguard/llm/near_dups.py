@@ -21,7 +21,8 @@ class NearDupConfig:
     A pair at 80 % shares no band with probability (1 - 0.8 ** rows) ** bands,
     5e-7 with these values. ``slack`` is how far below the threshold a sketch
     may put a pair that is still checked: nearly five standard errors.
-    Buckets are searched in chunks, groups in parts of so many members.
+    Buckets are searched in pairs of blocks of ``chunk`` members, groups of
+    more than ``part`` members in parts of that size.
     """
 
     words: int = 5
@@ -171,69 +172,169 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, config: Ne
     return materialize(passed.filter(exact).select("a", "b").distinct(), "links")
 
 
-def _outside_candidates(mixed: DataFrame, classes: DataFrame, config: NearDupConfig) -> DataFrame:
-    """``rep, grp``: members that some co-member in another group resembles by sketch, and that group.
-
-    All pairs of a bucket across groups are compared inside the tasks, and a
-    member names each resembling group once, however many of its members
-    resemble it; of two groups the smaller one's members name the larger. A
-    bucket larger than a chunk is split: the members of its largest group are
-    dealt out over the chunks, all others visit every chunk. So a chunk stays
-    small and every pair from different groups meets in one of them.
+def _blocks(rows: Column, shingles: Column, config: NearDupConfig) -> Column:
+    """Blocks of about ``chunk`` rows, and of no more than 1,024 shingles a row on average."""
+    return F.ceil(F.greatest(rows / config.chunk, shingles / (1024 * config.chunk))).cast("int")
+
+
+def _dealt(mixed: DataFrame, classes: DataFrame, config: NearDupConfig) -> DataFrame:
+    """``key, low, high, home, rep, grp, grp_size, n, odd``: bucket members, once per task they take part in.
+
+    A small bucket is one task. The members of a large one are dealt to blocks,
+    its largest group's apart from all others', and every two blocks whose
+    members have to meet are a task; two blocks of the largest group need not.
+    So a task holds at most about two blocks, whatever groups the bucket has.
     """
-    kind = mixed.schema["rep"].dataType.simpleString()
-    parts = F.ceil(F.col("members") / config.chunk).cast("int")
-    largest = (
-        mixed.filter(F.col("members") > config.chunk)
-        .groupBy("key", "grp")
-        .agg(F.count("*").alias("times"))
-        .groupBy(F.col("key").alias("large_key"))
-        .agg(F.max_by("grp", "times").alias("main"))
+    sized = classes.select(F.col("rep").alias("class_rep"), "n")
+    large = mixed.filter("blocks > 1").join(sized, F.col("rep") == F.col("class_rep"))
+    large = large.groupBy("key", "grp").agg(F.count("*").alias("times"), F.sum("n").alias("load"))
+    large = large.groupBy(F.col("key").alias("large_key")).agg(
+        F.max_by("grp", F.struct("times", "grp")).alias("main"),
+        F.max(F.struct("times", "grp", "load")).alias("_most"),
+        F.sum("times").alias("_times"),
+        F.sum("load").alias("_load"),
+    )
+    most_times, most_load = F.col("_most.times"), F.col("_most.load")
+    large = large.select(
+        "large_key",
+        "main",
+        _blocks(most_times, most_load, config).alias("own_blocks"),
+        _blocks(F.col("_times") - most_times, F.col("_load") - most_load, config).alias("other_blocks"),
+    )
+    large = materialize(large, "large")
+    rows = mixed.join(large, mixed.key == large.large_key, "left")
+    draw, in_main = F.xxhash64("rep"), F.col("grp") == F.col("main")
+    # The blocks of the largest group are numbered after all others.
+    home = (
+        F.when(F.col("large_key").isNull(), 0)
+        .when(in_main, F.col("other_blocks") + F.pmod(draw, "own_blocks"))
+        .otherwise(F.pmod(draw, "other_blocks"))
+        .cast("int")
     )
-    largest = materialize(largest, "largest")
-    dealt = mixed.join(largest, mixed.key == largest.large_key, "left")
-    own = F.pmod(F.xxhash64("rep"), parts).cast("int")
-    visits = F.when(F.coalesce(F.col("grp") == F.col("main"), F.col("members") <= config.chunk), F.array(own)).otherwise(
-        F.sequence(F.lit(0), parts - 1)
+    last = (
+        F.when(F.col("large_key").isNull(), 0)
+        .when(in_main, F.col("other_blocks") - 1)
+        .otherwise(F.col("own_blocks") + F.col("other_blocks") - 1)
+        .cast("int")
     )
-    placed = dealt.select("key", "rep", "grp", "grp_size", own.alias("home"), F.explode(visits).alias("part"))
+    rows = rows.select("key", "rep", "grp", "grp_size", home.alias("home"), F.explode(F.sequence(F.lit(0), last)).alias("with"))
     side = classes.select(F.col("rep").alias("class_rep"), "n", "odd")
-    rows = placed.join(side, placed.rep == side.class_rep)
-    rows = rows.select("key", "part", "rep", "grp", "grp_size", "home", "n", "odd")
-    rows = rows.repartition("key", "part").sortWithinPartitions("key", "part")
+    return rows.join(side, rows.rep == side.class_rep).select(
+        "key", F.least("home", "with").alias("low"), F.greatest("home", "with").alias("high"), "home", "rep", "grp", "grp_size", "n", "odd"
+    )
+
+
+def _outside_candidates(mixed: DataFrame, classes: DataFrame, config: NearDupConfig) -> DataFrame:
+    """Members that resemble a co-member of another group by sketch.
+
+    All pairs of a bucket across groups are compared inside the tasks. Of a
+    resembling pair with a group of more than ``part`` members, the smaller
+    group's member names the larger group as ``target``, once however many of
+    its members resemble it. Of other pairs both members are given once per
+    task, with ``target`` null. So pairs are never written out.
+    """
+    kind = mixed.schema["rep"].dataType.simpleString()
+    rows = _dealt(mixed, classes, config)
+    rows = rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
     words, most = config.bits // 64, _most_differing(config)
 
     def compare(table: pa.Table):
-        """All pairs of equal key and part: each row against the one ``step`` rows on, step by step."""
+        """All pairs of equal key and blocks: each row against the one ``step`` rows on, step by step."""
         table = table.combine_chunks()
-        key, part, home, n, size = (table.column(c).to_numpy() for c in ("key", "part", "home", "n", "grp_size"))
+        key, low, high, home = (table.column(c).to_numpy() for c in ("key", "low", "high", "home"))
+        n, size = table.column("n").to_numpy(), table.column("grp_size").to_numpy()
         groups = pa.concat_arrays(table.column("grp").chunks).dictionary_encode()
         group = groups.indices.to_numpy().astype(np.int64)
         odd = _bits(table.column("odd"), words)
         left, step, found = np.arange(len(key)), 1, []
+        touched = np.zeros(len(key), bool)
         while len(left):
             left = left[left + step < len(key)]
             right = left + step
-            same = (key[left] == key[right]) & (part[left] == part[right])
+            same = (key[left] == key[right]) & (low[left] == low[right]) & (high[left] == high[right])
             left, right = left[same], right[same]
             test = (group[left] != group[right]) & (
                 100 * np.minimum(n[left], n[right]) >= config.percent * np.maximum(n[left], n[right])
             )
-            # Two visitors meet in every chunk; the home of either is enough.
-            test &= (home[left] == part[left]) | (home[right] == part[right])
+            # Rows of one block meet in the task of that block alone.
+            test &= (home[left] != home[right]) | (low[left] == high[left])
             x, y = left[test], right[test]
             close = np.bitwise_count(odd[x] ^ odd[y]).sum(axis=1) <= most
             x, y = x[close], y[close]
             swap = (size[x] > size[y]) | ((size[x] == size[y]) & (group[x] < group[y]))
             x, y = np.where(swap, y, x), np.where(swap, x, y)
-            found.append(np.unique(x * len(key) + group[y]))
+            by_group = size[y] > config.part
+            found.append(np.unique(x[by_group] * len(key) + group[y[by_group]]))
+            touched[x[~by_group]] = touched[y[~by_group]] = True
             step += 1
         named = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-        reps, targets = table.column("rep").take(named // len(key)), groups.dictionary.take(pa.array(named % len(key)))
-        yield from pa.table({"rep": reps, "grp": targets}).to_batches(max_chunksize=50_000)
+        columns = ["key", "low", "high", "home", "rep", "grp", "grp_size"]
+        for at, target in (
+            (np.flatnonzero(touched), pa.nulls(int(touched.sum()), groups.type.value_type)),
+            (named // len(key), groups.dictionary.take(pa.array(named % len(key)))),
+        ):
+            given = table.select(columns).take(pa.array(at)).append_column("target", target)
+            yield from given.to_batches(max_chunksize=50_000)
 
-    found = rows.mapInArrow(_by_run(compare, 2), f"rep {kind}, grp {kind}")
-    return found.distinct()
+    schema = f"key long, low int, high int, home int, rep {kind}, grp {kind}, grp_size long, target {kind}"
+    return rows.mapInArrow(_by_run(compare, 3), schema)
+
+
+def _block_links(touched: DataFrame, classes: DataFrame, sets: DataFrame, config: NearDupConfig) -> DataFrame:
+    """Confirmed links ``a, b`` between the groups of ``touched`` rows, compared on full sets inside their task.
+
+    A pair that shares several bands is compared where the first one meets; a
+    bucket of two was compared by its star. Groups that a task has linked are
+    one group to it, so it gives fewer links than it has groups.
+    """
+    kind = classes.schema["rep"].dataType.simpleString()
+    side = classes.select(F.col("rep").alias("class_rep"), "n", "odd", "bands")
+    full = sets.select(F.col("rep").alias("set_rep"), F.col("members").alias("shingles"))
+    rows = touched.join(side, touched.rep == side.class_rep).join(full, touched.rep == full.set_rep)
+    rows = rows.select("key", "low", "high", "home", "rep", "grp", "grp_size", "n", "odd", "bands", "shingles")
+    rows = rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+    words, most = config.bits // 64, _most_differing(config)
+
+    def confirm(table: pa.Table):
+        table = table.combine_chunks()
+        key, low, high, home = (table.column(c).to_numpy() for c in ("key", "low", "high", "home"))
+        n, size = table.column("n").to_numpy(), table.column("grp_size").to_numpy()
+        group = pa.concat_arrays(table.column("grp").chunks).dictionary_encode().indices.to_numpy().astype(np.int64)
+        odd, bands = _bits(table.column("odd"), words), _bits(table.column("bands"), config.bands).view(np.int64)
+        # Shingles are numbered within the table, so that a row's own ones can be marked.
+        names, numbers = np.unique(_bits(table.column("shingles"), 1), return_inverse=True)
+        sets_of = np.split(numbers.reshape(-1), np.cumsum(n)[:-1])
+        own = np.zeros(len(names), np.uint8)
+        labels = np.arange(group.max() + 1)
+        new_run = (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+        ends = np.append(np.flatnonzero(new_run) + 1, len(key))
+        ends = ends[np.searchsorted(ends, np.arange(len(key)), side="right")]
+        linked: list[tuple[int, int]] = []
+        for x in range(len(key)):
+            y = np.arange(x + 1, ends[x])
+            y = y[
+                (labels[group[y]] != labels[group[x]])
+                & ((home[y] != home[x]) | (low[x] == high[x]))
+                & (np.maximum(size[y], size[x]) <= config.part)
+                & (100 * np.minimum(n[y], n[x]) >= config.percent * np.maximum(n[y], n[x]))
+            ]
+            y = y[np.bitwise_count(odd[y] ^ odd[x]).sum(axis=1) <= most]
+            y = y[bands[x][(bands[y] == bands[x]).argmax(axis=1)] == key[x]]
+            if not len(y):
+                continue
+            own[sets_of[x]] = 1
+            starts = np.cumsum(n[y]) - n[y]
+            shared = np.add.reduceat(own[np.concatenate([sets_of[k] for k in y])], starts, dtype=np.int64)
+            own[sets_of[x]] = 0
+            for k in y[100 * shared >= config.percent * (n[x] + n[y] - shared)]:
+                if labels[group[k]] != labels[group[x]]:
+                    linked.append((x, k))
+                    labels[labels == labels[group[k]]] = labels[group[x]]
+        reps = table.column("rep")
+        ends_of = np.array(linked, np.int64).reshape(-1, 2)
+        yield from pa.table({"a": reps.take(pa.array(ends_of[:, 0])), "b": reps.take(pa.array(ends_of[:, 1]))}).to_batches()
+
+    return materialize(rows.mapInArrow(_by_run(confirm, 3), f"a {kind}, b {kind}").distinct(), "links")
 
 
 def _most_differing(config: NearDupConfig) -> float:
@@ -292,11 +393,7 @@ def _group_links(candidates: DataFrame, groups: DataFrame, classes: DataFrame, s
     kind = classes.schema["rep"].dataType.simpleString()
     wanted = candidates.select(F.col("grp").alias("_grp")).distinct()
     inside = groups.select(F.col("component").alias("grp"), F.col("node").alias("rep"))
-    alone = wanted.join(groups.select("component"), F.col("_grp") == F.col("component"), "left_anti")
-    inside = inside.join(wanted, inside.grp == wanted._grp, "left_semi").unionByName(
-        alone.select(F.col("_grp").alias("grp"), F.col("_grp").alias("rep"))
-    )
-    inside = materialize(inside, "inside")
+    inside = materialize(inside.join(wanted, inside.grp == wanted._grp, "left_semi"), "inside")
     sizes = materialize(inside.groupBy(F.col("grp").alias("_grp")).agg(F.count("*").alias("_size")), "sizes")
     parts = F.ceil(F.col("_size") / config.part).cast("int")
     members = inside.join(sizes, inside.grp == sizes._grp).select(
@@ -356,10 +453,11 @@ def near_duplicates(
     band meet in a bucket, but a bucket never gives all its pairs: in each star
     round one member is compared with those not yet in its group, which joins
     the bulk of any size in linear work. Buckets that still hold several groups
-    are then searched across groups by sketch, inside the tasks; a member names
-    each group it resembles, and is compared with that whole group on full sets
-    of 64-bit shingle hashes. Pairs are never written out. Every link is
-    confirmed on full sets, and links are closed to components.
+    are then searched across groups by sketch, inside the tasks. A member names
+    each large group it resembles, and is compared with that whole group on
+    full sets of 64-bit shingle hashes; members of small groups are compared on
+    full sets inside the task where they meet. Pairs are never written out.
+    Every link is confirmed on full sets, and links are closed to components.
 
     Null or empty text, and text without words, has an empty set and is linked
     with nothing. Repeated rows with one id are one node of the graph. A null
@@ -372,11 +470,17 @@ def near_duplicates(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("odd").alias("odd")
     )
     classes = materialize(classes, "classes")
-    buckets = classes.select("rep", F.explode("bands").alias("key"))
-    shared = buckets.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("_last"), F.count("*").alias("members"))
-    shared = materialize(shared.filter("hub < _last").select(F.col("key").alias("shared_key"), "hub", "members"), "shared")
+    buckets = classes.select("rep", F.explode("bands").alias("key"), "n")
+    shared = buckets.groupBy("key").agg(
+        F.min("rep").alias("hub"),
+        F.max("rep").alias("_last"),
+        F.count("*").alias("members"),
+        _blocks(F.count("*"), F.sum("n"), config).alias("blocks"),
+    )
+    shared = shared.filter("hub < _last").select(F.col("key").alias("shared_key"), "hub", "members", "blocks")
+    shared = materialize(shared, "shared")
     members = materialize(
-        buckets.join(shared, buckets.key == shared.shared_key).select("key", "rep", "hub", "members"), "members"
+        buckets.join(shared, buckets.key == shared.shared_key).select("key", "rep", "hub", "members", "blocks"), "members"
     )
     needed = members.select(F.col("rep").alias("needed_rep")).distinct()
     needed = classes.join(needed, classes.rep == needed.needed_rep, "left_semi").select("rep", "set_key")
@@ -388,7 +492,7 @@ def near_duplicates(
         last = turn == config.star_rounds
         # Two members have been compared by their first star.
         own = members.filter("members > 2").join(groups, F.col("rep") == groups.node, "left")
-        own = materialize(own.select("key", "rep", "members", F.coalesce("component", "rep").alias("grp")), "grouped")
+        own = materialize(own.select("key", "rep", "blocks", F.coalesce("component", "rep").alias("grp")), "grouped")
         open_keys = own.groupBy("key").agg(
             F.min("grp").alias("_low"),
             F.max("grp").alias("_high"),
@@ -400,9 +504,14 @@ def near_duplicates(
         if last:
             sizes = materialize(groups.groupBy(F.col("component").alias("_grp")).agg(F.count("*").alias("_size")), "group-sizes")
             mixed = mixed.join(sizes, F.col("grp") == F.col("_grp"), "left")
-            mixed = mixed.select("key", "rep", "members", "grp", F.coalesce("_size", F.lit(1)).alias("grp_size"))
-            candidates = materialize(_outside_candidates(materialize(mixed, "mixed"), classes, config), "candidates")
-            new = _group_links(candidates, groups, classes, sets, config)
+            mixed = mixed.select("key", "rep", "blocks", "grp", F.coalesce("_size", F.lit(1)).alias("grp_size"))
+            found = materialize(_outside_candidates(materialize(mixed, "mixed"), classes, config), "candidates")
+            named = found.filter("target IS NOT NULL").select("rep", F.col("target").alias("grp")).distinct()
+            named = materialize(named, "named")
+            touched = found.filter("target IS NULL").drop("target")
+            new = _group_links(named, groups, classes, sets, config).unionByName(
+                _block_links(touched, classes, sets, config)
+            )
         else:
             pairs = mixed.filter(F.col("grp") != F.col("_hub.grp")).select(
                 F.least("rep", "_hub.rep").alias("a"), F.greatest("rep", "_hub.rep").alias("b")
