@@ -136,6 +136,24 @@ def test_line_spread_with_coarse_sketches_is_still_exact(spark):
     assert kept == {k: (30 + k if 30 + k < 50 else 1) for k in range(40)}
 
 
+def test_passages_go_at_a_hot_site_and_at_few_sites(spark):
+    rng = random.Random(14)
+    hot, few, rare, short = sentence(60, rng), sentence(50, rng), sentence(60, rng), sentence(49, rng)
+    rows = []
+    for i in range(21):
+        # A third of the rows are of one site, the others of six.
+        lines = [sentence(8, rng), hot, short, sentence(5, rng)]
+        lines += [few] if i % 7 < 5 else []
+        lines += [rare] if i % 7 < 4 else []
+        rows.append((i, "\n".join(lines), None, "hot" if i % 3 == 0 else f"s{i % 7}" if i % 7 < 5 else "s5"))
+    rows = [(i, t, g, "hot" if i % 7 == 0 else s) for i, t, g, s in rows]
+    sites = {x: len({s for _, t, _, s in rows if x in t.split("\n")}) for x in (hot, few, rare, short)}
+    assert sites == {hot: 6, few: 5, rare: 4, short: 6}
+    texts = [r.text.split("\n") for r in drop_spread_lines(documents(spark, rows)).orderBy("doc_id").collect()]
+    left = {x: sum(x in t for t in texts) for x in sites}
+    assert left == {hot: 1, few: 1, rare: 12, short: 21}
+
+
 PAGES = "page_id long, url string, html string"
 
 

@@ -10,13 +10,17 @@ from txnguard.session import materialize
 
 #: A line on at least so many distinct sites is boilerplate.
 MIN_SITES = 10
+#: A passage, a line of so many words, is boilerplate on fewer sites already: where a third of all rows are of one
+#: site, or a table has few sites, its copies cannot reach many. In the given tables near copies reach 4 sites.
+LONG_WORDS = 50
+LONG_SITES = 5
 #: Sketch size (registers: 2 ** LG_K) and the band around the threshold, in standard errors, that is counted exactly.
 LG_K = 12
 BAND = 4.0
 
 
-def _site_spread(lines: DataFrame, min_sites: int, lg_k: int, band: float) -> DataFrame:
-    """``hash`` and first place of every line hash on ``min_sites`` sites or more.
+def _site_spread(lines: DataFrame, lg_k: int, band: float) -> DataFrame:
+    """``hash`` and first place of every line hash on ``least`` sites or more.
 
     One sketch per line hash, built before the shuffle and merged after it.
     Sketches decide what lies clearly on one side; lines within the band get an
@@ -26,17 +30,20 @@ def _site_spread(lines: DataFrame, min_sites: int, lg_k: int, band: float) -> Da
     stats = lines.groupBy("hash").agg(
         F.hll_sketch_agg("site", F.lit(lg_k)).alias("sketch"),
         F.count("*").alias("times"),
+        F.min("least").alias("least"),
         F.min(F.struct("doc_id", "text_hash", "at")).alias("first"),
     )
     # A line that occurs less often than the threshold cannot be on so many sites.
-    often = stats.filter(F.col("times") >= min_sites).select("hash", "first", F.hll_sketch_estimate("sketch").alias("sites"))
+    often = stats.filter(F.col("times") >= F.col("least"))
+    often = often.select("hash", "first", "least", F.hll_sketch_estimate("sketch").alias("sites"))
     often = materialize(often, "spread")
-    near = (F.col("sites") >= min_sites * (1 - error) - 1) & (F.col("sites") <= min_sites * (1 + error) + 1)
-    unsure = often.filter(near).select(F.col("hash").alias("near_hash"), "first")
+    near = (F.col("sites") >= F.col("least") * (1 - error) - 1) & (F.col("sites") <= F.col("least") * (1 + error) + 1)
+    unsure = often.filter(near).select(F.col("hash").alias("near_hash"), "first", F.col("least").alias("needed"))
     # Written first: a line on a third of all rows is then split by its join and summed before the next shuffle.
-    close = materialize(lines.join(unsure, lines.hash == unsure.near_hash).select("hash", "first", "site"), "near")
-    exact = close.distinct().groupBy("hash", "first").agg(F.count("*").alias("sites"))
-    return often.filter(~near & (F.col("sites") > min_sites)).unionByName(exact.filter(F.col("sites") >= min_sites))
+    close = materialize(lines.join(unsure, lines.hash == unsure.near_hash).select("hash", "first", "needed", "site"), "near")
+    exact = close.distinct().groupBy("hash", "first", "needed").agg(F.count("*").alias("sites"))
+    clear = often.filter(~near & (F.col("sites") > F.col("least"))).select("hash", "first")
+    return clear.unionByName(exact.filter(F.col("sites") >= F.col("needed")).select("hash", "first"))
 
 
 def drop_spread_lines(
@@ -47,13 +54,16 @@ def drop_spread_lines(
     doc_id: str = "doc_id",
     text: str = "text",
     site: str = "source",
+    long_words: int = LONG_WORDS,
+    long_sites: int = LONG_SITES,
 ) -> DataFrame:
     """All columns of ``docs`` with boilerplate lines taken out of the text, and ``n_lines, n_removed``.
 
     A line (cut at ``\\n``, compared by a 64-bit hash and its length) with a
-    word that occurs on ``min_sites`` distinct sites or more stays at its first
-    place, by id and position, and goes everywhere else; so whole documents
-    that were copied over many sites keep one full text. Blank lines stay.
+    word that occurs on ``min_sites`` distinct sites or more, or one of
+    ``long_words`` words or more on ``long_sites``, stays at its first place, by
+    id and position, and goes everywhere else; so whole documents that were
+    copied over many sites keep one full text. Blank lines stay.
 
     Line rows hold hashes only. Texts are shuffled once, to meet the list of
     their removed positions. Null text stays null with 0 lines; null sites
@@ -68,11 +78,18 @@ def drop_spread_lines(
         F.coalesce(F.col(site).cast("string"), F.lit("")).alias("site"),
         F.posexplode(F.split(body, "\n")).alias("at", "line"),
     )
+    # So many words take at least so many characters; most lines are not searched.
+    passage = (F.length("line") >= 2 * long_words - 1) & (F.regexp_count("line", F.lit(WORD)) >= long_words)
     lines = lined.filter(F.col("line").rlike(WORD)).select(
-        "doc_id", "text_hash", "site", "at", F.struct(F.xxhash64("line").alias("h"), F.length("line").alias("n")).alias("hash")
+        "doc_id",
+        "text_hash",
+        "site",
+        "at",
+        F.struct(F.xxhash64("line").alias("h"), F.length("line").alias("n")).alias("hash"),
+        F.when(passage, min(min_sites, long_sites)).otherwise(min_sites).alias("least"),
     )
     lines = materialize(lines, "lines")
-    spread = materialize(_site_spread(lines, min_sites, lg_k, band).select(F.col("hash").alias("spread_hash"), "first"), "spread")
+    spread = materialize(_site_spread(lines, lg_k, band).select(F.col("hash").alias("spread_hash"), "first"), "spread")
     place = F.struct("doc_id", "text_hash", "at")
     gone = lines.join(spread, lines.hash == spread.spread_hash).filter(~place.eqNullSafe(F.col("first")))
     removed = gone.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
@@ -95,7 +112,7 @@ def drop_spread_lines(
 
 
 def line_sql(min_sites: int = MIN_SITES) -> str:
-    """DuckDB SQL of the query's result, with exact counts of sites."""
+    """DuckDB SQL of the result where no line of ``LONG_WORDS`` is on ``LONG_SITES`` to ``min_sites`` - 1 sites; exact counts."""
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, source, string_split(text, chr(10)) AS ls FROM documents),
 l AS (SELECT r, doc_id, text, source, pos - 1 AS pos, ls[pos] AS line
