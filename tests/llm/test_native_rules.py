@@ -9,7 +9,7 @@ from txnguard.llm.components import components
 from txnguard.llm.line_dedup import drop_spread_lines, line_sql
 from txnguard.llm.mixing import mix, mixing_sql, size_documents, source_targets
 from txnguard.llm.quality import Threshold, judge_quality, quality_sql
-from txnguard.llm.url_filters import RULES, Rule, judge_urls, page_links, url_sql
+from txnguard.llm.url_filters import RULES, Rule, address, judge_urls, page_links, url_sql
 
 
 def python_nodes(frame) -> bool:
@@ -218,3 +218,32 @@ def test_url_filters_of_empty_tables_and_no_rules(spark):
     assert {r.verdict for r in judge_urls(frame, (), page_links(frame)).collect()} == {"allow"}
     block_all = (Rule("block", "net", ""),)
     assert {r.page_id for r in judge_urls(frame, block_all, page_links(frame)).collect() if r.verdict == "block"} >= {2, 3, 5, 10, 11}
+
+
+def test_relative_and_encoded_links_carry_blocks(spark):
+    link = '<link rel="canonical" href="{}">'
+    move = '<meta http-equiv="refresh" content="0; url={}">'
+    forms = [
+        ("https://h.net/d/x", link.format("7817"), "h.net/d/7817"),
+        ("https://h.net/d/e/x?q=/z/", link.format("../a"), "h.net/d/a"),
+        ("https://h.net/d/x?old=1", move.format("?page=1"), "h.net/d/x?page=1"),
+        ("https://h.net/x", link.format("http://h.net/p?a=1&amp;b=2&#38;c=3&#x26;d=4"), "h.net/p?a=1&b=2&c=3&d=4"),
+        ("https://H.net", link.format("./a/./b"), "h.net/a/b"),
+        ("https://h.net?q", link.format("?r"), "h.net/?r"),
+        ("https://h.net/d/x", link.format("../../../a?u=../b"), "h.net/a?u=../b"),
+        ("https://h.net/d/e/x", link.format(".."), "h.net/d/"),
+        ("https://h.net/d/x", link.format("mail"), "h.net/d/mail"),
+        ("https://h.net/d/x", link.format("go?to=http://a.b/c"), "h.net/d/go?to=http://a.b/c"),
+        ("https://h.net/d/x", link.format("/r?a&amp;b"), "h.net/r?a&b"),
+        ("https://h.net/d/x", link.format("mailto:a"), None),
+        ("no scheme", link.format("a"), None),
+    ]
+    for url, html, want in forms:
+        links = page_links(spark.createDataFrame([(1, url, html)], PAGES))
+        assert [r[0] for r in links.select(address(F.col("to_url"))).collect()] == ([want] if want else []), html
+    # Pages whose alias is blocked, by each form.
+    rows = [(i, f"https://p{i}.net/d/x", html) for i, (_, html, _) in enumerate(forms[:4])]
+    rules = (Rule("block", "p0.net", "/d/7817"), Rule("block", "p1.net", "/a"), Rule("block", "h.net", "/p"))
+    frame = spark.createDataFrame([*rows, (9, "https://h.net/p?a=1&b=2&c=3&d=4", None)], PAGES)
+    got = {r.page_id: r.verdict for r in judge_urls(frame, rules, page_links(frame)).collect()}
+    assert got == {0: "block", 1: "block", 2: "allow", 3: "block", 9: "block"}

@@ -60,10 +60,46 @@ def address(url: Column) -> Column:
     return F.concat(host_of(url), path_of(url), query)
 
 
+def _decoded(target: Column) -> Column:
+    """``target`` with the HTML spellings of ``&``, named and numeric, as one ``&``; decoded once."""
+    return F.regexp_replace(target, r"(?i)&(?:amp|#0*38|#x0*26);", "&")
+
+
+def _resolved(target: Column, base: Column) -> Column:
+    """The address ``target`` means on the page ``base``: absolute, from its scheme, host, directory or path."""
+    root = F.concat(F.lit("http://"), host_of(base))
+    page = F.when(path_of(base) == "", F.lit("/")).otherwise(path_of(base))
+    # A relative target starts in the page's directory, one with a query only at the page itself.
+    joined = F.when(target.rlike("^[?#]"), F.concat(page, target)).otherwise(
+        F.concat(F.regexp_extract(page, "^(.*/)", 1), target)
+    )
+    path, rest = F.regexp_extract(joined, "^([^?#]*)", 1), F.regexp_extract(joined, "^[^?#]*(.*)$", 1)
+    steps = F.split(path, "/")
+    # "." goes, ".." takes the step before it along; at the root there is none.
+    walked = F.aggregate(
+        F.slice(steps, 2, F.greatest(F.size(steps) - 1, F.lit(0))),
+        F.array().cast("array<string>"),
+        lambda done, step: F.when(step == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+        .when(step == ".", done)
+        .otherwise(F.concat(done, F.array(step))),
+    )
+    # A last step of dots means the directory.
+    folder = F.when(path.rlike(r"/\.{1,2}$") & (F.size(walked) > 0), F.lit("/")).otherwise(F.lit(""))
+    local = F.concat(root, F.lit("/"), F.array_join(walked, "/"), folder, rest)
+    return (
+        F.when(target.rlike("(?i)^[a-z][a-z0-9+.-]*:"), target)
+        .when(target.startswith("//"), F.concat(F.lit("http:"), target))
+        .when(target.startswith("/"), F.concat(root, target))
+        .when((target != "") & (host_of(base) != ""), local)
+    )
+
+
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """``from_url, to_url``: the canonical link and the redirect of each page, absolute or from its host's root.
+    """``from_url, to_url``: the canonical link and the redirect of each page, resolved against the page's url.
 
-    Pages without such an element, and null or empty html or urls, give none.
+    Targets may be absolute or relative to the scheme, the host's root, the
+    page's directory (``7817``, ``../a``) or the page (``?page=1``), with HTML
+    spellings of ``&``. A ``base`` element is not read. Pages without such an element, and null or empty html or urls, give none.
     """
     element = r"(?i)<(?:link|meta)\b[^>]*(?:canonical|refresh)[^>]*>"
     found = pages.filter(F.col(html).rlike(element)).select(
@@ -78,12 +114,7 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
         F.regexp_extract("tag", r"(?i)\bcontent\s*=\s*[\"']?[^\"'>]*?url\s*=\s*'?([^\"'\s>]+)", 1),
     )
     target = found.withColumn("target", F.coalesce(canonical, redirect))
-    rooted = F.concat(F.lit("http://"), host_of(F.col("from_url")), F.col("target"))
-    to_url = (
-        F.when(F.col("target").startswith("//"), F.concat(F.lit("http:"), F.col("target")))
-        .when(F.col("target").startswith("/"), rooted)
-        .otherwise(F.col("target"))
-    )
+    to_url = _resolved(_decoded(F.col("target")), F.col("from_url"))
     return target.select("from_url", to_url.alias("to_url")).filter(F.locate("://", F.col("to_url")) > 0)
 
 
