@@ -13,8 +13,6 @@ sys.path.insert(0, ROOT)
 from txnguard.schema import TRANSACTION_SCHEMA, as_text_schema  # noqa: E402
 from txnguard.session import build_session  # noqa: E402
 
-TABLES = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

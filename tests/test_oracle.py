@@ -5,7 +5,7 @@ import os
 import pytest
 
 from check_oracle import compare, connect
-from conftest import TABLES
+from given import TABLES
 from txnguard.catalog.oracle import ORACLES
 from txnguard.catalog.queries import QUERIES
 

@@ -57,7 +57,7 @@ def test_drain_needs_an_outgoing_type(rows):
 
 
 def test_invariants_over_given_tables(spark):
-    from conftest import TABLES
+    from given import TABLES
     from txnguard.catalog.queries import QUERIES
 
     gold = QUERIES["gold_table"](spark, TABLES)

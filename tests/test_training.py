@@ -5,7 +5,7 @@ from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from conftest import TABLES
+from given import TABLES
 from txnguard.catalog.adapter import key_scorer, raw_transactions
 from txnguard.operators.features import prepare_features
 from txnguard.plans import registry, serving, training
