@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from txnguard.llm.bpe_codec import round_trip
 from txnguard.llm.common import table
+from txnguard.llm.fill_in_middle import middle_digests, middle_sql
 from txnguard.llm.fingerprints import fingerprint_documents
+from txnguard.llm.hard_negatives import mine_negatives, negatives_sql, relabelled
 from txnguard.llm.language_id import identify_languages
 from txnguard.llm.line_dedup import drop_spread_lines, line_sql
 from txnguard.llm.mixing import mix, mixing_sql, size_documents
@@ -20,6 +24,7 @@ from txnguard.llm.url_filters import RULES, judge_urls, page_links, url_sql
 from txnguard.llm.warc import archive_round_trip, warc_sql
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -94,3 +99,22 @@ ORACLES["op2_warc_archives"] = warc_sql()
 @_query
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify_languages(table(spark, folder, "documents"))
+
+
+@_query
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = relabelled(table(spark, folder, "embeddings"))
+    return mine_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
+@_query
+def op12_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    return round_trip(table(spark, folder, "documents"), public_tokenizers.path(BYTE_TOKENIZER))
+
+
+@_query
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return middle_digests(table(spark, folder, "documents"))
+
+
+ORACLES |= {"op11_hard_negatives": negatives_sql(), "op13_fill_in_middle": middle_sql()}
