@@ -69,7 +69,7 @@ def test_pipeline_is_registered_and_runs(spark):
     import __spark_entry__ as entry
 
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES} == set(range(1, 14))
     got = entry.queries()["pipeline"](spark, SMALL)
     assert got.columns[:5] == ["doc_id", "piece", "start", "length", "ids_crc32"] and got.count() > 0
 
@@ -77,7 +77,7 @@ def test_pipeline_is_registered_and_runs(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "labels"):
+    for table in ("documents", "pages", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     want = con.execute(queries.ORACLES[name]).df()
     got = queries.QUERIES[name](spark, SMALL).toPandas()

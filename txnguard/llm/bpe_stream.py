@@ -22,6 +22,7 @@ bytes of state are kept.
 from __future__ import annotations
 
 import codecs
+import gc
 import json
 import re
 from array import array
@@ -30,11 +31,12 @@ from collections.abc import Iterator
 import ahocorasick
 
 #: Characters of a text that are cut off and encoded at once, bytes that a long pre-token is fed by,
-#: the longest piece and the number of pieces in the memo, and the neighbours whose meeting is remembered.
+#: the longest entry of a memo, the pieces and pre-tokens in their memos, and the neighbours whose meeting is known.
 WINDOW = 1 << 20
 FEED = 1 << 16
 MEMO_CHARS = 64
-MEMO_PIECES = 250_000
+MEMO_PIECES = 100_000
+MEMO_WORDS = 250_000
 MEMO_PAIRS = 200_000
 
 #: The Unicode property White_Space, and the pre-token pattern of the byte-level format,
@@ -85,9 +87,7 @@ class MergeTable:
             self.parts[whole] = pair
         self.size = {t: len(data) for t, data in self.data.items()}
         self.longest = max(self.size[t] for t in self.formed)
-        self._met: dict[tuple[int, int], bool] = {}
-        self._lefts = {t: self._spine(t, 0) for t in self.formed}
-        self._rights = {t: self._spine(t, 1) for t in self.formed}
+        self._met: dict[int, bool] = {}
         self.automaton = ahocorasick.Automaton()
         sound = {t for t, rank in self.formed.items() if rank < 0}
         for token, (left, right) in self.parts.items():  # in order of rank, so parts come first
@@ -128,9 +128,9 @@ class MergeTable:
         Of two equal rules the one further left goes first, so the left token
         must last beyond the rule, the right one only until it.
         """
-        first, rank = _NEVER, self.rank
-        for a, a_until in self._rights[left]:
-            for b, b_until in self._lefts[right]:
+        first, rank, lefts = _NEVER, self.rank, self._spine(right, 0)
+        for a, a_until in self._spine(left, 1):
+            for b, b_until in lefts:
                 at = rank.get((a, b))
                 if at is not None and at < first and at < a_until and at <= b_until:
                     first = at
@@ -138,11 +138,12 @@ class MergeTable:
 
     def apart(self, left: int, right: int) -> bool:
         """Whether the two tokens stay two tokens as neighbours."""
-        known = self._met.get((left, right))
+        pair = left << 32 | right
+        known = self._met.get(pair)
         if known is None:
             if len(self._met) >= MEMO_PAIRS:
                 self._met.clear()
-            known = self._met[left, right] = self.first_join(left, right) == _NEVER
+            known = self._met[pair] = self.first_join(left, right) == _NEVER
         return known
 
     def extend(self, last: list[int], base: int, matches) -> None:
@@ -150,17 +151,18 @@ class MergeTable:
 
         ``matches`` yields the vocabulary words by their end; exactly one at each end fits.
         """
-        known = self._met
+        known, append = self._met.get, last.append
+        wanted, base = len(last) + base - 1, base - 1  # the end of the next prefix
         for end, (size, token) in matches:
-            at = end + 1 - base
-            if len(last) > at:
+            if end < wanted:
                 continue  # the last token of this prefix is known
-            before = last[at - size]
-            fits = before < 0 or known.get((before, token))
+            before = last[end - base - size]
+            fits = before < 0 or known(before << 32 | token)
             if fits is None:
                 fits = self.apart(before, token)
             if fits:
-                last.append(token)
+                append(token)
+                wanted += 1
 
     def whole(self, letters: str) -> list[int]:
         """The tokens of a whole pre-token no longer than the lookahead, of which none is stable before its end.
@@ -179,7 +181,7 @@ class MergeTable:
         """Bytes behind the end of the known text beyond which no boundary can change any more."""
         reach: dict[int, int] = {}
         for whole, (left, right) in self.parts.items():  # in order of rank
-            moved = max([self.size[right], *(reach.get(t, 0) for t, _ in self._lefts[right])])
+            moved = max([self.size[right], *(reach.get(t, 0) for t, _ in self._spine(right, 0))])
             reach[left] = max(reach.get(left, 0), self.size[left] + moved)
         return max(reach.values(), default=1)
 
@@ -248,17 +250,17 @@ class _Shadow(dict):
 
 
 class _Memo(dict):
-    """Token ids of a piece between white space, filled on demand and bounded."""
+    """Token ids of short pieces or pre-tokens, filled on demand and bounded."""
 
-    def __init__(self, encode):
-        self._encode = encode
+    def __init__(self, encode, most: int):
+        self._encode, self._most = encode, most
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = b"".join(self._encode(piece))
-        if len(piece) <= MEMO_CHARS:
-            if len(self) >= MEMO_PIECES:
+    def __missing__(self, letters: str) -> bytes:
+        ids = self._encode(letters)
+        if len(letters) <= MEMO_CHARS:
+            if len(self) >= self._most:
                 self.clear()
-            self[piece] = ids
+            self[letters] = ids
         return ids
 
 
@@ -270,27 +272,23 @@ class StreamEncoder:
 
         self.table = MergeTable(path)
         self._shadow = _Shadow(pre_tokenizers.ByteLevel(add_prefix_space=False).pre_tokenize_str)
-        self._memo = _Memo(self._piece)
+        self._words = _Memo(lambda word: array("I", self.table.whole(word)).tobytes(), MEMO_WORDS)
+        self._memo = _Memo(lambda piece: b"".join(self._piece(piece)), MEMO_PIECES)
         words = sorted(self.table.special, key=len, reverse=True)
         self._special = re.compile("(" + "|".join(map(re.escape, words)) + ")") if words else None
 
     def _piece(self, piece: str) -> Iterator[bytes]:
         """Each pre-token of a piece through the transducer."""
-        plain = piece.isascii()
-        shadow = piece if plain else piece.translate(self._shadow)
-        ids = array("I")
-        for match in _PRE_TOKEN.finditer(shadow):
+        plain, limit = piece.isascii(), self.table.lookahead
+        for match in _PRE_TOKEN.finditer(piece if plain else piece.translate(self._shadow)):
             word = match[0] if plain else piece[match.start() : match.end()].encode().decode("latin-1")
-            if len(word) <= self.table.lookahead:
-                ids.extend(self.table.whole(word))
+            if len(word) <= limit:
+                yield self._words[word]
                 continue
-            yield ids.tobytes()
-            del ids[:]
             run = Transducer(self.table)
             for at in range(0, len(word), FEED):
                 yield array("I", run.feed(word[at : at + FEED])).tobytes()
             yield array("I", run.finish()).tobytes()
-        yield ids.tobytes()
 
     def _windows(self, text: str) -> Iterator[str]:
         """Windows that end before white space; a longer run without any is a window of its own."""
@@ -358,4 +356,5 @@ def stream_encoder(path: str) -> StreamEncoder:
     """The worker's encoder of a tokenizer file."""
     if path not in _ENCODERS:
         _ENCODERS[path] = StreamEncoder(path)
+        gc.freeze()  # the tables live as long as the worker: spare every collection a walk over them
     return _ENCODERS[path]
