@@ -1,5 +1,7 @@
 """Token counts and packing against the tokenizer library itself."""
 
+import json
+import os
 import random
 import zlib
 
@@ -10,7 +12,7 @@ import pytest
 from frames import awkward, documents, sentence
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
-from txnguard.llm import packing, wordbpe
+from txnguard.llm import packing, token_counts, tokenizer_files, wordbpe
 from txnguard.llm.packing import best_fit, cut_pieces, pack
 from txnguard.llm.token_counts import count_tokens
 
@@ -24,22 +26,57 @@ ODD = [
     "日本語テキスト 한국어 العربية हिन्दी 😀😀 \x00 \ufffd",
     "a\r\nb\tc\x0bd\x0ce   f  ",
 ]
+BITS = ["a", "Bc", "it", "'s", "'", "re", "1", "22", ".", ",", "!?", "é", "e\u0301", "ß", "日本", "😀", " ", "  ", "\n", "\t", "\x0b", "\x1c", "\x85"]
+BITS += ["\xa0", "\u2003", "\u3000", "<|endoftext|>", "<|start", "²", "İ", "\x00", "word", " word", " the"]
 
 
 def encoded(text):
     return LIBRARY.encode(text or "", add_special_tokens=False).ids
 
 
-def test_encoder_equals_library_and_cuts_long_texts(monkeypatch):
+FILES = sorted(f for f in os.listdir(os.path.dirname(PATH)) if f.endswith(".json"))
+
+
+@pytest.mark.parametrize("file", FILES)
+def test_encoder_equals_library_and_cuts_long_texts(monkeypatch, file):
     monkeypatch.setattr(wordbpe, "GROUP_BYTES", 200)
     monkeypatch.setattr(wordbpe, "_MEMO_WORDS", 20)
+    path = public_tokenizers.path(file)
+    library = Tokenizer.from_file(path)
     rng = random.Random(3)
     texts = [None, "", *ODD, sentence(300, rng), "x" * 900, *(sentence(rng.randint(1, 40), rng) for _ in range(60)), " ".join(ODD * 6)]
-    words = wordbpe.Encoder(PATH)
+    texts += ["".join(rng.choices(BITS, k=rng.randint(0, 90))) for _ in range(1500)]
+    words = wordbpe.Encoder(path)
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
     column = pa.array(texts, pa.string())
-    assert words.lengths(column).tolist() == [len(encoded(t)) for t in texts]
-    assert [ids.tolist() for ids in words.ids(column)] == [encoded(t) for t in texts]
-    assert words.lengths(column.slice(3, 5)).tolist() == [len(encoded(t)) for t in texts[3:8]]
+    assert [ids.tolist() for ids in words.ids(column)] == want
+    assert [ids.tolist() for ids in words.ids(column.slice(3, 5))] == want[3:8]
+
+
+@pytest.mark.parametrize("file", FILES)
+def test_counts_of_random_texts_in_small_batches(spark, monkeypatch, file):
+    path = public_tokenizers.path(file)
+    library = Tokenizer.from_file(path)
+    rng = random.Random(4)
+    texts = [None, "", *ODD, " ".join(ODD * 6), "x" * 900] + ["".join(rng.choices(BITS, k=rng.randint(0, 200))) for _ in range(800)]
+    for size in (60, 1 << 20):
+        counts = [0] * len(texts)
+        monkeypatch.setattr(token_counts, "BATCH_BYTES", size)
+        for rows, batch in token_counts._batches(pa.array(texts, pa.string()), tokenizer_files.cuts_at_space(path)):
+            for row, part in zip(rows, batch):
+                counts[row] += len(library.encode(part, add_special_tokens=False).ids)
+        assert counts == [len(library.encode(t or "", add_special_tokens=False).ids) for t in texts]
+    frame = documents(spark, [(i, t, None, None) for i, t in enumerate(texts)])
+    assert {r.doc_id: r.n_tokens for r in count_tokens(frame, path).collect()} == dict(enumerate(counts))
+
+
+def test_unknown_files_are_neither_cut_nor_taken_for_words(tmp_path):
+    for file in FILES:
+        spec = json.loads(json.dumps(tokenizer_files.spec(public_tokenizers.path(file))))
+        spec["added_tokens"][0]["lstrip"] = True
+        (tmp_path / file).write_text(json.dumps(spec))
+        assert tokenizer_files.cuts_at_space(public_tokenizers.path(file))
+        assert not tokenizer_files.cuts_at_space(str(tmp_path / file)) and not tokenizer_files.is_word_kind(str(tmp_path / file))
 
 
 def test_count_tokens_of_awkward_rows(spark):

@@ -2,14 +2,41 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnguard.llm.wordbpe import encoder
+from txnguard.llm import tokenizer_files
 
 TOKEN_LIMIT = 2048
+#: Texts are encoded in batches of about so many bytes; longer ones are split into windows of so many characters.
+BATCH_BYTES = 1 << 20
+
+
+def _batches(texts: pa.Array, splits: bool) -> Iterator[tuple[list[int], list[str]]]:
+    """Batches of about equal bytes: the row of each text or window, and the texts."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    rows: list[int] = []
+    batch: list[str] = []
+    held = 0
+    for row, size in enumerate(sizes):
+        if not size:
+            continue
+        text = texts[row].as_py()
+        parts = tokenizer_files.windows(text, BATCH_BYTES) if splits and size > BATCH_BYTES else [text]
+        for part in parts:
+            share = size * len(part) // len(text)
+            if batch and held + share > BATCH_BYTES:
+                yield rows, batch
+                rows, batch, held = [], [], 0
+            rows.append(row)
+            batch.append(part)
+            held += share
+    if batch:
+        yield rows, batch
 
 
 def count_tokens(
@@ -17,11 +44,12 @@ def count_tokens(
 ) -> DataFrame:
     """``doc_id``, ``n_bytes`` (UTF-8), ``n_tokens`` and ``over_limit`` of every row.
 
-    One narrow step without a shuffle: an Arrow function takes the batches
-    apart into groups of about equal bytes, splits texts longer than a group at
-    white space, encodes each group at once and returns lengths, never ids.
-    ``tokenizer`` is a file every worker can open, such as one of an installed
-    package.
+    One narrow step without a shuffle: an Arrow function deals the texts of a
+    batch into groups of about equal bytes, encodes each group in one call and
+    returns lengths, never ids. Texts longer than a group are split before white
+    space where the file's pre-tokeniser never crosses it; with files of other
+    kinds they stay whole. ``tokenizer`` is a ``tokenizers`` file every worker
+    can open, such as one of an installed package.
 
     Null or empty text: 0 bytes, 0 tokens, not over the limit. Repeated rows
     and null ids are counted row by row. No other column is read, so extra
@@ -30,12 +58,16 @@ def count_tokens(
     identifier = docs.schema[doc_id].dataType
 
     def lengths(batches):
-        words = encoder(tokenizer)
+        library, splits = tokenizer_files.load(tokenizer), tokenizer_files.cuts_at_space(tokenizer)
         for batch in batches:
-            tokens = words.lengths(batch.column(1))
+            tokens = [0] * batch.num_rows
+            for rows, texts in _batches(batch.column(1), splits):
+                for row, encoding in zip(rows, library.encode_batch_fast(texts, add_special_tokens=False)):
+                    tokens[row] += len(encoding)
             size = pc.fill_null(pc.binary_length(batch.column(1)), 0)
+            counted = pa.array(tokens, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), size.cast(pa.int64()), pa.array(tokens, pa.int64()), pa.array(tokens > limit)],
+                [batch.column(0), size.cast(pa.int64()), counted, pc.greater(counted, limit)],
                 ["doc_id", "n_bytes", "n_tokens", "over_limit"],
             )
 

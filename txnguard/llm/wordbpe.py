@@ -1,15 +1,16 @@
 """Token ids of many texts at once, as the ``tokenizers`` library gives them.
 
-Used inside Arrow functions. A text is cut at ASCII white space, which no token
-of a word-end vocabulary crosses; each different chunk of a batch is encoded
-once. Plain chunks, letters with at most one full stop or comma behind, take
-their lower-case core from a bounded memo and otherwise from the library's BPE
-model; every other chunk goes through the whole library pipeline.
+Used inside Arrow functions. Files of the word kind, which the file's own parts
+are checked for, have tokens that never cross ASCII white space: a text is cut
+there and each different chunk of a batch is encoded once. Plain chunks, letters
+with at most one full stop or comma behind, take their lower-case core from a
+bounded memo and otherwise from the library's BPE model; all other chunks go
+through the whole library in one batch call. With a file of any other kind the
+texts themselves do.
 """
 
 from __future__ import annotations
 
-import os
 import re
 from array import array
 
@@ -17,37 +18,37 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from txnguard.llm import tokenizer_files
+
 #: Texts are handled in groups of about so many bytes, longer ones in several windows.
 GROUP_BYTES = 4 << 20
 _MEMO_WORDS = 250_000
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
-_BREAK = re.compile(r"[ \t\n\r\x0b\x0c]")
 
 
 class Encoder:
     """One tokenizer file with its memo; made once per Python worker."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
-        self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.no_truncation()
-        self._tokenizer.no_padding()
+        self._tokenizer = tokenizer_files.load(path)
+        self._by_word = tokenizer_files.is_word_kind(path)
+        self._splits = tokenizer_files.cuts_at_space(path)
         self._model = self._tokenizer.model
         self._memo: dict[str, bytes] = {}
-        self._marks = {mark: self._library(mark) for mark in (".", ",")} | {"": b""}
+        self._marks = dict(zip(("", ".", ","), self._library(["", ".", ","])))
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         self._letters = {ord(c): level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100))}
 
-    def _library(self, chunk: str) -> bytes:
-        return array("I", self._tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _chunk(self, chunk: str) -> bytes:
+    def _plain(self, chunk: str) -> bytes | None:
+        """The ids of a plain chunk, None for any other."""
         plain = _PLAIN.fullmatch(chunk)
         if plain is None:
-            return self._library(chunk) if chunk else b""
+            return None
         core = plain[1].lower()
         ids = self._memo.get(core)
         if ids is None:
@@ -57,12 +58,22 @@ class Encoder:
             ids = self._memo[core] = array("I", [t.id for t in self._model.tokenize(word)]).tobytes()
         return ids + self._marks[plain[2]] if plain[2] else ids
 
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        entries = [self._plain(c) for c in chunks] if self._by_word else [None] * len(chunks)
+        others = [k for k, ids in enumerate(entries) if ids is None]
+        for k, ids in zip(others, self._library([chunks[k] for k in others])):
+            entries[k] = ids
+        return entries
+
     def _group(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
         """Per text the end in the chunk list; per chunk its entry; per entry its ids' length; the ids."""
-        chunks = pc.ascii_split_whitespace(texts)
-        ends = chunks.offsets.to_numpy()[1:].astype(np.int64) - chunks.offsets[0].as_py()
-        coded = chunks.flatten().dictionary_encode()
-        entries = [self._chunk(c) for c in coded.dictionary.to_pylist()]
+        if self._by_word:
+            chunks = pc.ascii_split_whitespace(texts)
+            ends = chunks.offsets.to_numpy()[1:].astype(np.int64) - chunks.offsets[0].as_py()
+            coded = chunks.flatten().dictionary_encode()
+        else:
+            ends, coded = np.arange(1, len(texts) + 1), texts.dictionary_encode()
+        entries = self._chunks(coded.dictionary.to_pylist())
         lengths = np.fromiter(map(len, entries), np.int64, len(entries)) // 4
         return ends, coded.indices.to_numpy(), lengths, b"".join(entries)
 
@@ -76,7 +87,8 @@ class Encoder:
                 yield first, texts.slice(first, i - first)
                 first, total = i, 0
             if size > GROUP_BYTES:
-                for window in _cut(texts[i].as_py()):
+                text = texts[i].as_py()
+                for window in tokenizer_files.windows(text, GROUP_BYTES // 4) if self._splits else [text]:
                     yield i, pa.array([window], pa.large_string())
                 first, total = i + 1, 0
             else:
@@ -84,16 +96,6 @@ class Encoder:
         if first < len(texts):
             yield first, texts.slice(first)
 
-    def lengths(self, texts: pa.Array) -> np.ndarray:
-        """The number of tokens of each text; 0 for null."""
-        out = np.zeros(len(texts), np.int64)
-        for first, group in self._windows(texts):
-            ends, entry, lengths, _ = self._group(group)
-            total = np.concatenate(([0], np.cumsum(lengths[entry]) if len(entry) else []))
-            sums = np.diff(total[np.concatenate(([0], ends))])
-            out[first : first + len(group)] += sums.astype(np.int64)
-        return out
-
     def ids(self, texts: pa.Array):
         """Yields the token ids of each text in turn, little-endian unsigned 32-bit; none for null."""
         waiting: tuple[int, list[np.ndarray]] | None = None
@@ -117,16 +119,6 @@ class Encoder:
             yield np.concatenate(waiting[1])
 
 
-def _cut(text: str):
-    """Pieces of a long text that end before white space, of about GROUP_BYTES / 4 characters or one chunk more."""
-    at, step = 0, GROUP_BYTES // 4
-    while at < len(text):
-        end = _BREAK.search(text, at + step)
-        stop = end.start() if end else len(text)
-        yield text[at:stop]
-        at = stop
-
-
 _ENCODERS: dict[str, Encoder] = {}
 
 
