@@ -1,6 +1,7 @@
 """Quality rules, mixing, line spread and URL filters against SQL and plain Python on awkward rows."""
 
 import random
+import time
 from collections import Counter, defaultdict
 
 from frames import awkward, documents, duck, sentence, spark_rows
@@ -149,9 +150,39 @@ def test_passages_go_at_a_hot_site_and_at_few_sites(spark):
     rows = [(i, t, g, "hot" if i % 7 == 0 else s) for i, t, g, s in rows]
     sites = {x: len({s for _, t, _, s in rows if x in t.split("\n")}) for x in (hot, few, rare, short)}
     assert sites == {hot: 6, few: 5, rare: 4, short: 6}
-    texts = [r.text.split("\n") for r in drop_spread_lines(documents(spark, rows)).orderBy("doc_id").collect()]
+    frame = documents(spark, rows)
+    cleaned = drop_spread_lines(frame)
+    texts = [r.text.split("\n") for r in cleaned.orderBy("doc_id").collect()]
     left = {x: sum(x in t for t in texts) for x in sites}
     assert left == {hot: 1, few: 1, rare: 12, short: 21}
+    assert spark_rows(cleaned.select("doc_id", "text", "n_lines", "n_removed")) == duck(line_sql(), documents=frame)
+
+
+def test_columns_of_any_name_pass(spark):
+    names = "row id gone gone_id gone_hash text_hash lines hash site at spread_hash first _gone _id _hash _text_hash n_removed".split()
+    frame = documents(spark, spread_rows())
+    clash = frame.select("*", *[F.concat(F.lit(f"{n} "), F.col("doc_id")).alias(n) for n in names])
+    cleaned = drop_spread_lines(clash)
+    assert set(cleaned.columns) == {*clash.columns, "n_lines"}
+    for row in cleaned.collect():
+        assert all(row[n] == f"{n} {row.doc_id}" for n in names[:-1])
+
+
+def test_removal_is_linear_in_the_lines_of_a_text(spark):
+    """Twice the lines take about twice as long, where every second line goes."""
+
+    def seconds(count):
+        body = "\n".join(f"spread {i}" if i % 2 else f"own {i}" for i in range(count))
+        rows = [(i, body, None, f"s{i}") for i in range(10)]
+        frame = documents(spark, rows).repartition(10)
+        started = time.monotonic()
+        got = drop_spread_lines(frame).select("doc_id", "n_lines", "n_removed", F.length("text")).collect()
+        assert {(r.doc_id, r.n_lines, r.n_removed) for r in got} == {(i, count, count if i else 0) for i in range(10)}
+        return time.monotonic() - started
+
+    seconds(1000)
+    small, large = seconds(8_000), seconds(32_000)
+    assert large < 8 * small + 5
 
 
 PAGES = "page_id long, url string, html string"

@@ -142,7 +142,7 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     """Fingerprints of every text, of its edited text, and their likeness to the edited and the next text.
 
     The next document is the one with the next id; the last is followed by the
-    first. Ids are cut into ranges at quantiles, so every range is a stream in
+    first. Ids are cut into ranges of about equal rows, so every range is a stream in
     id order inside one task that holds two texts at a time; the first row of a
     range also goes to the end of the range before it. Texts are shuffled once.
 
@@ -154,9 +154,12 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     kind = docs.schema[doc_id].dataType.simpleString()
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     ranges = max(1, min(MAX_RANGES, shuffle_width(docs)))
-    shares = [(i + 1) / ranges for i in range(ranges - 1)]
-    cuts = slim.select(F.percentile_approx("doc_id", shares, 100 * ranges).alias("c")).first()["c"] if shares else []
-    cuts = sorted(set(cuts or []))
+    # Spark's range exchange, over ids alone, cuts at bounds of a bounded sample; one row per range comes back.
+    bounds = slim.select("doc_id").repartitionByRange(ranges, "doc_id").groupBy(F.spark_partition_id().alias("range"))
+    bounds = bounds.agg(F.min("doc_id").alias("first"), F.bool_or(F.col("doc_id").isNull()).alias("unknown")).collect()
+    starts = sorted(b["first"] for b in bounds if b["first"] is not None)
+    # Range 0 takes null ids too; every other range is opened by its least id.
+    cuts, unknown = starts[1:], any(b["unknown"] for b in bounds)
     edges = np.array(cuts)
 
     @F.pandas_udf("int")
@@ -166,9 +169,8 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     known = F.coalesce(F.col("doc_id"), F.lit(cuts[0])) if cuts else None
     bucket = F.when(F.col("doc_id").isNull(), 0).otherwise(position(known)) if cuts else F.lit(0)
     placed = slim.withColumn("bucket", bucket)
-    # One row per range: what opens it, and the range before it.
-    opening = placed.groupBy("bucket").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("set"), "doc_id")).alias("first"))
-    firsts = sorted((r["bucket"], r["first"]["doc_id"]) for r in opening.collect())
+    # One row per range: what opens it, and the range before it; the last range goes on with the first.
+    firsts = list(enumerate([None if unknown else starts[0], *cuts] if starts else [None] * bool(bounds)))
     before = [(firsts[i - 1][0], b, i) for i, (b, _) in enumerate(firsts)]
     spark = docs.sparkSession
     opens = spark.createDataFrame(

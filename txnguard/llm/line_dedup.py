@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txnguard.functions.columns import evaluate_once
 from txnguard.llm.common import WORD
 from txnguard.session import materialize
 
@@ -68,8 +69,9 @@ def drop_spread_lines(
     Line rows hold hashes only. Texts are shuffled once, to meet the list of
     their removed positions. Null text stays null with 0 lines; null sites
     count as one site; documents with equal id and text are the same place.
-    Columns named ``n_lines`` or ``n_removed`` are replaced, others pass
-    through. An empty table gives no rows.
+    Columns named ``n_lines`` or ``n_removed`` are replaced, others of any name
+    pass through. An empty table gives no rows. On a table of fewer than
+    ``long_sites`` sites no line spreads, so nothing is removed.
     """
     body = F.col(text)
     lined = docs.select(
@@ -92,34 +94,43 @@ def drop_spread_lines(
     spread = materialize(_site_spread(lines, lg_k, band).select(F.col("hash").alias("spread_hash"), "first"), "spread")
     place = F.struct("doc_id", "text_hash", "at")
     gone = lines.join(spread, lines.hash == spread.spread_hash).filter(~place.eqNullSafe(F.col("first")))
-    removed = gone.groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
-        F.collect_set("at").alias("_gone")
+    removed = gone.groupBy(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).agg(
+        F.sort_array(F.collect_set("at")).alias("gone")
     )
     removed = materialize(removed, "removed")
-    keyed = docs.withColumn("_text_hash", F.xxhash64(body))
-    joined = keyed.join(
-        removed, keyed[doc_id].eqNullSafe(removed._id) & (keyed._text_hash == removed._hash), "left"
+    # The columns of the input travel in one struct, so that no name of theirs can clash.
+    keyed = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("id"), F.xxhash64(body).alias("text_hash"))
+    joined = keyed.join(removed, F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("text_hash") == F.col("gone_hash")), "left")
+    body = F.col("row").getField(text)
+    cut = evaluate_once(joined.select("row", "gone"), {"lines": F.split(body, "\n")})
+    # What lies between two removed positions is one slice, so the work grows with the lines, not with lines x positions.
+    edge = F.array(F.lit(-1)), F.array(F.size("lines"))
+    between = F.zip_with(
+        F.concat(edge[0], F.col("gone")),
+        F.concat(F.col("gone"), edge[1]),
+        lambda left, right: F.slice(F.col("lines"), left + 2, right - left - 1),
     )
-    kept = F.array_join(F.filter(F.split(body, "\n"), lambda _, i: ~F.array_contains("_gone", i)), "\n")
-    n_lines = F.coalesce(F.size(F.filter(F.split(body, "\n"), lambda line: line.rlike(WORD))), F.lit(0))
-    passed = [F.col(c) for c in docs.columns if c not in (text, "n_lines", "n_removed")]
-    return joined.select(
-        *passed,
-        F.when(F.col("_gone").isNull(), body).otherwise(kept).alias(text),
+    kept = F.array_join(F.flatten(between), "\n")
+    n_lines = F.coalesce(F.size(F.filter("lines", lambda line: line.rlike(WORD))), F.lit(0))
+    made = F.struct(
+        F.when(F.col("gone").isNull(), body).otherwise(kept).alias(text),
         F.when(body.isNull(), 0).otherwise(n_lines).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
     )
+    passed = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in (text, "n_lines", "n_removed")]
+    return cut.select("row", made.alias("made")).select(*passed, "made.*")
 
 
-def line_sql(min_sites: int = MIN_SITES) -> str:
-    """DuckDB SQL of the result where no line of ``LONG_WORDS`` is on ``LONG_SITES`` to ``min_sites`` - 1 sites; exact counts."""
+def line_sql(min_sites: int = MIN_SITES, long_words: int = LONG_WORDS, long_sites: int = LONG_SITES) -> str:
+    """DuckDB SQL of the result, with exact counts."""
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, source, string_split(text, chr(10)) AS ls FROM documents),
 l AS (SELECT r, doc_id, text, source, pos - 1 AS pos, ls[pos] AS line
       FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS pos FROM d WHERE text IS NOT NULL)),
 w AS (SELECT * FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 s AS (SELECT line, min((doc_id, pos)) AS first FROM w GROUP BY line
-      HAVING count(DISTINCT coalesce(source, '')) >= {min_sites}),
+      HAVING count(DISTINCT coalesce(source, '')) >= {min_sites} OR (count(DISTINCT coalesce(source, '')) >= {long_sites}
+             AND len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= {long_words})),
 g AS (SELECT r, pos FROM w JOIN s USING (line) WHERE (doc_id, pos) <> first),
 n AS (SELECT r, count(*) AS n_lines FROM w GROUP BY r),
 k AS (SELECT l.r, string_agg(line, chr(10) ORDER BY l.pos) AS text FROM l LEFT JOIN g ON l.r = g.r AND l.pos = g.pos
