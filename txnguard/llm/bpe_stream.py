@@ -31,12 +31,11 @@ from collections.abc import Iterator
 import ahocorasick
 
 #: Characters of a text that are cut off and encoded at once, bytes that a long pre-token is fed by,
-#: the longest entry of a memo, the pieces and pre-tokens in their memos, and the neighbours whose meeting is known.
+#: the longest entry and the number of entries of the memo, and the neighbours whose meeting is remembered.
 WINDOW = 1 << 20
 FEED = 1 << 16
 MEMO_CHARS = 64
-MEMO_PIECES = 100_000
-MEMO_WORDS = 250_000
+MEMO_PIECES = 600_000
 MEMO_PAIRS = 200_000
 
 #: The Unicode property White_Space, and the pre-token pattern of the byte-level format,
@@ -74,6 +73,11 @@ class MergeTable:
         for word, token in model["vocab"].items():
             self.data[token] = bytes(self.byte_of[letter] for letter in word)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        # The bytes of every id; an added token's letters are bytes too if all of them stand for one.
+        self.letters = dict(self.data)
+        for content, token in self.special.items():
+            letters = [self.byte_of.get(c) for c in content]
+            self.letters[token] = content.encode() if None in letters else bytes(letters)
         self.rank: dict[tuple[int, int], int] = {}
         self.parts: dict[int, tuple[int, int]] = {}
         self.formed: dict[int, int] = {t: -1 for t, data in self.data.items() if len(data) == 1}
@@ -165,10 +169,7 @@ class MergeTable:
                 wanted += 1
 
     def whole(self, letters: str) -> list[int]:
-        """The tokens of a whole pre-token no longer than the lookahead, of which none is stable before its end.
-
-        ``letters`` are its bytes as Latin-1.
-        """
+        """The tokens of a short pre-token, of which none is stable before its end; its bytes as Latin-1."""
         last, tokens, at = [-1], [], len(letters)
         self.extend(last, 0, self.automaton.iter(letters))
         while at:
@@ -250,17 +251,23 @@ class _Shadow(dict):
 
 
 class _Memo(dict):
-    """Token ids of short pieces or pre-tokens, filled on demand and bounded."""
+    """Token ids of short pieces and of pre-tokens in them, filled on demand and bounded."""
 
-    def __init__(self, encode, most: int):
-        self._encode, self._most = encode, most
+    def __init__(self, table: MergeTable, shadow: _Shadow):
+        self._whole, self._shadow = table.whole, shadow
 
-    def __missing__(self, letters: str) -> bytes:
-        ids = self._encode(letters)
-        if len(letters) <= MEMO_CHARS:
-            if len(self) >= self._most:
-                self.clear()
-            self[letters] = ids
+    def __missing__(self, piece: str) -> bytes:
+        if piece.isascii():
+            words = _PRE_TOKEN.findall(piece)
+        else:
+            words = [piece[m.start() : m.end()] for m in _PRE_TOKEN.finditer(piece.translate(self._shadow))]
+        if len(words) == 1:
+            ids = array("I", self._whole(piece.encode().decode("latin-1"))).tobytes()
+        else:
+            ids = b"".join([self[word] for word in words])
+        if len(self) >= MEMO_PIECES:
+            self.clear()
+        self[piece] = ids
         return ids
 
 
@@ -272,22 +279,22 @@ class StreamEncoder:
 
         self.table = MergeTable(path)
         self._shadow = _Shadow(pre_tokenizers.ByteLevel(add_prefix_space=False).pre_tokenize_str)
-        self._words = _Memo(lambda word: array("I", self.table.whole(word)).tobytes(), MEMO_WORDS)
-        self._memo = _Memo(lambda piece: b"".join(self._piece(piece)), MEMO_PIECES)
+        self._memo = _Memo(self.table, self._shadow)
         words = sorted(self.table.special, key=len, reverse=True)
         self._special = re.compile("(" + "|".join(map(re.escape, words)) + ")") if words else None
 
-    def _piece(self, piece: str) -> Iterator[bytes]:
-        """Each pre-token of a piece through the transducer."""
-        plain, limit = piece.isascii(), self.table.lookahead
-        for match in _PRE_TOKEN.finditer(piece if plain else piece.translate(self._shadow)):
-            word = match[0] if plain else piece[match.start() : match.end()].encode().decode("latin-1")
-            if len(word) <= limit:
-                yield self._words[word]
+    def _long_piece(self, piece: str) -> Iterator[bytes]:
+        """Each pre-token of a piece by itself: short ones by the memo, others in parts through the transducer."""
+        shadow = piece if piece.isascii() else piece.translate(self._shadow)
+        for match in _PRE_TOKEN.finditer(shadow):
+            start, stop = match.span()
+            if stop - start <= MEMO_CHARS:
+                yield self._memo[piece[start:stop]]
                 continue
             run = Transducer(self.table)
-            for at in range(0, len(word), FEED):
-                yield array("I", run.feed(word[at : at + FEED])).tobytes()
+            for at in range(start, stop, FEED):
+                letters = piece[at : min(at + FEED, stop)].encode().decode("latin-1")
+                yield array("I", run.feed(letters)).tobytes()
             yield array("I", run.finish()).tobytes()
 
     def _windows(self, text: str) -> Iterator[str]:
@@ -298,7 +305,8 @@ class StreamEncoder:
             stop = cut.start() if cut else len(text)
             yield text[at:stop]
             at = stop
-        yield text[at:] if at else text
+        if at < len(text):
+            yield text[at:] if at else text
 
     def encode(self, text: str | None) -> Iterator[bytes]:
         """The ids of a text in order, as little-endian unsigned 32-bit integers, part by part."""
@@ -310,11 +318,12 @@ class StreamEncoder:
                 yield array("I", [self.table.special[part]]).tobytes()
                 continue
             for window in self._windows(part):
-                if len(window) <= 2 * WINDOW:
-                    yield b"".join(map(self._memo.__getitem__, _PIECE.findall(window)))
+                pieces = _PIECE.findall(window)
+                if max(map(len, pieces)) <= MEMO_CHARS:
+                    yield b"".join(map(self._memo.__getitem__, pieces))
                     continue
-                for match in _PIECE.finditer(window):
-                    yield from self._piece(match[0]) if len(match[0]) > MEMO_CHARS else [self._memo[match[0]]]
+                for piece in pieces:
+                    yield from self._long_piece(piece) if len(piece) > MEMO_CHARS else [self._memo[piece]]
 
 
 class TextDecoder:
@@ -324,7 +333,7 @@ class TextDecoder:
     """
 
     def __init__(self, table: MergeTable):
-        self._bytes = decoding_table(table)
+        self._bytes = table.letters
         self._state = codecs.getincrementaldecoder("utf-8")("replace")
 
     def feed(self, ids: bytes) -> str:
@@ -340,15 +349,6 @@ class TextDecoder:
         return self._state.decode(b"", True)
 
 
-def decoding_table(table: MergeTable) -> dict[int, bytes]:
-    """The bytes of every id; an added token's letters are bytes too if all of them stand for one."""
-    added = {}
-    for content, token in table.special.items():
-        letters = [table.byte_of.get(c) for c in content]
-        added[token] = content.encode() if None in letters else bytes(letters)
-    return table.data | added
-
-
 _ENCODERS: dict[str, StreamEncoder] = {}
 
 
