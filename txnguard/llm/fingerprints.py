@@ -16,8 +16,10 @@ from txnguard.llm.common import shuffle_width
 PRIMES = (2_147_483_647, 2_147_483_629)
 BASES = (1_103_515_245, 1_664_525_003)
 _BLOCK = 1 << 15
-#: Ranges of ids that are dealt out at most; a range is read as a stream, so its size is not a limit.
-MAX_RANGES = 20_000
+#: Rows of a range of ids, and the ranges that are dealt out at most; a range is read as a stream, so its size is
+#: not a limit.
+ROWS_PER_RANGE = 4_000
+MAX_RANGES = 100_000
 
 
 def _powers(base: int, prime: int) -> np.ndarray:
@@ -153,7 +155,7 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     """
     kind = docs.schema[doc_id].dataType.simpleString()
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    ranges = max(1, min(MAX_RANGES, shuffle_width(docs)))
+    ranges = max(1, min(MAX_RANGES, max(shuffle_width(docs), -(-docs.count() // ROWS_PER_RANGE))))
     # Spark's range exchange, over ids alone, cuts at bounds of a bounded sample; one row per range comes back.
     bounds = slim.select("doc_id").repartitionByRange(ranges, "doc_id").groupBy(F.spark_partition_id().alias("range"))
     bounds = bounds.agg(F.min("doc_id").alias("first"), F.bool_or(F.col("doc_id").isNull()).alias("unknown")).collect()
