@@ -278,3 +278,27 @@ def test_relative_and_encoded_links_carry_blocks(spark):
     frame = spark.createDataFrame([*rows, (9, "https://h.net/p?a=1&b=2&c=3&d=4", None)], PAGES)
     got = {r.page_id: r.verdict for r in judge_urls(frame, rules, page_links(frame)).collect()}
     assert got == {0: "block", 1: "block", 2: "allow", 3: "block", 9: "block"}
+
+
+def test_link_graphs_equal_sql(spark):
+    """Chains, cycles, several links a page, relative and encoded targets, and allow rules inside blocked groups."""
+    link = '<html><link rel="canonical" href="{}"></html>'
+    move = '<meta http-equiv="refresh" content="0; url={}">'
+    rows = [(i, f"http://chain.net/{i}", link.format(f"{i + 1}")) for i in range(8)]
+    rows += [(8, "http://chain.net/8", move.format("http://www.example.org/es/x"))]
+    rows += [(20 + i, f"https://Cycle.net/d/{i}?a=1&b={i}", move.format(f"?a=1&amp;b={(i + 1) % 4}")) for i in range(4)]
+    rows += [(30 + i, f"https://cycle.net/d/{i}?a=1&b={i}", move.format(f"../d/{(i + 1) % 4}?a=1&#38;b={(i + 1) % 4}")) for i in range(4)]
+    rows += [(40, "http://cycle.net/d/2?a=1&b=2", link.format("http://shop.com/de/1"))]
+    rows += [(50, "http://a.org/", link.format("//b.example.org/en/12")), (51, "http://x.com/fr/y", link.format("http://x.com/de/y"))]
+    rows += [(52, "http://y.net/p", link.format("http://x.com/fr/y") + move.format("./q/../r"))]
+    rows += [(53, "http://y.net/r", None), (54, "http://y.net/q", None), (55, "http://y.net/r#part", "<link rel=canonical>")]
+    rows += [(60, "http://z.net/a/b/c", link.format("../../../../d/..")), (61, "http://z.net/d/", link.format("mailto:x"))]
+    rows += [(62, "http://z.net/", link.format("go?to=http://shop.com/de/")), (63, "http://z.net/go?to=http://shop.com/de/", None)]
+    rows += [(64, None, link.format("http://shop.com/de/1")), (65, "nothing", link.format("x")), (66, "http://z.net", link.format("/go?q"))]
+    frame = spark.createDataFrame(rows, PAGES)
+    got = spark_rows(judge_urls(frame, RULES, page_links(frame)))
+    assert got == duck(url_sql(), pages=frame)
+    verdict = {r["page_id"]: r["verdict"] for r in got}
+    assert {verdict[i] for i in range(9)} == {"block"}
+    assert {verdict[i] for i in [20, 21, 22, 23, 30, 31, 32, 33, 40]} == {"block"}
+    assert (verdict[50], verdict[51], verdict[52], verdict[53], verdict[54]) == ("allow", "allow", "block", "block", "allow")

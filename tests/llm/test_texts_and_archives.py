@@ -5,6 +5,7 @@ import hashlib
 import random
 import zlib
 
+import numpy as np
 import pytest
 from frames import awkward, documents, duck, sentence, spark_rows
 from pyspark.sql import functions as F
@@ -141,3 +142,52 @@ def test_a_long_text_in_windows_gives_the_same_vector(monkeypatch):
     for step in (1, 7, 64):
         monkeypatch.setattr(language_id, "_STEP", step)
         assert (profiles.vector(text) == whole).all()
+
+
+def test_languages_against_a_plain_restatement(spark):
+    """Bind, rotate, bundle and cosine, letter by letter."""
+    import math
+
+    from txnguard.llm import language_id
+
+    drawn = np.random.default_rng(language_id.SEED).choice(np.array([-1, 1], np.int8), (64, 1024)).astype(int).tolist()
+
+    def letter(c):
+        if not c.isalpha():
+            return 0
+        return ord(c) - 96 if "a" <= c <= "z" else 27 + (ord(c) * 2654435761 >> 7) % 37
+
+    def bundle(text):
+        spelled = [0]
+        for c in [letter(c) for c in (text or "").lower()] + [0]:
+            if c or spelled[-1]:
+                spelled.append(c)
+        total = [0] * 1024
+        for first, second, third in zip(spelled, spelled[1:], spelled[2:]):
+            for k in range(1024):
+                total[k] += drawn[first][k - 2] * drawn[second][k - 1] * drawn[third][k]
+        return total if len(spelled) > 2 else None
+
+    def length(vector):
+        return math.sqrt(sum(x * x for x in vector))
+
+    rng = random.Random(21)
+    vocabulary = {"aa": "bal dor min", "bb": "xyz qua woo éß", "cc": "日本 語文 の"}
+    rows = [(i, " ".join(rng.choices(vocabulary[g].split(), k=rng.randint(1, 5))) + rng.choice(["", "!", " 12 "]), g, None) for i in range(30) for g in ["aa bb cc".split()[i % 3]]]
+    rows += [(100, "", "aa", None), (101, None, "bb", None), (102, "12 !", "cc", None), (103, "Bal XYZ", None, None), (104, "бг", None, None)]
+    totals = {}
+    for i, text, group, _ in rows:
+        if zlib.crc32(str(i).encode()) % 5 and group and bundle(text):
+            vector = bundle(text)
+            unit = [round(x * 65536 / length(vector)) for x in vector]
+            totals[group] = [a + b for a, b in zip(totals.get(group, [0] * 1024), unit)]
+    got = {r.doc_id: r for r in language_id.identify_languages(documents(spark, rows)).collect()}
+    for i, text, _, _ in rows:
+        vector = bundle(text)
+        assert got[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0)
+        if vector is None:
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        cosines = {g: sum(a * b for a, b in zip(vector, t)) / length(vector) / length(t) for g, t in totals.items()}
+        best = max(sorted(cosines), key=cosines.get)
+        assert got[i].lang_pred == best and abs(got[i].score - min(1.0, max(0.0, cosines[best]))) < 1e-5

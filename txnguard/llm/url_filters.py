@@ -185,10 +185,30 @@ targets AS (
     CASE WHEN regexp_matches(tag, '(?i)^<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b')
          THEN regexp_extract(tag, '(?i)\bcontent\s*=\s*["'']?[^"''>]*?url\s*=\s*''?([^"''\s>]+)', 1) END) AS target
   FROM tags),
-links AS (
-  SELECT url AS f, CASE WHEN target LIKE '//%' THEN 'http:' || target
-    WHEN target LIKE '/%' THEN 'http://' || regexp_extract(url, '^.*?://([^/?#]*)', 1) || target ELSE target END AS t
+bases AS (
+  SELECT url, regexp_replace(target, '(?i)&(?:amp|#0*38|#x0*26);', '&', 'g') AS target,
+         translate(regexp_extract(url, '^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
+         coalesce(nullif(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1), ''), '/') AS page
   FROM targets),
+joined AS (
+  SELECT *, CASE WHEN regexp_matches(target, '^[?#]') THEN page || target
+                 ELSE regexp_extract(page, '^(.*/)', 1) || target END AS j FROM bases),
+steps AS (
+  SELECT *, regexp_extract(j, '^([^?#]*)', 1) AS way, regexp_extract(j, '^[^?#]*(.*)$', 1) AS more,
+         list_transform(string_split(regexp_extract(j, '^([^?#]*)', 1), '/')[2:], lambda s: [s]) AS todo
+  FROM joined),
+walked AS (
+  SELECT *, list_reduce(list_prepend([]::VARCHAR[], todo), lambda done, s:
+    CASE s[1] WHEN '..' THEN done[:greatest(len(done) - 1, 0)] WHEN '.' THEN done ELSE list_concat(done, s) END) AS done
+  FROM steps),
+links AS (
+  SELECT url AS f, CASE
+    WHEN regexp_matches(target, '(?i)^[a-z][a-z0-9+.-]*:') THEN target
+    WHEN target LIKE '//%' THEN 'http:' || target
+    WHEN target LIKE '/%' THEN 'http://' || host || target
+    WHEN target <> '' AND host <> '' THEN 'http://' || host || '/' || array_to_string(done, '/')
+      || CASE WHEN regexp_matches(way, '/\.{{1,2}}$') AND len(done) > 0 THEN '/' ELSE '' END || more END AS t
+  FROM walked),
 urls AS (SELECT url FROM pages UNION SELECT f FROM links UNION SELECT t FROM links),
 parts AS (
   SELECT url, CASE WHEN url IS NULL OR strpos(url, '://') = 0 THEN '' ELSE substr(url, strpos(url, '://') + 3) END AS rest
