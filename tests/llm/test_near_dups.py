@@ -102,3 +102,23 @@ def test_a_family_below_the_limit_stays_in_small_tasks(spark, monkeypatch):
     assert largest <= 4 * config.chunk
     # What is written is at most a row of every task, not every pair of a bucket.
     assert written[0].count() <= sum(r["count"] for r in dealt)
+
+
+def test_one_id_on_several_texts(spark):
+    """Rows are judged by id and text: of each text's group the least id is kept, whatever else that id names."""
+    rng = random.Random(31)
+    a, b, c = (sentence(40, rng) for _ in range(3))
+    rows = [(5, a, None, None), (5, b, None, None), (3, b, None, None), (7, a, None, None), (9, c, None, None), (9, c + " end", None, None)]
+    rows += [(5, a, None, None), (8, None, None, None), (8, c, None, None), (8, "", None, None)]
+    got = {(r.doc_id, r.text_key, r.component_id, r.kept) for r in near_dups.judge_rows(documents(spark, rows)).collect()}
+    keys = {t: r[0] for t in (a, b, c, c + " end") for r in spark.createDataFrame([(t,)], "t string").select(F.xxhash64("t")).collect()}
+    assert {(5, keys[a], 5, True), (7, keys[a], 5, False), (3, keys[b], 3, True), (5, keys[b], 3, False)} <= got
+    assert {(8, keys[c], 8, True), (9, keys[c], 8, False), (9, keys[c + " end"], 8, False)} <= got
+
+
+def test_candidates_of_huge_groups_meet_near_parts_only(spark, monkeypatch):
+    """Same links whether groups are cut in many parts or in one."""
+    rows = corpus()
+    frame = documents(spark, rows)
+    few = found(frame, NearDupConfig(part=4, chunk=8))
+    assert few == found(frame, NearDupConfig()) == brute_force(rows, 5)

@@ -73,7 +73,7 @@ def _signature(values: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> n
 
 
 def _sketches(docs: DataFrame, config: NearDupConfig, doc_id: str, text: str) -> DataFrame:
-    """Per row: set size, a 128-bit set key, band hashes and the odd sketch as 64-bit words."""
+    """Per row: a hash of the text, set size, a 128-bit set key, band hashes and the odd sketch as 64-bit words."""
     kind = docs.schema[doc_id].dataType.simpleString()
     samples, parts = config.bands * config.rows, config.bits // 64
 
@@ -84,7 +84,7 @@ def _sketches(docs: DataFrame, config: NearDupConfig, doc_id: str, text: str) ->
         places = np.arange(samples, dtype=_U64) << _U64(32)
         numbers = np.arange(config.bands, dtype=_U64)
         for batch in batches:
-            ids, texts = batch.columns
+            ids, texts, hashes = batch.columns
             for start in range(0, batch.num_rows, 500):
                 sizes, keys, bands, odd = [], [], [], []
                 for value in texts.slice(start, 500):
@@ -109,17 +109,24 @@ def _sketches(docs: DataFrame, config: NearDupConfig, doc_id: str, text: str) ->
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(start, 500),
+                        hashes.slice(start, 500),
                         pa.array(sizes, pa.int64()),
                         pa.array(keys, pa.binary()),
                         pa.array(bands, pa.list_(pa.int64())),
                         pa.array(odd, pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n", "set_key", "bands", "odd"],
+                    ["doc_id", "text_key", "n", "set_key", "bands", "odd"],
                 )
 
     assert parts * 64 == config.bits
-    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    return slim.mapInArrow(sketch, f"doc_id {kind}, n long, set_key binary, bands array<long>, odd array<long>")
+    slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"), text_key(F.col(text)).alias("text_key"))
+    schema = f"doc_id {kind}, text_key long, n long, set_key binary, bands array<long>, odd array<long>"
+    return slim.mapInArrow(sketch, schema)
+
+
+def text_key(text: Column) -> Column:
+    """What tells rows of one id apart in ``judge_rows``."""
+    return F.xxhash64(text)
 
 
 def odd_similarity(x: str, y: str, config: NearDupConfig) -> Column:
@@ -132,8 +139,7 @@ def odd_similarity(x: str, y: str, config: NearDupConfig) -> Column:
 
 
 def _sets(docs: DataFrame, needed: DataFrame, config: NearDupConfig, doc_id: str, text: str) -> DataFrame:
-    """``rep, members``: the full sets of the class representatives ``needed`` (``rep, set_key``)."""
-    kind = docs.schema[doc_id].dataType.simpleString()
+    """``rep, members``: the full sets of the classes ``needed`` (``rep, first_id, set_key``)."""
 
     def collect(batches):
         for batch in batches:
@@ -152,8 +158,8 @@ def _sets(docs: DataFrame, needed: DataFrame, config: NearDupConfig, doc_id: str
                 )
 
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    joined = slim.join(needed, slim.doc_id == needed.rep).select("rep", "text", "set_key")
-    return joined.mapInArrow(collect, f"rep {kind}, members array<long>")
+    joined = slim.join(needed, slim.doc_id == needed.first_id).select("rep", "text", "set_key")
+    return joined.mapInArrow(collect, "rep long, members array<long>")
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, config: NearDupConfig) -> DataFrame:
@@ -385,10 +391,12 @@ def _by_run(work, width: int):
 def _group_links(candidates: DataFrame, groups: DataFrame, classes: DataFrame, sets: DataFrame, config: NearDupConfig) -> DataFrame:
     """One confirmed link ``a, b`` for every candidate ``rep`` and part of its ``grp`` that has any.
 
-    The members of a group are dealt out in parts of bounded size; a candidate
-    visits every part and is compared with the members there, nearest sketch
-    first, on full sets, until one is linked. So what moves and what comes out
-    is linear in candidates and members, not in their pairs.
+    The members of a group are dealt out in parts of bounded size. A candidate
+    first visits every part with its sketch alone; its full set goes only to the
+    parts that hold a member near to it, where it is compared with the near
+    ones, nearest first, until one is linked. Sketches that move grow with
+    candidates times parts, full sets with the candidates and the parts they
+    resemble; links that come out are one per candidate and part.
     """
     kind = classes.schema["rep"].dataType.simpleString()
     wanted = candidates.select(F.col("grp").alias("_grp")).distinct()
@@ -402,13 +410,42 @@ def _group_links(candidates: DataFrame, groups: DataFrame, classes: DataFrame, s
     visitors = candidates.join(sizes, candidates.grp == sizes._grp).select(
         "grp", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(1).alias("visits"), "rep"
     )
-    side = classes.select(F.col("rep").alias("class_rep"), "odd")
+    words, most = config.bits // 64, _most_differing(config)
+    side = classes.select(F.col("rep").alias("class_rep"), "n", "odd")
+    rows = members.unionByName(visitors).join(side, F.col("rep") == side.class_rep)
+    rows = rows.select("grp", "part", "visits", "rep", "n", "odd")
+    rows = rows.repartition("grp", "part").sortWithinPartitions("grp", "part", "visits")
+
+    def meet(batches):
+        here, odd, held = None, None, []
+        for batch in batches:
+            place = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            visits, sizes = batch.column(2).to_numpy(), batch.column(4).to_numpy()
+            bits = _bits(pa.chunked_array([batch.column(5)]), words)
+            near = []
+            for row in range(batch.num_rows):
+                if place[row] != here:
+                    here, odd, held = place[row], None, []
+                if not visits[row]:
+                    held.append((sizes[row], bits[row].copy()))
+                    continue
+                if odd is None:
+                    counts = np.array([h[0] for h in held])
+                    odd = np.array([h[1] for h in held], _U64).reshape(-1, words)
+                fits = 100 * np.minimum(counts, sizes[row]) >= config.percent * np.maximum(counts, sizes[row])
+                if ((np.bitwise_count(odd ^ bits[row]).sum(axis=1) <= most) & fits).any():
+                    near.append(row)
+            if near:
+                yield batch.select(["grp", "part", "rep"]).take(pa.array(near))
+
+    near = materialize(rows.mapInArrow(meet, f"grp {kind}, part int, rep {kind}"), "near")
+    visited = near.select(F.col("grp").alias("_grp"), F.col("part").alias("_part")).distinct()
+    hosts = members.join(visited, (F.col("grp") == F.col("_grp")) & (F.col("part") == F.col("_part")), "left_semi")
     full = sets.select(F.col("rep").alias("set_rep"), F.col("members").alias("shingles"))
-    rows = members.unionByName(visitors)
+    rows = hosts.unionByName(near.select("grp", "part", F.lit(1).alias("visits"), "rep"))
     rows = rows.join(side, rows.rep == side.class_rep).join(full, rows.rep == full.set_rep)
     rows = rows.select("grp", "part", "visits", "rep", "odd", "shingles")
     rows = rows.repartition("grp", "part").sortWithinPartitions("grp", "part", "visits")
-    words, most = config.bits // 64, _most_differing(config)
 
     def link(batches):
         here, odd, sizes_here, held = None, None, None, []
@@ -447,29 +484,41 @@ def _group_links(candidates: DataFrame, groups: DataFrame, classes: DataFrame, s
 def near_duplicates(
     docs: DataFrame, config: NearDupConfig = NearDupConfig(), doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row.
+    """``doc_id, n_shingles, component_id, kept`` of every row; see ``judge_rows``."""
+    return judge_rows(docs, config, doc_id, text).drop("text_key")
+
+
+def judge_rows(
+    docs: DataFrame, config: NearDupConfig = NearDupConfig(), doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``doc_id, text_key, n_shingles, component_id, kept`` of every row.
 
     Rows with equal sets are one class from the start. Classes that share a
     band meet in a bucket, but a bucket never gives all its pairs: in each star
     round one member is compared with those not yet in its group, which joins
     the bulk of any size in linear work. Buckets that still hold several groups
     are then searched across groups by sketch, inside the tasks. A member names
-    each large group it resembles, and is compared with that whole group on
-    full sets of 64-bit shingle hashes; members of small groups are compared on
-    full sets inside the task where they meet. Pairs are never written out.
-    Every link is confirmed on full sets, and links are closed to components.
+    each large group it resembles, and is compared on full sets of 64-bit
+    shingle hashes with that group's members that are near by sketch; members of
+    small groups are compared on full sets inside the task where they meet.
+    Pairs are never written out. Every link is confirmed on full sets, and links
+    are closed to components of classes.
 
     Null or empty text, and text without words, has an empty set and is linked
-    with nothing. Repeated rows with one id are one node of the graph. A null
-    id takes no part: it has no component and is kept. Other columns are not
-    read; an empty table gives no rows.
+    with nothing. Repeated rows with one id and text are judged alike. Rows with
+    one id and different texts are judged by their texts: an id can then stand
+    in several components and be kept in one and not in another, and
+    ``text_key`` tells its rows apart. A null id takes no part: it has no
+    component and is kept. Other columns are not read; an empty table gives no
+    rows.
     """
     sketched = materialize(_sketches(docs, config, doc_id, text), "sketches")
     known = sketched.filter("set_key IS NOT NULL AND doc_id IS NOT NULL")
     classes = known.groupBy("set_key").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("odd").alias("odd")
+        F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("odd").alias("odd")
     )
-    classes = materialize(classes, "classes")
+    # Ids cannot number the classes, since one id may have several texts; the numbers are fixed by being written.
+    classes = materialize(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
     buckets = classes.select("rep", F.explode("bands").alias("key"), "n")
     shared = buckets.groupBy("key").agg(
         F.min("rep").alias("hub"),
@@ -483,7 +532,7 @@ def near_duplicates(
         buckets.join(shared, buckets.key == shared.shared_key).select("key", "rep", "hub", "members", "blocks"), "members"
     )
     needed = members.select(F.col("rep").alias("needed_rep")).distinct()
-    needed = classes.join(needed, classes.rep == needed.needed_rep, "left_semi").select("rep", "set_key")
+    needed = classes.join(needed, classes.rep == needed.needed_rep, "left_semi").select("rep", "first_id", "set_key")
     sets = materialize(_sets(docs, needed, config, doc_id, text), "sets")
 
     pairs = members.filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
@@ -520,12 +569,18 @@ def near_duplicates(
         if not new.isEmpty():
             groups = materialize(merge_components(groups, new), "groups")
 
-    marked = classes.select("set_key", "rep").join(groups, F.col("rep") == groups.node, "left")
-    marked = materialize(marked.select(F.col("set_key").alias("class_key"), F.coalesce("component", "rep").alias("grp")), "marked")
-    rows = sketched.select("doc_id", "n", "set_key").join(marked, F.col("set_key") == marked.class_key, "left")
+    # A component is named by the least id of its classes.
+    named = classes.select("set_key", "rep", "first_id").join(groups, F.col("rep") == groups.node, "left")
+    named = materialize(named.select(F.col("set_key").alias("class_key"), "first_id", "component"), "named")
+    least = named.filter("component IS NOT NULL").groupBy(F.col("component").alias("_of")).agg(F.min("first_id").alias("least_id"))
+    least = materialize(least, "least")
+    marked = named.join(least, F.col("component") == least._of, "left")
+    marked = materialize(marked.select("class_key", F.coalesce("least_id", "first_id").alias("grp")), "marked")
+    rows = sketched.select("doc_id", "text_key", "n", "set_key").join(marked, F.col("set_key") == marked.class_key, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("grp", "doc_id"))
     return rows.select(
         "doc_id",
+        "text_key",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
