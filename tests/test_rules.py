@@ -140,3 +140,20 @@ def test_counters(rows):
     found = rules.alert_counters(scored(rows(LARGE_DRAINED, {}, DRAINED), 0.9, 1.0)).first()
     # Model and rule counters count raised flags, not alerts.
     assert tuple(found) == (3, 2, 3, 2)
+
+
+def test_short_lists_cost_no_job(spark, rows):
+    """Names given by the caller are literals: choosing their form and planning with them runs nothing."""
+    df = rows({"nameDest": "C1"}, {"nameDest": ""})
+    context = spark.sparkContext
+    context.setJobGroup("short-list", "no job")
+    try:
+        listed = blacklist.account_list([" c1\t", "C9", None, " "])
+        flagged = blacklist.flag_listed(df, listed, "hit")
+        kept = blacklist.only_unlisted(df, [" c1\t", ""])
+        flagged.explain()
+        assert not context.statusTracker().getJobIdsForGroup("short-list")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert [r.hit for r in flagged.orderBy("nameDest").collect()] == [0.0, 1.0]
+    assert [r.nameDest for r in kept.collect()] == [""]

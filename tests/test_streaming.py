@@ -172,7 +172,7 @@ def test_compaction_is_repeatable_and_takes_late_batches(spark, rows, tmp_path):
     before = seen()
     assert layers.compact_hours(spark, config, "gold", ("2030-01-02", "04")) == 1
     assert layers.compact_hours(spark, config, "gold", ("2030-01-02", "04")) == 0
-    assert seen() == before and not (tmp_path / "gold" / "dt=2030-01-02" / "hour=03").exists()
+    assert seen() == before and not list((tmp_path / "gold" / "dt=2030-01-02" / "hour=03").rglob("*.parquet"))
     assert len(list((tmp_path / "gold_hours" / "rows").rglob("*.parquet"))) == 1
     # As if the compaction had failed before it dropped the landed batch: both copies stand, one is read.
     land(1, "03")

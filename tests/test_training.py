@@ -100,11 +100,12 @@ def test_save_load_score_and_reevaluate(spark, raw, results, tmp_path):
     registry.save_models(spark, results, root)
     best, alternate = registry.save_models(spark, results, root).keys.values()
     assert {best, alternate} == {"rf", "gbt"}
-    metrics = serving.model_metrics(spark, f"{root}/model_metrics")
+    version = registry.deployed(spark, root)
+    metrics = serving.model_metrics(spark, registry.metrics_path(version))
     assert set(metrics) == {*EVALUATION_METRICS, *(f"validation_{m}" for m in EVALUATION_METRICS), "training_time_seconds"}
     assert metrics["auc"] == round(results.candidates[best].test["auc"], 6)
 
-    paths = {role: registry.model_path(root, role) for role in ("best", "alternate", "absent")}
+    paths = {role: registry.model_path(version, role) for role in ("best", "alternate", "absent")}
     again = {r.model: r for r in training.evaluate_saved(raw, paths).collect()}
     assert set(again) == {"best", "alternate"}
     assert sum(r.is_best for r in again.values()) == 1
@@ -139,11 +140,14 @@ def test_save_without_models_is_an_error(spark, results, tmp_path):
         registry.save_models(spark, bare, str(tmp_path))
 
 
-def test_metrics_are_replaced_and_runs_are_appended(spark, results, tmp_path):
+def test_metrics_and_the_rows_of_a_run_are_replaced(spark, results, tmp_path):
     for _ in range(2):
         registry.store_metrics(spark, results.candidates["rf"], f"{tmp_path}/m")
         registry.log_runs(spark, results, "run", f"{tmp_path}/runs")
     assert spark.read.parquet(f"{tmp_path}/m").count() == 11
+    assert registry.runs(spark, f"{tmp_path}/runs").count() == 2 * 2 * 5
+    registry.log_runs(spark, results, "007", f"{tmp_path}/runs")
+    assert {r.run_id for r in registry.runs(spark, f"{tmp_path}/runs").collect()} == {"run", "007"}
     assert registry.runs(spark, f"{tmp_path}/runs").count() == 2 * 2 * 2 * 5
 
 
@@ -207,3 +211,58 @@ def test_days_prune_partitions(spark, tmp_path):
     found = serving.in_days(spark.read.parquet(f"{tmp_path}/t"), "2030-01-02", "2030-01-03")
     assert sorted(r.id for r in found.collect()) == [1, 2]
     assert "PartitionFilters: [isnotnull(dt" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_reader_during_publishing_gets_a_whole_version(spark, results, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    with pytest.raises(LookupError):
+        registry.deployed(spark, root)
+    first = registry.save_models(spark, results, root).root
+    seen = []
+
+    def failing(spark, candidate, path, fmt="parquet"):
+        # Both models of the new version are written by now, its metrics are not.
+        seen.append(registry.deployed(spark, root))
+        registry.load_model(root)
+        serving.model_metrics(spark, registry.metrics_path(seen[-1]))
+        raise OSError("disk full")
+
+    plain = registry.store_metrics
+    monkeypatch.setattr(registry, "store_metrics", failing)
+    with pytest.raises(OSError):
+        registry.save_models(spark, results, root)
+    assert len(seen) == 1 and seen[0].endswith(first.rsplit("/", 1)[1]) and registry.deployed(spark, root) == seen[0]
+    monkeypatch.setattr(registry, "store_metrics", plain)
+    for _ in range(registry.KEPT_VERSIONS + 1):
+        registry.save_models(spark, results, root)
+    left = registry.versions(spark, root)
+    assert len(left) == registry.KEPT_VERSIONS and left == sorted(left, reverse=True) and seen[0] not in left
+
+
+def test_corrupt_model_is_an_error(spark, raw, results, tmp_path):
+    version = registry.save_models(spark, results, str(tmp_path)).root
+    for part in (tmp_path / "versions").rglob("best/metadata/part-*"):
+        part.write_text("{")
+        part.with_name(f".{part.name}.crc").unlink(missing_ok=True)
+    with pytest.raises(Exception):
+        training.evaluate_saved(raw, {"best": registry.model_path(version, "best")})
+
+
+def test_fits_overlap(spark, raw, monkeypatch):
+    """Each fit waits for the other to start, so one after the other would never end."""
+    import threading
+
+    both, plain = threading.Barrier(2, timeout=60), training.fit_detached
+
+    def meeting(*args):
+        both.wait()
+        return plain(*args)
+
+    monkeypatch.setattr(training, "fit_detached", meeting)
+    run = training.train_candidates(raw, TINY, include_models=False)
+    assert list(run.candidates) == ["rf", "gbt"]
+
+
+def test_concurrent_fits_give_the_same_models(raw, results):
+    again = training.train_candidates(raw, TINY, include_models=False)
+    assert {k: c.test for k, c in again.candidates.items()} == {k: c.test for k, c in results.candidates.items()}

@@ -442,6 +442,16 @@ found AS (
                  <= (SELECT max(o_orderdate) - INTERVAL 10 MINUTE FROM clean JOIN orders ON o_orderkey = txn_id)
            GROUP BY window_start, type""",
     ),
+    "paced_replay_gold": _GOLD,
+    "alert_sink_feed": _with(_FEATURES, "SELECT * FROM payload"),
+    "newest_alerts": _with(
+        _FEATURES,
+        """SELECT payload.*, date_trunc('month', o_orderdate) + to_hours(txn_id % 3) AS processed_at
+           FROM payload JOIN orders ON o_orderkey = txn_id
+           ORDER BY processed_at DESC, step DESC, txn_id DESC LIMIT 50""",
+    ),
+    "stream_dedup_hot": """SELECT CASE WHEN event_id % 3 = 0 THEN -1 ELSE event_id END AS key, 1 AS copies, true AS by_trigger
+        FROM events GROUP BY 1""",
     "stream_dedup": "SELECT event_id, user_id, event_type, value FROM events",
     "csv_extra_columns": _with(_TYPED, "SELECT * EXCLUDE (txn_id), 'file' AS source FROM clean"),
     "amount_quantiles_approx": """SELECT level, true AS within_error
@@ -488,9 +498,20 @@ found AS (
             FROM (SELECT split, count(*) AS split_rows FROM (SELECT {_SPLIT} AS split FROM prepared)
                   WHERE split <> 'train' GROUP BY split), {_MODELS}, {_METRIC_NAMES}""",
     ),
-    "deployed_metrics": f"""SELECT metric, true AS in_range FROM {_METRIC_NAMES}
-        UNION ALL SELECT 'validation_' || metric, true FROM {_METRIC_NAMES}
-        UNION ALL SELECT 'training_time_seconds', true""",
+    "deployed_metrics": f"""SELECT metric, true AS in_range, CAST(0 AS DOUBLE) AS difference FROM {_METRIC_NAMES}
+        UNION ALL SELECT 'validation_' || metric, true, CAST(0 AS DOUBLE) FROM {_METRIC_NAMES}
+        UNION ALL SELECT 'training_time_seconds', true, CAST(0 AS DOUBLE)""",
+    "train_notebook": _compared("notebook"),
+    "amount_quantiles_sketched": _with(
+        _RAW,
+        """SELECT 'all' AS days, count(amount) AS row_count, true AS within_error FROM raw
+           UNION ALL
+           SELECT 'year', count(amount), true FROM raw JOIN orders ON o_orderkey = txn_id WHERE year(o_orderdate) = 1995""",
+    ),
+    "stream_state_counters": _with(_FEATURES, "SELECT * FROM counters"),
+    "stream_late_rows": "SELECT count(*) AS accounted, true AS some_late, true AS some_in_time FROM events",
+    "stream_trigger_report": """SELECT count(*) AS input_rows, true AS one_row_per_batch, 2 AS ended, 0 AS failed
+        FROM orders JOIN customer ON o_custkey = c_custkey""",
     "model_scored_kpis": _with(
         _FEATURES, "SELECT total_transactions, total_rule_alerts, true AS ml_alerts_bounded FROM counters"
     ),

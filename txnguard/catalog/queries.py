@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,7 +21,8 @@ from txnguard.catalog.adapter import (
     raw_transactions,
     table,
 )
-from txnguard.operators import blacklist, clean, features, metrics, profile, rules, running, sampling
+from txnguard.functions.columns import positive_class
+from txnguard.operators import blacklist, clean, features, metrics, profile, rules, running, sampling, sketches
 from txnguard.plans import registry, serving, training
 from txnguard.plans.scoring import model_scorer, score_transactions
 from txnguard.schema import (
@@ -31,10 +34,10 @@ from txnguard.schema import (
     SPLIT_FRACTIONS,
     TRANSACTION_COLUMNS,
 )
-from txnguard.session import scratch_path
-from txnguard.sources import events
+from txnguard.session import materialize, scratch_path
+from txnguard.sources import events, replay
 from txnguard.sources.files import read_blacklist, read_csv
-from txnguard.streaming import counters, dedup, layers
+from txnguard.streaming import alert_sink, counters, dedup, late, layers, reports
 from txnguard.streaming.alerts import alert_stream, start_append
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -202,6 +205,29 @@ def replay_fraud_share(spark, sf):
     return running.running_fraud_share(raw_transactions(spark, sf), "txn_id", every=500)
 
 
+@query
+def amount_quantiles_sketched(spark, sf):
+    """Quantiles of any range of days from stored sketches per day: whether each is within 0.01 ranks."""
+    path = scratch_path(spark, "sketches")
+    sent = raw_transactions(spark, sf, timed=True).withColumn("day", F.to_date("sent_at"))
+    sketches.quantile_sketches(sent, "amount", ["day"]).write.parquet(path)
+    stored = spark.read.parquet(path)
+    out = []
+    for name, first, last in (("all", "1900-01-01", "2100-01-01"), ("year", "1995-01-01", "1995-12-31")):
+        inside = F.col("day").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+        found = sketches.merged_quantiles(stored.filter(inside), profile.AMOUNT_LEVELS).first()
+        amounts = sent.filter(inside & F.col("amount").isNotNull())
+        counts = [F.count_if(F.col("amount") < found[n]).alias(f"below_{n}") for n in profile.AMOUNT_LEVELS]
+        counts += [F.count_if(F.col("amount") <= found[n]).alias(f"upto_{n}") for n in profile.AMOUNT_LEVELS]
+        ranked = amounts.agg(F.count("*").alias("rows"), *counts)
+        fits = [
+            (F.col(f"upto_{n}") >= (q - 0.01) * F.col("rows")) & (F.col(f"below_{n}") <= (q + 0.01) * F.col("rows"))
+            for n, q in profile.AMOUNT_LEVELS.items()
+        ]
+        out.append(ranked.select(F.lit(name).alias("days"), F.col("rows").alias("row_count"), reduce(and_, fits).alias("within_error")))
+    return out[0].unionByName(out[1])
+
+
 @query
 def table_file_check(spark, sf):
     found = profile.file_check(table(spark, sf, "orders"), ("o_orderkey", "o_custkey", "o_comment_text"))
@@ -509,7 +535,7 @@ def saved_model_eval(spark, sf):
     raw = raw_transactions(spark, sf)
     run = training.train_candidates(raw, _PROFILE)
     placed = registry.save_models(spark, run, root)
-    paths = {role: registry.model_path(root, role) for role in (*registry.ROLES, "absent")}
+    paths = {role: registry.model_path(placed.root, role) for role in (*registry.ROLES, "absent")}
     found = training.evaluate_saved(raw, paths)
     trained = spark.createDataFrame(
         [(role, run.candidates[key].test["auc"]) for role, key in placed.keys.items()], "role STRING, trained DOUBLE"
@@ -529,14 +555,38 @@ def training_runs(spark, sf):
     return registry.runs(spark, path).withColumn("in_range", F.col("value").between(0.0, 1.0)).drop("value")
 
 
+def _by_mllib(predictions):
+    """The five metrics of stored predictions by MLlib's own evaluators."""
+    names = {"accuracy": "accuracy", "precision": "weightedPrecision", "recall": "weightedRecall", "f1": "f1"}
+    several = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction")
+    found = {name: several.setMetricName(metric).evaluate(predictions) for name, metric in names.items()}
+    ranked = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="score", numBins=0)
+    return found | {"auc": ranked.evaluate(predictions)}
+
+
 @query
 def deployed_metrics(spark, sf):
-    """The stored metrics of the deployed model."""
+    """The served metrics of the deployed model, and how far they are from its stored predictions' metrics."""
     root = scratch_path(spark, "models")
-    registry.save_models(spark, training.train_candidates(raw_transactions(spark, sf), _PROFILE), root)
-    stored = spark.read.parquet(registry.metrics_path(root))
+    raw = raw_transactions(spark, sf)
+    registry.save_models(spark, training.train_candidates(raw, _PROFILE), root)
+    served = serving.model_metrics(spark, registry.metrics_path(registry.deployed(spark, root)))
+    scored = registry.load_model(root).transform(sampling.with_hash_split(training.labelled_features(raw)))
+    columns = [F.col("label").cast("double").alias("label"), "prediction", positive_class("rawPrediction").alias("score")]
+    stored = materialize(scored.select("split", *columns), "predictions", partition_by="split")
+    again = {"training_time_seconds": served["training_time_seconds"]}
+    for split, prefix in (("test", ""), ("validation", "validation_")):
+        again |= {f"{prefix}{name}": value for name, value in _by_mllib(stored.filter(F.col("split") == split)).items()}
+    rows = [(name, value, round(abs(value - again[name]), 5)) for name, value in served.items()]
+    found = spark.createDataFrame(rows, "metric STRING, value DOUBLE, difference DOUBLE")
     fits = F.when(F.col("metric") == "training_time_seconds", F.col("value") > 0).otherwise(F.col("value").between(0.0, 1.0))
-    return stored.select("metric", fits.alias("in_range"))
+    return found.select("metric", fits.alias("in_range"), "difference")
+
+
+@query
+def train_notebook(spark, sf):
+    """The middle profile: 40 trees of depth 8, 15 rounds of depth 6."""
+    return _compared(spark, sf, "notebook")
 
 
 @query
@@ -554,14 +604,17 @@ def model_scored_kpis(spark, sf):
 # --- streams -----------------------------------------------------------------
 
 
-_REPLAY_FILES = 12
-_FILES_PER_BATCH = "4"
+_ROWS_PER_FILE = 100_000
+_TRIGGERS = 3
 
 
 def _replayed(spark, sf, root, pruned=False):
     """The transactions as an event stream of several micro-batches at any size."""
-    events.write_replay(raw_transactions(spark, sf), f"{root}/events", "txn_id", files=_REPLAY_FILES)
-    raw = events.read_event_stream(spark, "text", f"{root}/events", maxFilesPerTrigger=_FILES_PER_BATCH)
+    sent = raw_transactions(spark, sf)
+    files = events.write_replay(
+        sent, f"{root}/events", "txn_id", rows_per_file=_ROWS_PER_FILE, least_files=4 * _TRIGGERS
+    )
+    raw = events.read_event_stream(spark, "text", f"{root}/events", maxFilesPerTrigger=str(-(-files // _TRIGGERS)))
     return events.transaction_stream(raw, _EVENT_FIELDS, pruned=pruned)
 
 
@@ -653,12 +706,13 @@ def stream_window_counters(spark, sf):
     """KPI counters per day and type, by the time the transactions carry."""
     root = scratch_path(spark, "stream-days")
     sent = raw_transactions(spark, sf, timed=True)
-    events.write_timed_replay(sent, f"{root}/events", "txn_id", "sent_at", time_column="sent_at")
+    total = replay.write_replay_table(sent, f"{root}/sent", "txn_id", "sent_at", order_by="sent_at")
     fields = events.event_schema(("txn_id", T.LongType()), ("sent_at", T.TimestampType()))
-    raw = events.read_event_stream(spark, "text", f"{root}/events", maxFilesPerTrigger="1")
+    raw = replay.read_replay(spark, f"{root}/sent", max(1.0, total / _TRIGGERS), time.time())
     stream = events.transaction_stream(raw, fields, event_time="sent_at")
     daily = counters.windowed_counters(score_transactions(stream, key_scorer(), LISTED), width="1 day")
-    start_append(daily, f"{root}/days", f"{root}/checkpoint").awaitTermination()
+    running = start_append(daily, f"{root}/days", f"{root}/checkpoint", every="1 second")
+    replay.stop_after(running, total, drain=True)
     return spark.read.parquet(f"{root}/days")
 
 
@@ -670,3 +724,115 @@ def stream_dedup(spark, sf):
     once = dedup.drop_repeats(twice, ["event_id"], "ts")
     start_append(once, f"{root}/once", f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/once").select("event_id", "user_id", "event_type", "value")
+
+
+@query
+def paced_replay_gold(spark, sf):
+    """The scored layer of a replay at a bounded rate, stopped on the way and continued from its checkpoint."""
+    root = scratch_path(spark, "paced-replay")
+    total = replay.write_replay_table(raw_transactions(spark, sf), f"{root}/sent", "txn_id", rows_per_file=10_000)
+    config = layers.LayerConfig(f"{root}/layers", run_id="paced", blacklist=LISTED)
+    started = time.time()
+    for goal in (total // 3, total):
+        raw = replay.read_replay(spark, f"{root}/sent", max(1.0, total / 4), started, rowsPerPartition="5000")
+        stream = events.transaction_stream(raw, _EVENT_FIELDS)
+        running = layers.start_layers(stream, config, key_scorer(), f"{root}/checkpoint", every="0 seconds")
+        replay.stop_after(running, goal)
+    return layers.read_layer(spark, config, "gold").select("txn_id", *_TIMELESS_GOLD)
+
+
+@query
+def alert_sink_feed(spark, sf):
+    """Alerts through the committing sink, run again after it was done."""
+    root = scratch_path(spark, "alert-sink")
+    scored = score_transactions(_replayed(spark, sf, root), key_scorer(), LISTED)
+    for _ in range(2):
+        feed = alert_stream(scored, "txn_id")
+        alert_sink.start_alert_sink(feed, f"{root}/alerts", "main", f"{root}/checkpoint").awaitTermination()
+    return serving.parse_alerts(alert_sink.stored_alerts(spark, f"{root}/alerts"), "txn_id").select(*ALERT_COLUMNS, "txn_id")
+
+
+@query
+def newest_alerts(spark, sf):
+    """The 50 newest alerts of a feed of many hours, from its newest hours alone."""
+    config = layers.LayerConfig(scratch_path(spark, "newest-alerts"), run_id="sent")
+    month = F.date_trunc("MONTH", "sent_at") + F.make_dt_interval(hours=F.col("txn_id") % 3)
+    scored = score_transactions(raw_transactions(spark, sf, timed=True), key_scorer(), LISTED)
+    timed = features.stamp_partitions(scored.withColumn("processed_at", month))
+    feed = features.alert_json(timed, "txn_id", "step", "processed_at", "dt", "hour")
+    layers.write_batch(feed.repartition("dt", "hour"), config, "alerts", 0)
+    newest = serving.newest_alerts(spark, config, 50, "processed_at", "step", "txn_id")
+    return serving.parse_alerts(newest, "txn_id", "processed_at").select(*ALERT_COLUMNS, "txn_id", "processed_at")
+
+
+@query
+def stream_dedup_hot(spark, sf):
+    """Every event sent twice over several triggers, a third of all under one key: one row per key."""
+    root = scratch_path(spark, "stream-dedup-hot")
+    sent = table(spark, sf, "events").select(
+        F.when(F.col("event_id") % 3 == 0, -1).otherwise(F.col("event_id")).alias("key"), F.col("ts").cast("timestamp").alias("ts"), "value"
+    )
+    for _ in range(2):
+        sent.repartition(4, "value").write.mode("append").parquet(f"{root}/sent")
+    stream = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 3).parquet(f"{root}/sent")
+    running = dedup.start_once_per_key(stream, ["key"], "ts", f"{root}/once", f"{root}/checkpoint", delay="3650 days")
+    running.awaitTermination()
+    kept = dedup.kept_rows(spark, f"{root}/once", "key BIGINT, ts TIMESTAMP, value DOUBLE, batch_id BIGINT")
+    return kept.groupBy("key").agg(F.count("*").alias("copies"), (F.max("batch_id") < 3).alias("by_trigger"))
+
+
+@query
+def stream_state_counters(spark, sf):
+    """The running KPI counters, read from the state of the stream instead of a table it writes."""
+    root = scratch_path(spark, "stream-state")
+    totals = counters.running_counters(score_transactions(_replayed(spark, sf, root), key_scorer(), LISTED))
+    counters.start_snapshots(totals, f"{root}/totals", f"{root}/checkpoint").awaitTermination()
+    return counters.counters_in_state(spark, f"{root}/checkpoint")
+
+
+@query
+def stream_late_rows(spark, sf):
+    """Events in no order of time: rows in their windows and late rows together are what was sent."""
+    root = scratch_path(spark, "stream-late")
+    sent = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    sent.repartition(6, "event_id").write.parquet(f"{root}/sent")
+    stream = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/sent")
+    late.start_late_split(stream, "ts", f"{root}/split", f"{root}/checkpoint", delay="1 day").awaitTermination()
+    stored = late.split_rows(spark, f"{root}/split", "event_id BIGINT, ts TIMESTAMP, event_type STRING")
+    in_time = stored.filter("late = 0").groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count("*").alias("n"))
+    parts = in_time.select("n", F.lit(0).alias("late")).unionByName(
+        stored.filter("late = 1").agg(F.count("*").alias("n")).withColumn("late", F.lit(1))
+    )
+    return parts.agg(
+        F.sum("n").alias("accounted"),
+        (F.sum(F.when(F.col("late") == 1, F.col("n"))) > 0).alias("some_late"),
+        (F.sum(F.when(F.col("late") == 0, F.col("n"))) > 0).alias("some_in_time"),
+    )
+
+
+@query
+def stream_trigger_report(spark, sf):
+    """What the listener stored of a layered run and of a second run that found nothing."""
+    root = scratch_path(spark, "stream-report")
+    listener = reports.report_triggers(spark, f"{root}/reports")
+    try:
+        stream = _replayed(spark, sf, root)
+        config = layers.LayerConfig(f"{root}/layers", blacklist=LISTED)
+        for _ in range(2):
+            running = layers.start_layers(stream, config, key_scorer(), f"{root}/checkpoint", every=None)
+            running.awaitTermination()
+        reports.wait_for_reports(spark)
+    finally:
+        spark.streams.removeListener(listener)
+    stored = reports.stored_reports(spark, f"{root}/reports").filter(F.col("query_id") == str(running.id))
+    batches = F.col("kind") == "batch"
+    landed = layers.read_layer(spark, config, "batch_metrics").agg(F.count("*").alias("written"))
+    found = stored.agg(
+        F.sum("input_rows").alias("input_rows"),
+        (F.count_if(batches) == F.count_distinct("batch_id")).alias("one_row_per_batch"),
+        F.count_if(batches & (F.col("input_rows") > 0)).alias("full"),
+        F.count_if(F.col("kind") == "ended").alias("ended"),
+        F.count_if(F.col("kind") == "failed").alias("failed"),
+    )
+    same = found.join(landed, F.col("full") == F.col("written"))
+    return same.select("input_rows", "one_row_per_batch", "ended", "failed")

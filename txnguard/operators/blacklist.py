@@ -18,9 +18,9 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 @dataclass(frozen=True)
 class AccountList:
-    """Distinct listed accounts, with the measured decision how to look them up."""
+    """A list of accounts with the decision how to look them up: as literals, or as distinct ``accounts`` to join."""
 
-    accounts: DataFrame
+    accounts: DataFrame | None
     literals: tuple[str, ...] | None
     fits_broadcast: bool
 
@@ -35,21 +35,25 @@ def account_list(
     max_rows: int = MAX_BROADCAST_ROWS,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> AccountList:
-    """Measure a list once and choose its form; the form never changes a result.
-
-    Names and the rows of a DataFrame (column ``account``) take the same way:
-    outer white space goes, letters become upper case, null and blank entries
-    are dropped. The distinct accounts are stored and counted. Up to
-    ``max_literals`` become an IN set, a list within the row and byte bounds is
-    broadcast, and anything larger is an ordinary equi-join, in which adaptive
-    execution splits the partition of a hot account. It can do so only because
-    the stored list needs no aggregation between its shuffle and the join.
+    """Choose a list's form once; the form never changes a result.
+
+    Names and the rows of a DataFrame (column ``account``) are spelled by one
+    expression: outer white space goes, letters become upper case, null and
+    blank entries are dropped. Up to ``max_literals`` names become an IN set
+    whose entries Catalyst folds, without a job. The distinct rows of a
+    DataFrame, or of more names, are stored and counted: a list within the row
+    and byte bounds is broadcast, and anything larger is an ordinary equi-join,
+    in which adaptive execution splits the partition of a hot account. It can do
+    so only because the stored list needs no aggregation between its shuffle and
+    the join.
     """
     if isinstance(source, AccountList):
         return source
     if not isinstance(source, DataFrame):
-        names = [(name,) for name in source or ()]
-        source = SparkSession.active().createDataFrame(names, "account STRING")
+        names = tuple(dict.fromkeys(name for name in source or () if name is not None))
+        if len(names) <= max_literals:
+            return AccountList(None, names, True)
+        source = SparkSession.active().createDataFrame([(name,) for name in names], "account STRING")
     spelled = source.select(account_code(F.col("account")).alias("account")).filter("account <> ''")
     accounts = materialize(spelled.distinct(), "accounts")
     rows, size = accounts.agg(
@@ -63,7 +67,11 @@ def account_list(
 
 
 def _listed(source: AccountList, column: str):
-    return F.col(column).isin(*source.literals) if source.literals else F.lit(False)
+    """Whether the account is one of the literals, in their spelling; a blank entry matches nothing."""
+    if not source.literals:
+        return F.lit(False)
+    found = F.col(column).isin(*[account_code(F.lit(name)) for name in source.literals])
+    return found & (F.col(column) != "")
 
 
 def flag_listed(df: DataFrame, source, output: str, column: str = "nameDest") -> DataFrame:

@@ -30,19 +30,23 @@ def running_totals(
     ``rows_per_bucket`` and stored with their bucket; each bucket is summed by
     itself and starts from the totals of those before it. The number of
     buckets grows with the rows, so a task never does. Every choice of range
-    bounds gives the same sums. ``rows`` is the row count, if it is known.
+    bounds gives the same sums. A single bucket is not stored again. ``rows`` is
+    the row count, if it is known.
     """
     direction = F.desc if descending else F.asc
     rows = stored.count() if rows is None else rows
     buckets = max(1, -(-rows // rows_per_bucket))
-    dealt = stored.repartitionByRange(buckets, direction(order_by)) if buckets > 1 else stored.coalesce(1)
-    ranged = materialize(dealt.withColumn("_bucket", F.spark_partition_id()), "ranges")
+    if buckets > 1:
+        dealt = stored.repartitionByRange(buckets, direction(order_by))
+        ranged = materialize(dealt.withColumn("_bucket", F.spark_partition_id()), "ranges")
+    else:
+        ranged = stored.withColumn("_bucket", F.lit(0))
 
     # One row per bucket: a millionth of the rows.
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = ranged.groupBy("_bucket").agg(*[F.sum(m).alias(f"_total_{m}") for m in measures])
     starts = [F.coalesce(F.sum(f"_total_{m}").over(before), F.lit(0)).alias(f"_before_{m}") for m in measures]
-    offsets = materialize(totals.select("_bucket", *starts), "offsets")
+    offsets = totals.select("_bucket", *starts)
     inside = (
         Window.partitionBy("_bucket").orderBy(direction(order_by)).rowsBetween(Window.unboundedPreceding, 0)
     )

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from txnguard.functions.columns import evaluate_once
 from txnguard.operators.rules import alert_counters
 from txnguard.schema import ALERT_SCHEMA, MAX_RECENT_ALERTS
+from txnguard.streaming import layers
 
 COUNTERS = ("total_transactions", "total_fraud", "total_ml_alerts", "total_rule_alerts")
 
@@ -50,6 +51,27 @@ def recent_alerts(alerts: DataFrame, limit: int = 50, *order: str) -> DataFrame:
     return alerts.orderBy(*[F.desc(key) for key in keys]).limit(limit)
 
 
+def newest_alerts(spark: SparkSession, config: layers.LayerConfig, limit: int = 50, *order: str) -> DataFrame:
+    """The newest alerts of a stored feed, reading no more hours than hold them.
+
+    Hours are the partitions of the feed and follow ``processed_at``, so the
+    newest rows lie in the newest hours. These are taken one, two, four … at a
+    time until enough rows are found; older folders are neither listed nor read.
+    ``order`` ranks rows as in ``recent_alerts`` and must begin with the time.
+    """
+    if not 1 <= limit <= MAX_RECENT_ALERTS:
+        raise ValueError(f"limit must be between 1 and {MAX_RECENT_ALERTS}, not {limit}")
+    hours = layers.hours_of(spark, config, "alerts")
+    taken, found, step = 0, 0, 1
+    while found < limit and taken < len(hours):
+        part = layers.read_hours(spark, config, "alerts", hours[taken : taken + step])
+        found += part.limit(limit - found).count()
+        taken, step = taken + step, 2 * step
+    if not hours:
+        return spark.createDataFrame([], "value STRING, txn_id STRING, step INT, processed_at TIMESTAMP, dt STRING, hour STRING")
+    return recent_alerts(layers.read_hours(spark, config, "alerts", hours[:taken]), limit, *order)
+
+
 def parse_alerts(feed: DataFrame, *keep: str) -> DataFrame:
     """Alert JSON in ``value`` to columns; text that is no JSON object is skipped.
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
@@ -144,6 +146,23 @@ def fit_candidate(
     )
 
 
+def _fit_together(
+    estimators: dict, prepared: PipelineModel, splits: dict[str, DataFrame], include_models: bool
+) -> dict[str, Candidate]:
+    """Fit all candidates at once, each from a thread of its own that inherits the caller's job properties.
+
+    A fit is a chain of jobs, most of them short: another candidate's jobs fill
+    the executors while one waits for its driver. Results do not depend on it.
+    """
+
+    def fit(key: str) -> Candidate:
+        return fit_candidate(key, estimators[key], prepared, splits, include_models)
+
+    with ThreadPoolExecutor(max(1, len(estimators))) as pool:
+        fits = {key: pool.submit(inheritable_thread_target(fit), key) for key in estimators}
+        return {key: found.result() for key, found in fits.items()}
+
+
 def labelled_features(raw: DataFrame) -> DataFrame:
     """Cleaned, keyed, labelled rows with features."""
     return with_txn_id(raw.transform(clean_transactions)).transform(add_label).transform(add_features)
@@ -192,10 +211,7 @@ def train_candidates(
     splits = prepare_splits(ready, sample_fraction, seed, stable)
     prepared = feature_pipeline().fit(splits["train"])
     rows = {name: part.count() for name, part in splits.items()}
-    candidates = {
-        key: fit_candidate(key, estimator, prepared, splits, include_models)
-        for key, estimator in estimators.items()
-    }
+    candidates = _fit_together(estimators, prepared, splits, include_models)
     named = profile if isinstance(profile, str) else "custom"
     return TrainingRun(candidates, summary.get, named, sample_fraction, seed, data, rows)
 
@@ -230,20 +246,20 @@ def comparison_table(spark: SparkSession, run: TrainingRun) -> DataFrame:
 
 
 def evaluate_saved(raw: DataFrame, paths: dict[str, str]) -> DataFrame:
-    """Metrics of stored models on the rebuilt test split; absent ones are skipped.
+    """Metrics of stored models on the rebuilt test split; paths that do not exist are skipped.
 
-    ``is_best`` marks the highest AUC, the earlier model on a tie.
+    A model that is there but cannot be loaded is an error. ``is_best`` marks
+    the highest AUC, the earlier model on a tie.
     """
     spark = raw.sparkSession
     test = materialize(hash_split(labelled_features(raw))["test"], "test-split")
     rows = []
     for name, path in paths.items():
-        try:
-            model = PipelineModel.load(path)
-        except Exception as problem:  # a missing path surfaces differently per file system
-            log.warning("model %s at %s not loaded: %s", name, path, problem)
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+            log.warning("no model %s at %s", name, path)
             continue
-        metrics = evaluate_model(model, test)["metrics"]
+        metrics = evaluate_model(PipelineModel.load(path), test)["metrics"]
         rows.append((name, *[metrics[m] for m in EVALUATION_METRICS]))
     best = max(rows, key=lambda row: _rank(row[-1]))[0] if rows else None
     schema = ", ".join(["model STRING", *[f"{m} DOUBLE" for m in EVALUATION_METRICS]])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,19 +39,14 @@ def build_session(app: str = "txnguard", master: str | None = None, **conf: str)
 def shared_directory(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session may fall back to a folder of its own: on a
-    cluster a machine-local folder would lose data with its machine.
+    A session without the setting gets a folder in the warehouse, which all
+    executors reach as well; never one of a single machine's temporary folders.
     """
     configured = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="txnguard-")
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"file:{own}")
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    spark.conf.set(_CHECKPOINT_KEY, own)
-    return own
+    if not configured:
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/txnguard_scratch"
+        spark.conf.set(_CHECKPOINT_KEY, configured)
+    return configured.rstrip("/")
 
 
 def _scratch_root(spark: SparkSession):

@@ -9,7 +9,6 @@ from pyspark.sql import types as T
 from txnguard.functions.columns import stripped, to_double, to_whole
 from txnguard.operators.sampling import first_rows
 from txnguard.schema import MONEY_COLUMNS, TRANSACTION_COLUMNS, TRANSACTION_SCHEMA
-from txnguard.session import materialize
 
 
 def event_schema(*extra: tuple[str, T.DataType]) -> T.StructType:
@@ -19,13 +18,13 @@ def event_schema(*extra: tuple[str, T.DataType]) -> T.StructType:
     )
 
 
-def encode_events(df: DataFrame, *extra: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Typed transactions as one JSON text per row in ``value``; ``keep`` stays beside it as columns."""
+def encode_events(df: DataFrame, *extra: str) -> DataFrame:
+    """Typed transactions as one JSON text per row in ``value``."""
     typed = {c: to_double(F.col(c)) for c in MONEY_COLUMNS}
     typed |= {c: to_whole(F.col(c)) for c in ("step", "isFraud", "isFlaggedFraud")}
     typed |= {c: stripped(F.col(c)) for c in ("type", "nameOrig", "nameDest")}
     fields = [typed[c].alias(c) for c in TRANSACTION_COLUMNS]
-    return df.select(F.to_json(F.struct(*fields, *extra)).alias("value"), *keep)
+    return df.select(F.to_json(F.struct(*fields, *extra)).alias("value"))
 
 
 def decode_events(
@@ -57,31 +56,22 @@ def write_replay(
     *extra: str,
     limit: int = 0,
     order_by: str = "txn_id",
-    files: int | None = None,
-) -> None:
+    rows_per_file: int | None = None,
+    least_files: int = 1,
+) -> int | None:
     """Write (the first ``limit``) transactions as event files for a file stream.
 
-    ``files`` deals them out by the hash of ``order_by``, so that a stream sees
-    many batches of any input.
+    With ``rows_per_file`` the rows are counted and dealt out by the hash of
+    ``order_by``, to ``least_files`` files or as many as the rows need, so that
+    files keep their size and their number follows the rows; it is returned.
     """
     chosen = first_rows(df, limit, [order_by]) if limit else df
-    if files:
+    files = None
+    if rows_per_file:
+        files = max(least_files, -(-chosen.count() // rows_per_file))
         chosen = chosen.repartition(files, order_by)
     encode_events(chosen, *extra).write.mode("overwrite").text(path)
-
-
-def write_timed_replay(df: DataFrame, path: str, *extra: str, time_column: str, files: int = 8) -> None:
-    """Write transactions as event files whose ages follow ``time_column``.
-
-    A file stream takes older files first, so with one file per trigger no row
-    comes later than rows of an earlier time. The rows are cut into ranges and
-    stored once; each range is then written as one file, one after another.
-    """
-    ranged = df.repartitionByRange(files, time_column).withColumn("_range", F.spark_partition_id())
-    stored = materialize(encode_events(ranged, *extra, keep=("_range",)), "ranges", partition_by="_range")
-    for number in range(files):
-        part = stored.filter(F.col("_range") == number).select("value")
-        part.coalesce(1).write.mode("append").text(path)
+    return files
 
 
 def kafka_options(servers: str, topic: str, starting: str = "latest") -> dict[str, str]:

@@ -82,3 +82,17 @@ def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
     stored = spark.read.parquet(path)
     newest = stored.agg(F.max("batch_id")).first()[0]
     return stored.filter(F.col("batch_id") == newest).drop("batch_id", "slot")
+
+
+def counters_in_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The four KPI counters as the last batch of ``running_counters`` left them in its state.
+
+    Read from the checkpoint by the state store's own data source: no table of
+    snapshots is needed, and the stream may be running or stopped.
+    """
+    names = list(counter_columns())
+    kind = ", ".join(f"{name}: bigint" for name in names)
+    # The buffers of the aggregates have one name each for count; they are told apart by their place.
+    state = spark.read.format("statestore").load(checkpoint)
+    buffers = state.select(F.col("value").cast(f"struct<{kind}>").alias("buffers"))
+    return buffers.select([F.col("buffers")[name].alias(name) for name in names])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -163,10 +164,21 @@ def _landed(spark: SparkSession, path: str, fmt: str) -> DataFrame:
     return spark.read.format(fmt).schema(", ".join(kinds)).load(path)
 
 
-def _has_hours(spark: SparkSession, path: str) -> bool:
-    """Whether a partitioned folder holds any hour."""
-    hours = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/dt=*/hour=*")
-    return bool(hours.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hours))
+_HOUR, _BATCH = "dt=*/hour=*", "dt=*/hour=*/run_id=*/batch_id=*"
+
+
+def _folders(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """Existing folders below ``path`` that match a pattern, as partition paths relative to it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    depth = pattern.count("/") + 1
+    found = files.globStatus(hadoop(f"{path}/{pattern}"))
+    return ["/".join(status.getPath().toString().split("/")[-depth:]) for status in found or ()]
+
+
+def _values(folder: str) -> tuple[str, ...]:
+    """The values in a partition path."""
+    return tuple(unquote(part.split("=", 1)[1]) for part in folder.split("/"))
 
 
 def read_layer(spark: SparkSession, config: LayerConfig, layer: str) -> DataFrame:
@@ -174,12 +186,16 @@ def read_layer(spark: SparkSession, config: LayerConfig, layer: str) -> DataFram
     landing, hours = config.path(layer), f"{config.path(layer)}_hours"
     if config.fmt == "delta":
         return spark.read.format("delta").load(landing)
-    if not _has_hours(spark, f"{hours}/rows"):
+    if not _folders(spark, f"{hours}/rows", _HOUR):
         return _landed(spark, landing, config.fmt)
     kept = _landed(spark, f"{hours}/rows", config.fmt)
-    if not _has_hours(spark, landing):
+    if not _folders(spark, landing, _BATCH):
         return kept
-    landed = _landed(spark, landing, config.fmt)
+    return _without_held(kept, _landed(spark, landing, config.fmt))
+
+
+def _without_held(kept: DataFrame, landed: DataFrame) -> DataFrame:
+    """Compacted rows, and landed rows of batches that they do not hold."""
     # The compacted rows themselves say which batches they hold; only hours that have landed again are asked.
     again = landed.select("dt", "hour").distinct()
     held = kept.select(*_STAMPS).join(again, ["dt", "hour"], "left_semi").distinct()
@@ -187,29 +203,61 @@ def read_layer(spark: SparkSession, config: LayerConfig, layer: str) -> DataFram
     return kept.unionByName(fresh.select(*kept.columns), allowMissingColumns=True)
 
 
+def hours_of(spark: SparkSession, config: LayerConfig, layer: str) -> list[tuple[str, str]]:
+    """Every ``(dt, hour)`` a layer has rows of, newest first, from folder names alone."""
+    if config.fmt == "delta":
+        raise ValueError("hours are listed from the folders of a file layer")
+    landing = config.path(layer)
+    folders = _folders(spark, landing, _BATCH) + _folders(spark, f"{landing}_hours/rows", _HOUR)
+    return sorted({_values(folder)[:2] for folder in folders}, reverse=True)
+
+
+def read_hours(spark: SparkSession, config: LayerConfig, layer: str, hours: list[tuple[str, str]]) -> DataFrame:
+    """The rows of some hours of a layer; no other folder is listed or read."""
+    landing, compacted = config.path(layer), f"{config.path(layer)}_hours/rows"
+
+    def some(root: str, inside: str) -> DataFrame | None:
+        paths = [f"{root}/dt={dt}/hour={hour}" for dt, hour in hours]
+        there = [path for path in paths if _folders(spark, path, inside)]
+        if not there:
+            return None
+        reader = spark.read.format(config.fmt).option("basePath", root)
+        inferred = reader.load(there).schema
+        kinds = [f"`{f.name}` {_STAMPS.get(f.name, f.dataType.simpleString())}" for f in inferred.fields]
+        return reader.schema(", ".join(kinds)).load(there)
+
+    kept, landed = some(compacted, "*"), some(landing, "run_id=*/batch_id=*")
+    if kept is None or landed is None:
+        return landed if kept is None else kept
+    return _without_held(kept, landed)
+
+
 def compact_hours(spark: SparkSession, config: LayerConfig, layer: str, before: tuple[str, str], files: int = 1) -> int:
     """Turn the landed batches of hours before ``(dt, hour)`` into ``files`` files per hour; returns the hours.
 
-    The rows of such an hour, compacted before or landed since, are stored
-    aside and then replace the hour, and only then do the landed folders go.
-    Rows keep their batch, so rows that stand in both places are read once, and
-    a run after any failure ends in the same state. A batch that lands late is
-    taken in by the next run; readers see it meanwhile.
+    The batch folders that stand there at the start are noted. The rows of their
+    hours, compacted before or landed since, are stored aside and then replace
+    the hour, and only then do the noted folders go; a batch that lands
+    meanwhile keeps its folder. Rows keep their batch, so rows that stand in
+    both places are read once, and a run after any failure ends in the same
+    state. A batch that lands late is taken in by the next run; readers see it
+    meanwhile. Folders of hours stay, empty: a writer may be about to use them.
+
+    File layers only: a Delta table has a compaction of its own (``OPTIMIZE``).
     """
+    if config.fmt == "delta":
+        raise ValueError("compact a Delta table with its own OPTIMIZE command")
     landing, hours = config.path(layer), f"{config.path(layer)}_hours"
-    if not _has_hours(spark, landing):
-        return 0
-    closed = (F.col("dt") < before[0]) | ((F.col("dt") == before[0]) & (F.col("hour") < before[1]))
-    landed = _landed(spark, landing, config.fmt).filter(closed)
-    due = [(r.dt, r.hour) for r in landed.select("dt", "hour").distinct().collect()]
+    noted = [folder for folder in _folders(spark, landing, _BATCH) if _values(folder)[:2] < before]
+    due = sorted({_values(folder)[:2] for folder in noted})
     if not due:
         return 0
-    wanted = spark.createDataFrame(due, "dt STRING, hour STRING")
-    stored = materialize(read_layer(spark, config, layer).join(wanted, ["dt", "hour"], "left_semi"), "hours")
+    stored = materialize(read_hours(spark, config, layer, due), "hours")
     dealt = stored.repartition(len(due) * files, "dt", "hour", F.pmod(F.xxhash64(*stored.columns), F.lit(files)))
     writer = dealt.write.format(config.fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("dt", "hour").save(f"{hours}/rows")
-    for dt, hour in due:
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{landing}/dt={dt}/hour={hour}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    folders = hadoop(landing).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for folder in noted:
+        folders.delete(hadoop(f"{landing}/{folder}"), True)
     return len(due)
