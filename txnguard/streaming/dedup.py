@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -63,8 +63,8 @@ def start_once_per_key(
     passes its time by ``delay``, and rows older than the watermark are dropped.
 
     Of the copies in a trigger the earliest stays, by time and then by the other
-    columns. The stored rows are the state: they lie in partitions by the hour
-    in which they expire, so a trigger reads those that still count and of them
+    columns. The stored rows are the state: they lie in partitions by the time
+    at which they expire, so a trigger reads those that still count and of them
     the keys only. A trigger owns its partitions and replaces them, so one that
     is repeated after a failure changes nothing. Null keys are one key, and rows
     without a time are dropped.
@@ -80,7 +80,7 @@ def start_once_per_key(
         fresh = _first_of_batch(timed.filter(in_time), keys, time_column)
         fresh = _unseen(spark, fresh, keys, time_column, path, batch_id, passed, delay)
         expires = F.col(time_column) + F.expr(f"INTERVAL {delay}")
-        slots = {"slot": F.date_format(expires, "yyyyMMddHH"), "batch_id": F.lit(batch_id).cast("bigint")}
+        slots = {"slot": _slot(expires, delay), "batch_id": F.lit(batch_id).cast("bigint")}
         writer = fresh.withColumns(slots).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("slot", "batch_id").parquet(f"{path}/kept")
         store_progress(spark, f"{path}/progress", batch_id, seen_time.get["newest"])
@@ -90,6 +90,15 @@ def start_once_per_key(
     return writer.start()
 
 
+def _slot(moment: Column, delay: str) -> Column:
+    """The number of the hour of a moment, or of the stretch as long as ``delay`` if that is longer.
+
+    Rows that count at one time lie in two or three slots, so a trigger writes few folders.
+    """
+    seconds = F.unix_timestamp(F.timestamp_seconds(F.lit(0)) + F.expr(f"INTERVAL {delay}"))
+    return F.floor(F.unix_timestamp(moment) / F.greatest(seconds, F.lit(3600))).cast("bigint")
+
+
 def _first_of_batch(rows: DataFrame, keys: Sequence[str], time_column: str) -> DataFrame:
     """The earliest row per key; the sort key holds the whole row, so the choice is the same in every run."""
     others = [c for c in rows.columns if c not in keys and c != time_column]
@@ -105,11 +114,11 @@ def _unseen(
     if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
         return fresh
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in fresh.schema.fields]
-    stored = spark.read.schema(", ".join([*kinds, "slot STRING", "batch_id BIGINT"])).parquet(f"{path}/kept")
+    stored = spark.read.schema(", ".join([*kinds, "slot BIGINT", "batch_id BIGINT"])).parquet(f"{path}/kept")
     stored = stored.filter(F.col("batch_id") < batch_id)
     if passed is not None:
         alive = F.col(time_column) + F.expr(f"INTERVAL {delay}") > F.lit(passed)
-        stored = stored.filter((F.col("slot") >= F.date_format(F.lit(passed), "yyyyMMddHH")) & alive)
+        stored = stored.filter((F.col("slot") >= _slot(F.lit(passed), delay)) & alive)
     known = stored.select(*[F.col(key).alias(f"_seen_{key}") for key in keys])
     same = [F.col(key).eqNullSafe(F.col(f"_seen_{key}")) for key in keys]
     return fresh.join(known, same, "left_anti")

@@ -19,10 +19,10 @@ def start_late_split(
 ) -> StreamingQuery:
     """Store every row below ``path/rows``, parted into rows in time and late ones.
 
-    A row is late by the rule of a watermarked aggregation: its time lies before
-    the newest time of all earlier triggers less ``delay``. Windows over the
-    rows in time therefore lose nothing, and the late ones stand beside them to
-    be counted or added later. Rows without a time are late. A trigger owns its
+    A row is late if its time lies before the newest time of all earlier
+    triggers less ``delay``. The engine's own aggregations drop by the watermark
+    of one trigger before, so windows over the rows in time lose nothing, and
+    the late ones stand beside them to be counted or added later. Rows without a time are late. A trigger owns its
     partitions and replaces them, so one that is repeated changes nothing.
     """
 
