@@ -139,6 +139,12 @@ def test_approximate_quantiles_are_close(spark):
 def test_file_check(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(100).repartition(3).write.parquet(path)
-    found = profile.file_check(spark.read.parquet(path)).first()
-    assert (found.file_count, found.row_count) == (3, 100)
-    assert found.total_bytes == sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    found = profile.file_check(spark.read.parquet(path), path).first()
+    assert (found.file_count, found.row_count, found.empty_files) == (3, 100, 0)
+    spark.range(0).coalesce(1).write.mode("append").parquet(path)
+    found = profile.file_check(spark.read.parquet(path), path, ["id", "other"]).first()
+    assert (found.file_count, found.row_count, found.empty_files, found.missing_columns) == (4, 100, 1, "other")
+    spark.range(0).coalesce(1).write.mode("overwrite").parquet(f"{path}0")
+    assert tuple(profile.file_check(spark.read.parquet(f"{path}0"), f"{path}0").first()) == (1, 1, 0, 0, "")
+    found = profile.file_check(spark.read.parquet(path).filter("id >= 0"), path).first()
+    assert found.total_bytes == sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet") if spark.read.parquet(str(f)).count())

@@ -230,7 +230,8 @@ def amount_quantiles_sketched(spark, sf):
 
 @query
 def table_file_check(spark, sf):
-    found = profile.file_check(table(spark, sf, "orders"), ("o_orderkey", "o_custkey", "o_comment_text"))
+    required = ("o_orderkey", "o_custkey", "o_comment_text")
+    found = profile.file_check(table(spark, sf, "orders"), f"{sf}/orders.parquet", required)
     return found.select((F.col("file_count") > 0).alias("has_files"), "empty_files", "row_count", "missing_columns")
 
 
@@ -660,10 +661,8 @@ def stream_batch_kpis(spark, sf):
     """KPIs summed from the per-batch counters the layered job stores, and the batches' rows."""
     config = _layers(spark, sf, "stream-kpis")
     stored = layers.read_layer(spark, config, "batch_metrics")
-    rows = stored.agg(
-        F.sum("raw_rows").alias("raw_rows"), F.sum("dropped_rows").alias("dropped_rows"), (F.count("*") > 1).alias("several_batches")
-    )
-    return serving.kpis_from_batches(stored).join(rows)
+    sums = [F.sum(c).alias(c) for c in ("raw_rows", "dropped_rows")]
+    return serving.kpis_from_batches(stored, *sums, (F.count("*") > 1).alias("several_batches"))
 
 
 @query

@@ -125,19 +125,29 @@ def type_ranks(df: DataFrame) -> DataFrame:
     )
 
 
-def file_check(df: DataFrame, required: Sequence[str] = ()) -> DataFrame:
-    """Files, rows and bytes of a file-backed table, and the required columns it lacks.
+def file_check(df: DataFrame, path: str, required: Sequence[str] = (), pattern: str = "*.parquet") -> DataFrame:
+    """Files, rows and bytes of the table stored at ``path``, and the required columns it lacks.
 
-    Files without a row count too; their number comes from the table's list of files.
+    Files without a row count too: a second source lists the files themselves,
+    without their content, and counts them in its tasks.
     """
     files = df.groupBy(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")
     ).agg(F.count("*").alias("rows"))
-    listed = df.inputFiles()
+    there = df.sparkSession.read.format("binaryFile").option("pathGlobFilter", pattern)
+    listed = there.option("recursiveFileLookup", True).load(path).agg(F.count("*").cast("bigint").alias("listed"))
     lacking = [name for name in required if name not in df.columns]
-    return files.agg(
-        F.lit(len(listed)).cast("bigint").alias("file_count"),
-        (F.lit(len(listed)) - F.count("*")).alias("empty_files"),
+    counted = files.agg(
+        F.count("*").alias("filled"),
         F.coalesce(F.sum("rows"), F.lit(0)).alias("row_count"),
         F.coalesce(F.sum("bytes"), F.lit(0)).alias("total_bytes"),
-    ).withColumn("missing_columns", F.lit(",".join(lacking)))
+    )
+    # One row each.
+    both = counted.unionByName(listed, allowMissingColumns=True)
+    return both.agg(
+        F.max("listed").alias("file_count"),
+        (F.max("listed") - F.max("filled")).alias("empty_files"),
+        F.max("row_count").alias("row_count"),
+        F.max("total_bytes").alias("total_bytes"),
+        F.lit(",".join(lacking)).alias("missing_columns"),
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,10 +25,10 @@ def kpis(gold: DataFrame) -> DataFrame:
     return _with_rate(alert_counters(gold))
 
 
-def kpis_from_batches(batch_metrics: DataFrame) -> DataFrame:
-    """The same row summed from per-batch counters, without reading scored rows."""
+def kpis_from_batches(batch_metrics: DataFrame, *more: Column) -> DataFrame:
+    """The same row summed from per-batch counters, without reading scored rows; ``more`` are further aggregates."""
     sums = [F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in COUNTERS]
-    return _with_rate(batch_metrics.agg(*sums))
+    return _with_rate(batch_metrics.agg(*sums, *more))
 
 
 def in_days(table: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:
