@@ -102,7 +102,9 @@ def judge_quality(
     A narrow plan of projections over the whole text without a shuffle. Arrays
     of words and windows are bound to columns first, so each is made once.
 
-    Null text counts as empty: no words, base rules failed, not kept. Repeated
+    The stop words are those of four languages, so a text of 50 words or more in
+    any other language fails that rule; pass thresholds of your own for such a
+    table. Null text counts as empty: no words, base rules failed, not kept. Repeated
     rows are judged one by one. Only the id and the text are read, so extra
     columns of any name are ignored. An empty table gives no rows.
     """
