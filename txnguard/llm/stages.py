@@ -91,9 +91,11 @@ def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     gone = judge_rows(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_text"))
     rows = _Numbered(docs)
-    same = (rows["doc_id"] == F.col("gone_id")) & (text_key(rows["text"]) == F.col("gone_text"))
-    left = rows.frame.join(gone.distinct(), same, "left_anti")
-    return rows.back(left.dropDuplicates([rows.names["doc_id"], rows.names["text"]]))
+    keyed = rows.frame.withColumn("text_key", text_key(rows["text"]))
+    same = (rows["doc_id"] == F.col("gone_id")) & (F.col("text_key") == F.col("gone_text"))
+    # The same two keys, so that texts are shuffled once for both.
+    left = keyed.join(gone.distinct(), same, "left_anti").dropDuplicates([rows.names["doc_id"], "text_key"])
+    return rows.back(left)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
