@@ -185,6 +185,34 @@ def test_compaction_is_repeatable_and_takes_late_batches(spark, rows, tmp_path):
     assert seen() == late and layers.compact_hours(spark, config, "gold", ("2031-01-01", "00")) == 0
 
 
+def test_large_hours_are_compacted_into_files_of_bounded_size(spark, rows, tmp_path):
+    config = layers.LayerConfig(str(tmp_path), run_id="007")
+
+    def seen(layer):
+        return sorted(map(str, layer.select(*sorted(layer.columns)).collect()))
+
+    # The first hour holds copies of one row only.
+    for batch_id, (hour, batch) in enumerate({"03": keyed(rows, 1, 1), "04": keyed(rows, 20)}.items()):
+        copies = batch.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(400 // batch.count())))).drop("_copy")
+        stamp = F.lit(f"2030-01-02 {hour}:04:05").cast("timestamp")
+        layers.process_batch(copies.withColumn("processed_at", stamp), batch_id, config, key_scorer())
+    before = seen(layers.read_layer(spark, config, "gold"))
+    assert layers.compact_hours(spark, config, "gold", ("2030-01-03", "00"), rows_per_file=100) == 2
+    after = layers.read_layer(spark, config, "gold")
+    assert seen(after) == before and len(before) == 400 + 260
+    files = after.groupBy("hour", "_metadata.file_path").count().collect()
+    assert {hour: sum(f.hour == hour for f in files) for hour in ("03", "04")} == {"03": 4, "04": 3}
+    assert all(60 <= f["count"] <= 140 for f in files)
+    # A second run over a hour that landed again keeps all rows; ``files`` is the least number.
+    stamp = F.lit("2030-01-02 03:30:00").cast("timestamp")
+    layers.process_batch(keyed(rows, 5).withColumn("processed_at", stamp), 7, config, key_scorer())
+    wanted = seen(layers.read_layer(spark, config, "gold"))
+    assert layers.compact_hours(spark, config, "gold", ("2030-01-03", "00"), files=2) == 1
+    again = layers.read_layer(spark, config, "gold")
+    assert seen(again) == wanted and len(wanted) == len(before) + 3
+    assert again.filter("hour = '03'").select("_metadata.file_path").distinct().count() == 2
+
+
 def test_empty_batch_writes_nothing(rows, tmp_path):
     batch = keyed(rows, 1).withColumn("processed_at", F.current_timestamp()).filter("false")
     assert layers.process_batch(batch, 0, layers.LayerConfig(str(tmp_path)), key_scorer()) is None
