@@ -266,3 +266,30 @@ def test_fits_overlap(spark, raw, monkeypatch):
 def test_concurrent_fits_give_the_same_models(raw, results):
     again = training.train_candidates(raw, TINY, include_models=False)
     assert {k: c.test for k, c in again.candidates.items()} == {k: c.test for k, c in results.candidates.items()}
+
+
+def test_fits_read_equal_partitions_of_all_training_rows(spark, raw, monkeypatch):
+    """One task scans the raw file, copies of one row are a third of it, and still every slot has its share."""
+    monkeypatch.setattr(training, "_LEAST_ROWS", 10)
+    monkeypatch.setattr(training, "_MOST_ROWS", 50)
+    read, plain = [], training.fit_detached
+
+    def watched(estimator, prepared, df):
+        read.append(df)
+        return plain(estimator, prepared, df)
+
+    monkeypatch.setattr(training, "fit_detached", watched)
+    one = training.labelled_features(raw).select("txn_id").filter("txn_id % 4 = 1").limit(1).first().txn_id
+    copies = raw.filter(F.col("txn_id") == one).withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("_n")
+    mixed = raw.unionByName(copies).coalesce(1)
+    run = training.train_candidates(mixed, TINY, include_models=False)
+    rows = run.split_rows["train"]
+    slots = spark.sparkContext.defaultParallelism
+    parts = slots * -(-rows // (slots * 50))
+    for df in read:
+        sizes = df.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+        assert len(sizes) == parts and sum(sizes) == rows and max(sizes) - min(sizes) <= 2
+    wanted = training.prepare_splits(training.labelled_features(mixed))["train"].select(*read[0].columns)
+    assert sorted(map(str, read[0].collect())) == sorted(map(str, wanted.collect()))
+    first, second = (df.rdd.glom().map(str).collect() for df in read)
+    assert first == second

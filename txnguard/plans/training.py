@@ -41,6 +41,9 @@ PROFILES = {
 }
 _GAPS = ", ".join(f"coalesce(nanvl({name}, 0.0D), 0.0D) AS {name}" for name in ("amount_ratio",))
 _FILLED = f"SELECT * EXCEPT (amount_ratio), {_GAPS} FROM __THIS__"
+# The columns a fit reads, and the fewest and most rows of a partition it reads them in.
+_FIT_COLUMNS = (*(name for name in MODEL_INPUTS if name != "type_index"), "type", "label", "weight")
+_LEAST_ROWS, _MOST_ROWS = 10_000, 500_000
 MODEL_NAMES = {"rf": "RandomForest", "gbt": "GradientBoostedTrees"}
 
 
@@ -189,6 +192,20 @@ def prepare_splits(
     return {**splits, "train": add_class_weights(splits["train"])}
 
 
+def _dealt_evenly(train: DataFrame, rows: int) -> DataFrame:
+    """The columns a fit reads, in equal partitions that fill every slot of the cluster in each wave.
+
+    A fit passes over its rows once per level of every round, so all passes wait
+    for the largest partition. The stored split has the partitions of the raw
+    files, however these lie. Sorted, a partition is the same whenever it is
+    rebuilt, which the draws of a seeded fit depend on.
+    """
+    slots = train.sparkSession.sparkContext.defaultParallelism
+    waves = -(-rows // (slots * _MOST_ROWS))
+    parts = max(1, min(slots * waves, rows // _LEAST_ROWS))
+    return train.select(*_FIT_COLUMNS).repartition(parts).sortWithinPartitions(*_FIT_COLUMNS)
+
+
 def train_candidates(
     raw: DataFrame,
     profile: str | dict = "full",
@@ -211,7 +228,8 @@ def train_candidates(
     splits = prepare_splits(ready, sample_fraction, seed, stable)
     prepared = feature_pipeline().fit(splits["train"])
     rows = {name: part.count() for name, part in splits.items()}
-    candidates = _fit_together(estimators, prepared, splits, include_models)
+    fitted_on = {**splits, "train": _dealt_evenly(splits["train"], rows["train"])}
+    candidates = _fit_together(estimators, prepared, fitted_on, include_models)
     named = profile if isinstance(profile, str) else "custom"
     return TrainingRun(candidates, summary.get, named, sample_fraction, seed, data, rows)
 
